@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import pieces, read
-from .tokens import Encoder, vocabulary
+from .tokens import encoder, vocabulary
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
@@ -88,7 +88,7 @@ def pack(docs: DataFrame, path: str, capacity: int = 1024, separator: int = 0, i
         from pyspark import TaskContext
 
         base = TaskContext.get().partitionId() << 33
-        encoder, packer, number = Encoder(path), HarmonicPacker(capacity), 0
+        ids_of, packer, number = encoder(path).ids, HarmonicPacker(capacity), 0
         end = separator.to_bytes(4, "little")
         rows: list[tuple] = []
 
@@ -111,7 +111,7 @@ def pack(docs: DataFrame, path: str, capacity: int = 1024, separator: int = 0, i
 
         for batch in pieces(batches, "_text"):
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = encoder.ids(text or "") + end
+                ids = ids_of(text or "") + end
                 place(packer.add((key, len(ids) // 4), ids))
                 if len(rows) >= 4096:
                     yield out()

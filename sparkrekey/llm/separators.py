@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import pieces, read, work_folder, written
-from .tokens import Encoder, vocabulary
+from .tokens import encoder, vocabulary
 
 #: Ids in a block of a token file, and blocks in a group of the prefix scan.
 BLOCK, GROUP = 1 << 18, 1 << 10
@@ -28,7 +28,7 @@ def token_files(docs: DataFrame, path: str, end: int = END, block: int = BLOCK)
         from pyspark import TaskContext
 
         name, number = f"tokens-{TaskContext.get().partitionId():06d}", 0
-        encoder, mark, size = Encoder(path, ordinary_specials=True), end.to_bytes(4, "little"), 4 * block
+        ids_of, mark, size = encoder(path, True).ids, end.to_bytes(4, "little"), 4 * block
         kept, roster = bytearray(), []
 
         def row(ids):
@@ -40,7 +40,7 @@ def token_files(docs: DataFrame, path: str, end: int = END, block: int = BLOCK)
 
         for batch in pieces(batches, "_text"):
             for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                kept += encoder.ids(text or "") + mark
+                kept += ids_of(text or "") + mark
                 roster.append(i)
                 while len(kept) >= size:
                     yield row(kept[:size])
