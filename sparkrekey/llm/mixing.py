@@ -9,8 +9,8 @@ from .common import GAP, SPACES, let, read, work_folder, written
 
 #: Words in a block, slots in an output shard, and most passes over a source.
 BLOCK, SHARD, PASSES = 32, 1 << 12, 3
-#: Rounds of the shuffle below, the prime that bounds its hash (products stay below 2^62), and odd multipliers.
-ROUNDS, PRIME, HIGH, LOW, STEP, TURN = 24, 2147483647, 1103515245, 1664525, 742938285, 1597334677
+#: Rounds of the shuffle below (each costs a few microseconds a slot), the prime that bounds its hash (products stay below 2^62), and odd multipliers.
+ROUNDS, PRIME, HIGH, LOW, STEP, TURN = 8, 2147483647, 1103515245, 1664525, 742938285, 1597334677
 HALF = 1 << 31
 
 
@@ -19,23 +19,21 @@ def n_words(text: Column) -> Column:
     return let(F.split(F.rtrim(F.coalesce(text, F.lit("")), F.lit(SPACES)), GAP), lambda w: F.size(w) - (w[0] == "").cast("int")).cast("long")
 
 
-def permute(df: DataFrame, name: str, j: Column, n: Column, key: Column) -> DataFrame:
-    """df with the place of j in the permutation of 0..n-1 that `key` (0 to 2^20) chooses: a swap-or-not shuffle, a bijection for every n below 2^61.
+def permuted(j: Column, n: Column, key: Column) -> Column:
+    """The place of j in the permutation of 0..n-1 that `key` (0 to 2^20) chooses: a swap-or-not shuffle, a bijection for every n below 2^61.
 
     Round r pairs x with (k - x) mod n and swaps the two if a hash of the larger is odd. Only integer sums, products and
-    remainders below 2^63, so any SQL engine finds the same places. Each round is two projections, which generated code runs;
-    an expression of all rounds would grow threefold with each."""
-    df = df.withColumns({"_x": j.cast("long"), "_n": n.cast("long"), "_key": key.cast("long")})
-    x, y = F.col("_x"), F.col("_y")
-    for r in range(ROUNDS):
-        u = ((F.col("_key") * F.lit(1000) + (r + 1)) * F.lit(STEP)) % PRIME
-        k = (u * F.lit(HALF) + (u * F.lit(TURN)) % PRIME) % F.col("_n")
-        m = F.col("_m")
-        mixed = (F.shiftright(m, 31) * F.lit(HIGH) + m.bitwiseAND(F.lit(HALF - 1)) * F.lit(LOW) + F.col("_u")) % PRIME
-        df = df.withColumns({"_y": F.pmod(k - x, F.col("_n")), "_u": u})
-        df = df.withColumn("_m", F.greatest(x, y))
-        df = df.withColumn("_x", F.when(((mixed * F.lit(STEP)) % PRIME) % 2 == 1, y).otherwise(x))
-    return df.withColumnRenamed("_x", name).drop("_n", "_key", "_y", "_u", "_m")
+    remainders below 2^63, so any SQL engine finds the same places."""
+
+    def turn(x, r):
+        u = ((key * F.lit(1000) + r + 1) * F.lit(STEP)) % PRIME
+        k = (u * F.lit(HALF) + (u * F.lit(TURN)) % PRIME) % n
+        y = F.pmod(k - x, n)
+        m = F.greatest(x, y)
+        mixed = (F.shiftright(m, 31) * F.lit(HIGH) + m.bitwiseAND(F.lit(HALF - 1)) * F.lit(LOW) + u) % PRIME
+        return F.when(((mixed * F.lit(STEP)) % PRIME) % 2 == 1, y).otherwise(x)
+
+    return F.aggregate(F.sequence(F.lit(0).cast("long"), F.lit(ROUNDS - 1).cast("long")), j.cast("long"), turn)
 
 
 def source_plan(sized: DataFrame, block: int = BLOCK, passes: int = PASSES) -> DataFrame:
@@ -91,12 +89,11 @@ def draw(plan: DataFrame, shard: int = SHARD) -> DataFrame:
     cut = cut.repartition(max(1, min(2 * (total // wide), 100_000)), "rank", "c")
     low = F.col("first_slot") + F.col("c") * wide
     slots = cut.select("rank", F.explode(F.sequence(low, F.least(low + wide, F.col("first_slot") + F.col("slots")) - 1)).alias("place"))
-    slots = permute(slots, "slot", F.col("place"), F.lit(max(1, total)), F.lit(0))
-    counts = slots.groupBy(F.floor(F.col("slot") / shard).cast("long").alias("shard"), "rank").agg(F.count(F.lit(1)).alias("count"))
+    counts = slots.groupBy(F.floor(permuted(F.col("place"), F.lit(max(1, total)), F.lit(0)) / shard).cast("long").alias("shard"), "rank").agg(F.count(F.lit(1)).alias("count"))
     counts = counts.withColumn("first", F.sum("count").over(Window.partitionBy("rank").orderBy("shard")) - F.col("count"))
     dealt = counts.join(plan.select("rank", "blocks"), "rank").repartition(max(1, min(total >> 14, 100_000)), "rank", "shard")
     drawn = dealt.select("shard", "rank", "blocks", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("count") - 1)).alias("j"))
-    return permute(drawn, "block", F.col("j") % F.col("blocks"), F.col("blocks"), F.col("rank")).select("rank", F.floor(F.col("j") / F.col("blocks")).cast("long").alias("pass"), "block", "shard")
+    return drawn.select("rank", F.floor(F.col("j") / F.col("blocks")).cast("long").alias("pass"), permuted(F.col("j") % F.col("blocks"), F.col("blocks"), F.col("rank")).alias("block"), "shard")
 
 
 def sized_rows(docs: DataFrame) -> DataFrame:
