@@ -9,9 +9,8 @@ from .common import GAP, SPACES, let, read, work_folder, written
 
 #: Words in a block, slots in an output shard, and most passes over a source.
 BLOCK, SHARD, PASSES = 32, 1 << 12, 3
-#: Rounds of the shuffle below (each costs a few microseconds a slot), the prime that bounds its hash (products stay below 2^62), and odd multipliers.
-ROUNDS, PRIME, HIGH, LOW, STEP, TURN = 8, 2147483647, 1103515245, 1664525, 742938285, 1597334677
-HALF = 1 << 31
+#: Indices that one task ranks, about, and the bits of the hash that ranks them.
+GROUP, BITS = 1 << 16, 60
 
 
 def n_words(text: Column) -> Column:
@@ -19,25 +18,31 @@ def n_words(text: Column) -> Column:
     return let(F.split(F.rtrim(F.coalesce(text, F.lit("")), F.lit(SPACES)), GAP), lambda w: F.size(w) - (w[0] == "").cast("int")).cast("long")
 
 
-def permuted(j: Column, n: Column, key: Column) -> Column:
-    """The place of j in the permutation of 0..n-1 that `key` (0 to 2^20) chooses: a swap-or-not shuffle, a bijection for every n below 2^61.
+def ranked(indices: DataFrame, key: list[str], size: Column, label: str, by: list[str]) -> DataFrame:
+    """indices (rows of rank, i: 0 to size-1 for each `key`) with `pos`, i's place in the key's pseudorandom permutation: by the hash of
+    label, rank and i, then by i.
 
-    Round r pairs x with (k - x) mod n and swaps the two if a hash of the larger is odd. Only integer sums, products and
-    remainders below 2^63, so any SQL engine finds the same places."""
+    The hash's upper bits deal each key's rows to groups of some GROUP rows that keep its order, so a hot key spans many tasks;
+    the groups' counts, a row for each, give their first places."""
+    h = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(label), "rank", "i")), 1, BITS // 4), 16, 10).cast("long")
+    groups = F.floor((size - 1) / GROUP).cast("long") + 1
+    rows = indices.withColumn("h", h).withColumn("part", F.shiftright(F.shiftright("h", BITS // 2) * groups, BITS // 2))
+    counts = rows.groupBy(*key, "part").agg(F.count(F.lit(1)).alias("n"))
+    firsts = counts.select(*key, "part", (F.sum("n").over(Window.partitionBy(*key).orderBy("part")) - F.col("n")).alias("before"))
+    rows = rows.withColumn("inside", F.row_number().over(Window.partitionBy(*key, "part").orderBy("h", *by)) - 1)
+    return rows.join(firsts, [*key, "part"]).withColumn("pos", F.col("before") + F.col("inside")).drop("h", "part", "before", "inside")
 
-    def turn(x, r):
-        u = ((key * F.lit(1000) + r + 1) * F.lit(STEP)) % PRIME
-        k = (u * F.lit(HALF) + (u * F.lit(TURN)) % PRIME) % n
-        y = F.pmod(k - x, n)
-        m = F.greatest(x, y)
-        mixed = (F.shiftright(m, 31) * F.lit(HIGH) + m.bitwiseAND(F.lit(HALF - 1)) * F.lit(LOW) + u) % PRIME
-        return F.when(((mixed * F.lit(STEP)) % PRIME) % 2 == 1, y).otherwise(x)
 
-    return F.aggregate(F.sequence(F.lit(0).cast("long"), F.lit(ROUNDS - 1).cast("long")), j.cast("long"), turn)
+def numbered(plan: DataFrame, column: str, total: int) -> DataFrame:
+    """plan's rank, blocks and slots, a row for each i below `column`; a source's row is first cut into groups, so a hot source spans many tasks."""
+    cut = plan.filter(F.col(column) > 0).select("rank", "blocks", "slots", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(column) - 1) / GROUP).cast("long"))).alias("c"))
+    cut = cut.repartition(max(1, min(2 * (total // GROUP), 100_000)), "rank", "c")
+    low = F.col("c") * GROUP
+    return cut.select("rank", "blocks", "slots", F.explode(F.sequence(low, F.least(low + GROUP, F.col(column)) - 1)).alias("i"))
 
 
 def source_plan(sized: DataFrame, block: int = BLOCK, passes: int = PASSES) -> DataFrame:
-    """A row for each source: source, rank, source_size, target, blocks, slots, and first_slot (the slots of the sources before it).
+    """A row for each source: source, rank, source_size, target, blocks, and slots.
 
     By code point, null last, sources weigh 1, 2, 3, 1, ... and share the sum of all sizes; a target stops at `passes` times its
     source's size and the excess is shared by weight among the others, until none is above. Sorted by limit / weight, the
@@ -55,8 +60,7 @@ def source_plan(sized: DataFrame, block: int = BLOCK, passes: int = PASSES) -> D
     s = s.withColumn("target", F.least((F.col("source_size") * passes).cast("double"), F.coalesce(F.col("rate") * F.col("weight"), F.lit(0.0))))
     s = s.withColumn("blocks", F.ceil(F.col("source_size") / block).cast("long"))
     s = s.withColumn("slots", F.when(F.col("source_size") > 0, F.floor(F.col("target") * F.col("blocks") / F.col("source_size") + 0.5).cast("long")).otherwise(F.lit(0).cast("long")))
-    s = s.withColumn("first_slot", F.sum("slots").over(Window.orderBy("rank")) - F.col("slots"))
-    return s.select("source", "rank", "source_size", "target", "blocks", "slots", "first_slot")
+    return s.select("source", "rank", "source_size", "target", "blocks", "slots")
 
 
 def placed(sized: DataFrame, folder: str, plan: DataFrame) -> DataFrame:
@@ -83,17 +87,15 @@ def draw(plan: DataFrame, shard: int = SHARD) -> DataFrame:
     replacement: a permutation of all slots deals each source's slots to places of the mix), so that each
     source's total meets its target. Running sums over the shards number a source's slots; slot j of a source is block j mod blocks of pass
     j div blocks, mapped through the source's own permutation."""
-    total = plan.agg(F.coalesce(F.sum("slots"), F.lit(0))).first()[0]
-    wide = 1 << 16  # slots that a source's row is first cut into, so that a hot source spans many tasks
-    cut = plan.filter("slots > 0").select("rank", "first_slot", "slots", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("slots") - 1) / wide).cast("long"))).alias("c"))
-    cut = cut.repartition(max(1, min(2 * (total // wide), 100_000)), "rank", "c")
-    low = F.col("first_slot") + F.col("c") * wide
-    slots = cut.select("rank", F.explode(F.sequence(low, F.least(low + wide, F.col("first_slot") + F.col("slots")) - 1)).alias("place"))
-    counts = slots.groupBy(F.floor(permuted(F.col("place"), F.lit(max(1, total)), F.lit(0)) / shard).cast("long").alias("shard"), "rank").agg(F.count(F.lit(1)).alias("count"))
+    total, blocks = plan.agg(F.coalesce(F.sum("slots"), F.lit(0)), F.coalesce(F.sum("blocks"), F.lit(0))).first()
+    slots = numbered(plan, "slots", total).select("rank", "i", F.lit(0).alias("mix"))
+    counts = ranked(slots, ["mix"], F.lit(total), "slot", ["rank", "i"]).groupBy(F.floor(F.col("pos") / shard).cast("long").alias("shard"), "rank").agg(F.count(F.lit(1)).alias("count"))
     counts = counts.withColumn("first", F.sum("count").over(Window.partitionBy("rank").orderBy("shard")) - F.col("count"))
     dealt = counts.join(plan.select("rank", "blocks"), "rank").repartition(max(1, min(total >> 14, 100_000)), "rank", "shard")
     drawn = dealt.select("shard", "rank", "blocks", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("count") - 1)).alias("j"))
-    return drawn.select("rank", F.floor(F.col("j") / F.col("blocks")).cast("long").alias("pass"), permuted(F.col("j") % F.col("blocks"), F.col("blocks"), F.col("rank")).alias("block"), "shard")
+    drawn = drawn.select("rank", "shard", F.floor(F.col("j") / F.col("blocks")).cast("long").alias("pass"), (F.col("j") % F.col("blocks")).alias("pos"))
+    places = ranked(numbered(plan, "blocks", blocks).filter("slots > 0"), ["rank"], F.col("blocks"), "block", ["i"])
+    return drawn.join(places.select("rank", "pos", F.col("i").alias("block")), ["rank", "pos"]).select("rank", "pass", "block", "shard")
 
 
 def sized_rows(docs: DataFrame) -> DataFrame:
@@ -154,16 +156,6 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(read(spark, sf_dir, "documents")).drop("source")
 
 
-_TURN = f"""CASE WHEN ((((greatest(x, ((k - x) % n + n) % n) // {HALF}) * {HIGH} + (greatest(x, ((k - x) % n + n) % n) % {HALF}) * {LOW} + u) % {PRIME}) * {STEP} % {PRIME}) % 2 = 1 THEN ((k - x) % n + n) % n ELSE x END"""
-_KEY = f"((key * 1000 + r + 1) * {STEP}) % {PRIME}"
-
-
-def _permuted_sql(j: str, n: str, key: str) -> str:
-    turn = _TURN.replace("k - x", "K_ - x").replace("+ u)", "+ U_)").replace("K_", f"((U_ * {HALF} + (U_ * {TURN}) % {PRIME}) % n)").replace("U_", f"({_KEY})")
-    turn = turn.replace("key", f"({key})").replace("% n", f"% ({n})").replace("+ n)", f"+ ({n}))")
-    return f"list_reduce(range({ROUNDS}::BIGINT), lambda x, r: {turn}, ({j})::BIGINT)"
-
-
 ORACLE = rf"""
 WITH sized AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents),
 s1 AS (SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY 1),
@@ -174,8 +166,9 @@ s4 AS (SELECT *, most::DOUBLE / weight AS ratio, (total - coalesce(sum(most) OVE
 s5 AS (SELECT *, (SELECT arg_min(rate, {{'a': ratio, 'b': rank}}) FROM s4 WHERE rate <= ratio) AS fill FROM s4),
 s6 AS (SELECT source, rank, source_size, least(most::DOUBLE, coalesce(fill * weight, 0)) AS target, ceil(source_size / {BLOCK})::BIGINT AS blocks FROM s5),
 plan AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target * blocks / source_size + 0.5)::BIGINT ELSE 0 END AS slots FROM s6),
-drawn AS (SELECT rank, blocks, unnest(range(slots)) AS j FROM plan),
-uses AS (SELECT rank, {_permuted_sql("j % blocks", "blocks", "rank")} AS block, count(*) AS uses FROM drawn GROUP BY ALL),
+indices AS (SELECT rank, blocks, slots, unnest(range(blocks)) AS i FROM plan),
+places AS (SELECT rank, i AS block, blocks, slots, row_number() OVER (PARTITION BY rank ORDER BY md5('block:' || rank || ':' || i)[1:{BITS // 4}], i) - 1 AS pos FROM indices),
+uses AS (SELECT rank, block, (slots - pos - 1) // blocks + 1 AS uses FROM places WHERE pos < slots),
 rows_ AS (SELECT doc_id, size, plan.*, sum(size) OVER (PARTITION BY sized.source ORDER BY doc_id ROWS UNBOUNDED PRECEDING) - size AS start FROM sized JOIN plan ON sized.source IS NOT DISTINCT FROM plan.source),
 parts AS (SELECT *, unnest(range((start // {BLOCK})::BIGINT, ((start + size - 1) // {BLOCK})::BIGINT + 1)) AS block FROM rows_ WHERE size > 0),
 taken AS (SELECT parts.doc_id, sum(uses * (least(start + size, (parts.block + 1) * {BLOCK}) - greatest(start, parts.block * {BLOCK})))::BIGINT AS taken FROM parts JOIN uses ON parts.rank = uses.rank AND parts.block = uses.block GROUP BY 1)
