@@ -52,9 +52,9 @@ def _clear(spark: SparkSession) -> None:
         p.getFileSystem(conf).delete(p, True)
 
 
-def written(df: DataFrame, folder: str, name: str) -> DataFrame:
-    """df, computed once and read back from the shared folder, so that a lost executor costs nothing done before."""
-    df.write.mode("overwrite").parquet(f"{folder}/{name}")
+def written(df: DataFrame, folder: str, name: str, **options) -> DataFrame:
+    """df, computed once and read back from the shared folder, so that a lost executor costs nothing done before; options go to the writer."""
+    df.write.mode("overwrite").options(**options).parquet(f"{folder}/{name}")
     return df.sparkSession.read.schema(df.schema).parquet(f"{folder}/{name}")
 
 

@@ -13,7 +13,9 @@ from .common import pieces, read, work_folder, written
 from .tokens import encoder, vocabulary
 
 #: Ids in a block of a token file, and blocks in a group of the prefix scan.
-BLOCK, GROUP = 1 << 18, 1 << 10
+BLOCK, GROUP = 1 << 16, 1 << 10
+#: Pieces in a worker's cache, and bytes of a token file that its writer and its readers hold at once.
+CACHE, HELD = 200_000, 8 << 20
 END = 50256
 BLOCKS = "file string, block long, ids binary"
 
@@ -28,7 +30,7 @@ def token_files(docs: DataFrame, path: str, end: int = END, block: int = BLOCK)
         from pyspark import TaskContext
 
         name, number = f"tokens-{TaskContext.get().partitionId():06d}", 0
-        ids_of, mark, size = encoder(path, True).ids, end.to_bytes(4, "little"), 4 * block
+        ids_of, mark, size = encoder(path, True, CACHE).ids, end.to_bytes(4, "little"), 4 * block
         kept, roster = bytearray(), []
 
         def row(ids):
@@ -111,7 +113,7 @@ def count_tokens(docs: DataFrame, path: str, block: int = BLOCK) -> DataFrame:
     """doc_id, n_tokens, file, ordinal, start for each row of docs: its token files are written, scanned, and matched to the rosters by place.
 
     A null text has 0 tokens; repeated rows are counted each; a null doc_id stays null; other columns are not looked at."""
-    made = written(token_files(docs, path, END, block), work_folder(docs.sparkSession), "tokens")
+    made = written(token_files(docs, path, END, block), work_folder(docs.sparkSession), "tokens", **{"parquet.block.size": HELD, "parquet.enable.dictionary": "false"})
     ordered = made.select("file", "block", F.size("roster").cast("long").alias("n"))
     before = ordered.withColumn("first", F.sum("n").over(Window.partitionBy("file").orderBy("block")) - F.col("n"))
     listed = made.select("file", "block", F.posexplode("roster").alias("i", "doc_id")).join(before, ["file", "block"])

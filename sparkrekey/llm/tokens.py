@@ -28,9 +28,9 @@ def ranks_of(path: str) -> str | None:
 
 
 @functools.lru_cache(2)
-def encoder(path: str, ordinary_specials: bool = False) -> Encoder:
+def encoder(path: str, ordinary_specials: bool = False, cache: int = CACHE) -> Encoder:
     """One for each worker process, whose cache serves all its tasks."""
-    return Encoder(path, ordinary_specials)
+    return Encoder(path, ordinary_specials, cache)
 
 
 class Encoder:
