@@ -23,14 +23,14 @@ def ranked(indices: DataFrame, key: list[str], size: Column, label: str, by: lis
     label, rank and i, then by i.
 
     The hash's upper bits deal each key's rows to groups of some GROUP rows that keep its order, so a hot key spans many tasks;
-    the groups' counts, a row for each, give their first places."""
+    the groups' counts, a row for each, give their first places; the rows lie sorted by group already, so the merge join costs no shuffle of theirs and no broadcast."""
     h = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(label), "rank", "i")), 1, BITS // 4), 16, 10).cast("long")
     groups = F.floor((size - 1) / GROUP).cast("long") + 1
     rows = indices.withColumn("h", h).withColumn("part", F.shiftright(F.shiftright("h", BITS // 2) * groups, BITS // 2))
     counts = rows.groupBy(*key, "part").agg(F.count(F.lit(1)).alias("n"))
     firsts = counts.select(*key, "part", (F.sum("n").over(Window.partitionBy(*key).orderBy("part")) - F.col("n")).alias("before"))
     rows = rows.withColumn("inside", F.row_number().over(Window.partitionBy(*key, "part").orderBy("h", *by)) - 1)
-    return rows.join(firsts, [*key, "part"]).withColumn("pos", F.col("before") + F.col("inside")).drop("h", "part", "before", "inside")
+    return rows.join(firsts.hint("merge"), [*key, "part"]).withColumn("pos", F.col("before") + F.col("inside")).drop("h", "part", "before", "inside")
 
 
 def numbered(plan: DataFrame, column: str, total: int) -> DataFrame:
@@ -87,15 +87,16 @@ def draw(plan: DataFrame, shard: int = SHARD) -> DataFrame:
     replacement: a permutation of all slots deals each source's slots to places of the mix), so that each
     source's total meets its target. Running sums over the shards number a source's slots; slot j of a source is block j mod blocks of pass
     j div blocks, mapped through the source's own permutation."""
+    # The optimizer takes the exploded rows for as few as the plan's, so joins with them name their kind.
     total, blocks = plan.agg(F.coalesce(F.sum("slots"), F.lit(0)), F.coalesce(F.sum("blocks"), F.lit(0))).first()
-    slots = numbered(plan, "slots", total).select("rank", "i", F.lit(0).alias("mix"))
-    counts = ranked(slots, ["mix"], F.lit(total), "slot", ["rank", "i"]).groupBy(F.floor(F.col("pos") / shard).cast("long").alias("shard"), "rank").agg(F.count(F.lit(1)).alias("count"))
+    slots = numbered(plan, "slots", total).select("rank", "blocks", "i", F.lit(0).alias("mix"))
+    counts = ranked(slots, ["mix"], F.lit(total), "slot", ["rank", "i"]).groupBy(F.floor(F.col("pos") / shard).cast("long").alias("shard"), "rank", "blocks").agg(F.count(F.lit(1)).alias("count"))
     counts = counts.withColumn("first", F.sum("count").over(Window.partitionBy("rank").orderBy("shard")) - F.col("count"))
-    dealt = counts.join(plan.select("rank", "blocks"), "rank").repartition(max(1, min(total >> 14, 100_000)), "rank", "shard")
+    dealt = counts.repartition(max(1, min(total >> 14, 100_000)), "rank", "shard")
     drawn = dealt.select("shard", "rank", "blocks", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("count") - 1)).alias("j"))
     drawn = drawn.select("rank", "shard", F.floor(F.col("j") / F.col("blocks")).cast("long").alias("pass"), (F.col("j") % F.col("blocks")).alias("pos"))
     places = ranked(numbered(plan, "blocks", blocks).filter("slots > 0"), ["rank"], F.col("blocks"), "block", ["i"])
-    return drawn.join(places.select("rank", "pos", F.col("i").alias("block")), ["rank", "pos"]).select("rank", "pass", "block", "shard")
+    return drawn.join(places.select("rank", "pos", F.col("i").alias("block")).hint("merge"), ["rank", "pos"]).select("rank", "pass", "block", "shard")
 
 
 def sized_rows(docs: DataFrame) -> DataFrame:
@@ -127,9 +128,9 @@ def mix(docs: DataFrame, block: int = BLOCK, passes: int = PASSES, shard: int =
     each; a null doc_id comes first in its source; an empty table gives no rows. Reruns agree: all draws are functions of the sizes."""
     rows, drawn = mix_sizes(docs, block, passes, shard)
     uses = drawn.groupBy("rank", "block").agg(F.count(F.lit(1)).alias("uses"))
-    taken = block_rows(rows, block).join(uses, ["rank", "block"]).groupBy("rank", "start").agg(F.sum(F.col("uses") * (F.col("high") - F.col("low"))).alias("taken"))
+    taken = block_rows(rows, block).join(uses.hint("merge"), ["rank", "block"]).groupBy("rank", "start").agg(F.sum(F.col("uses") * (F.col("high") - F.col("low"))).alias("taken"))
     taken = taken.withColumn("some", F.lit(True))
-    out = rows.withColumn("some", F.col("size") > 0).join(taken, ["rank", "start", "some"], "left")
+    out = rows.withColumn("some", F.col("size") > 0).join(taken.hint("merge"), ["rank", "start", "some"], "left")
     return out.select("doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
 
@@ -137,17 +138,17 @@ def mixed_documents(docs: DataFrame, block: int = BLOCK, passes: int = PASSES, s
     """The mix as documents, with docs' columns: for each pass a row of a document with the words that its taken blocks hold, each with
     the white space after it; n_chars follows the text. A row that no pass takes words of is left out."""
     rows, drawn = mix_sizes(docs, block, passes, shard)
-    cuts = block_rows(rows, block).join(drawn, ["rank", "block"]).groupBy("rank", "start", "pass").agg(F.sort_array(F.collect_list(F.struct("low", "high"))).alias("cut"))
+    cuts = block_rows(rows, block).join(drawn.hint("merge"), ["rank", "block"]).groupBy("rank", "start", "pass").agg(F.sort_array(F.collect_list(F.struct("low", "high"))).alias("cut"))
     cuts = cuts.groupBy("rank", "start").agg(F.collect_list("cut").alias("cuts"))
     again = Window.partitionBy("doc_id", "source", "size", "spread").orderBy("start")
-    keyed = rows.filter("size > 0").join(cuts, ["rank", "start"]).withColumn("again", F.row_number().over(again)).select(*(F.col(c).alias(f"_{c}") for c in ("doc_id", "source", "size", "spread", "again")), "cuts")
+    keyed = rows.filter("size > 0").join(cuts.hint("merge"), ["rank", "start"]).withColumn("again", F.row_number().over(again)).select(*(F.col(c).alias(f"_{c}") for c in ("doc_id", "source", "size", "spread", "again")), "cuts")
     text = F.col("text").cast("string")
     wide = docs.withColumns({"_w": n_words(text), "_s": F.xxhash64(text), "_i": F.col("doc_id").cast("long"), "_o": F.col("source").cast("string")})
     wide = wide.withColumn("_n", F.row_number().over(Window.partitionBy("_i", "_o", "_w", "_s").orderBy(F.lit(1))))
     same = F.col("_i").eqNullSafe(F.col("_doc_id")) & F.col("_o").eqNullSafe(F.col("_source")) & (F.col("_w") == F.col("_size")) & (F.col("_s") == F.col("_spread")) & (F.col("_n") == F.col("_again"))
     words = F.regexp_extract_all(text, F.lit(r"([^\x20\x09-\x0D]+[\x20\x09-\x0D]*)"), 1)
     texts = let(words, lambda w: F.transform("cuts", lambda cut: F.array_join(F.transform(cut, lambda c: F.array_join(F.slice(w, c["low"].cast("int") + 1, (c["high"] - c["low"]).cast("int")), "")), "")))
-    out = wide.join(keyed, same).withColumn("_texts", texts).withColumn("_text", F.explode("_texts"))
+    out = wide.join(keyed.hint("merge"), same).withColumn("_texts", texts).withColumn("_text", F.explode("_texts"))
     made = {"text": F.col("_text"), "n_chars": F.length("_text").cast("long")}
     return out.select(*(made[c].alias(c) if c in made else F.col(c) for c in docs.columns))
 
