@@ -19,6 +19,8 @@ IDENTITY, LIKENESS = 8, 256
 #: Words in the windows whose signed votes make a paragraph's likeness vector.
 WINDOW = 3
 _LANES = np.arange(1, IDENTITY + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+#: A byte's bits, from the lowest, as the bytes of a number.
+_SPREAD = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").view("<u8").ravel()
 _VOTES = np.arange(1, LIKENESS // 64 + 1, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03)
 
 
@@ -33,19 +35,18 @@ def paragraph_spans(flat: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.n
     return starts, ends, before
 
 
-def _sums(rows: np.ndarray, before: np.ndarray, width: int, make) -> np.ndarray:
-    """For each text, the sum of make(rows of the text) over axis 0, in slices of bounded size."""
+def _sums(rows: np.ndarray, before: np.ndarray, width: int, add) -> np.ndarray:
+    """For each text, the sum of its rows' vectors, in slices of bounded size; add(rows, edges) gives the sums between the edges."""
     out = np.zeros((len(before) - 1, width), np.uint64)
     step = max(1, CHUNK // width)
     at = 0
     with np.errstate(over="ignore"):
         while at < len(rows):
             to = min(len(rows), at + step)
-            vectors = make(rows[at:to])
             first, last = np.searchsorted(before, at, "right") - 1, np.searchsorted(before, to, "left")
             edges = np.maximum(before[first:last], at) - at
             some = np.flatnonzero(np.diff(np.append(edges, to - at)) > 0)
-            out[first + some] += np.add.reduceat(vectors, edges[some], axis=0)
+            out[first + some] += add(rows[at:to], edges[some])
             at = to
     return out
 
@@ -54,10 +55,17 @@ def _identity(h: np.ndarray) -> np.ndarray:
     return mixed(h[:, None] + _LANES[None, :])
 
 
-def _likeness(h: np.ndarray) -> np.ndarray:
+def _identity_sums(h: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    return np.add.reduceat(_identity(h), edges, axis=0)
+
+
+def _likeness_sums(h: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """Sums of +1 and -1 by the hashes' bits: eight bits are counted as the bytes of one number, in runs of 255 rows at most."""
     bits = mixed(h[:, None] ^ _VOTES[None, :])
-    signs = np.unpackbits(bits.view(np.uint8), axis=1, bitorder="little")
-    return signs.astype(np.uint64) * np.uint64(2) - np.uint64(1)
+    runs = np.union1d(edges, np.arange(0, len(h), 255))
+    ones = np.add.reduceat(_SPREAD[bits.view(np.uint8)], runs, axis=0).view(np.uint8)
+    ones = np.add.reduceat(ones.astype(np.uint64), np.searchsorted(runs, edges), axis=0)
+    return ones * np.uint64(2) - np.diff(np.append(edges, len(h))).astype(np.uint64)[:, None]
 
 
 def vectors(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -73,7 +81,7 @@ def vectors(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     edges = np.append(starts, len(flat))
     w_starts, w_ends, counts = word_spans(flat, edges)
     wins, of_paragraph = windows(span_hashes(flat, w_starts, w_ends, lower=False), counts, WINDOW)
-    return _sums(whole, before, IDENTITY, _identity), _sums(wins, of_paragraph[before], LIKENESS, _likeness).astype(np.uint16)
+    return _sums(whole, before, IDENTITY, _identity_sums), _sums(wins, of_paragraph[before], LIKENESS, _likeness_sums).astype(np.uint16)
 
 
 def insert(fingerprint: str, paragraph: str, times: int = 1) -> str:
