@@ -15,6 +15,8 @@ from .common import FEW, components, flat_text, list_array, mixed, only, pieces,
 ROWS, BANDS = 6, 48
 #: Buckets of more documents than this are compared in blocks, whose chunks hold this much (shingles, and PER for each document).
 CROWD, CHUNK, PER = 16, 200_000, 400
+#: Bytes of text that a worker looks at in one go, as its arrays hold some 30 times as much.
+PIECE = 1 << 20
 #: Odd numbers of the bijection of 32-bit numbers that serves as the second permutation.
 _FIRST, _SECOND = np.uint32(0x85EBCA6B), np.uint32(0xC2B2AE35)
 
@@ -51,7 +53,7 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
 
     def work(batches):
         numbers = np.arange(1, BANDS + 1, dtype=np.uint64)
-        for b in pieces(batches, "_text"):
+        for b in pieces(batches, "_text", PIECE):
             size, one, two, bands = [], [], [], []
             for s in shingle_sets(b.column("_text"), width):
                 size.append(len(s))
@@ -80,7 +82,7 @@ def sets_of(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
     """doc_id and its set, for the documents among ids; computed again rather than kept, as a set is larger than its text."""
 
     def work(batches):
-        for b in pieces(batches, "_text"):
+        for b in pieces(batches, "_text", PIECE):
             found = list(shingle_sets(b.column("_text"), width))
             before = np.cumsum([0] + [len(s) for s in found])
             yield pa.RecordBatch.from_arrays([b.column("_id"), list_array(np.concatenate(found).view(np.int64), before)], ["doc_id", "set"])

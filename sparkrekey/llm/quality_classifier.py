@@ -6,7 +6,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +24,8 @@ BALANCE = 0.25
 #: Shares of a text's words at which a shape counts as frequent.
 SHARES = (1 / 64, 1 / 16, 1 / 4, 1 / 2)
 _KINDS = 8
+#: Bytes of text that a worker looks at in one go, as its arrays hold some 40 times as much.
+PIECE = 1 << 20
 
 
 def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -131,7 +132,7 @@ def fit(docs: DataFrame, ratings: DataFrame, sample: int = SAMPLE) -> OrdinalMod
     rows = rows.join(F.broadcast(chosen), F.col("_id") == F.col("doc_id")).select("_id", "grade", "_text")  # at most `sample` short rows
 
     def work(batches):
-        for b in pieces(batches, "_text"):
+        for b in pieces(batches, "_text", PIECE):
             doc, bucket, n = features(b.column("_text"))
             lists = np.split(bucket.astype(np.int32), np.searchsorted(doc, np.arange(1, len(n))))
             yield pa.RecordBatch.from_pydict({"id": b.column("_id"), "grade": b.column("grade"), "buckets": pa.array(lists, pa.list_(pa.int32()))})
@@ -148,18 +149,18 @@ def score(docs: DataFrame, model: OrdinalModel, text_col: str = "text") -> DataF
     """docs with _grade (expected, 0 to 2), _tail (probability of GRADE or better) and _kept. A text without words has 0, 0 and false."""
     shared = docs.sparkSession.sparkContext.broadcast((model.weights.astype(np.float32), model.thresholds))
 
-    @F.pandas_udf("grade double, tail double")
-    def judge(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("grade double, tail double")
+    def judge(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         weights, thresholds = shared.value
         now = OrdinalModel(weights, thresholds)
         for texts in batches:
-            out = []
-            table = pa.RecordBatch.from_pydict({"t": pa.array(texts, pa.large_string(), from_pandas=True)})
-            for b in pieces(iter([table]), "t"):
+            out = [np.empty((2, 0))]
+            for b in pieces(iter([pa.RecordBatch.from_arrays([texts], ["t"])]), "t", PIECE):
                 doc, bucket, n = features(b.column("t"))
-                grade, tail = now.grades(np.bincount(doc, weights=weights[bucket], minlength=len(n)))
-                out.append(pd.DataFrame({"grade": np.where(n > 0, grade, 0.0), "tail": np.where(n > 0, tail, 0.0)}))
-            yield pd.concat(out, ignore_index=True) if out else pd.DataFrame({"grade": [], "tail": []})
+                found = now.grades(np.bincount(doc, weights=weights[bucket], minlength=len(n)))
+                out.append(np.where(n > 0, found, 0.0))
+            grade, tail = np.concatenate(out, axis=1)
+            yield pa.StructArray.from_arrays([pa.array(grade), pa.array(tail)], ["grade", "tail"])
 
     judged = docs.withColumn("_judged", judge(F.col(text_col).cast("string")))
     return judged.select(*docs.columns, F.col("_judged.grade").alias("_grade"), F.col("_judged.tail").alias("_tail"), (F.col("_judged.tail") >= CHANCE).alias("_kept"))
