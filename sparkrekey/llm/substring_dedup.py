@@ -146,10 +146,60 @@ def _grow(x: np.ndarray, y: np.ndarray) -> tuple[int, int]:
     return end, equal
 
 
-def align(x: np.ndarray, y: np.ndarray, p: np.ndarray, q: np.ndarray) -> tuple[int, int, int, int, int]:
-    """(x begin, x end, y begin, y end, equal words) of the passage around a chain of matches x[p:p+SEED] = y[q:q+SEED]."""
-    left, equal = _grow(x[: p[0]][::-1], y[: q[0]][::-1])
+def _gap(x: np.ndarray, y: np.ndarray) -> list[np.ndarray]:
+    """Steps (words of x, words of y, equal words) over what lies between two matches: equal words at both ends one by one, the rest as one step."""
+    n = min(len(x), len(y))
+    same = x[:n] == y[:n]
+    head = n if same.all() else int(same.argmin())
+    same = x[len(x) - n + head :][::-1] == y[len(y) - n + head :][::-1]
+    tail = n - head if same.all() else int(same.argmin())
+    u, v = x[head : len(x) - tail], y[head : len(y) - tail]
+    return [np.ones((head, 3), np.int64), np.array([[len(u), len(v), equal_in_gap(u, v)]]), np.ones((tail, 3), np.int64)]
+
+
+def _diagonal(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    return np.column_stack([np.ones((len(x), 2), np.int64), x == y])
+
+
+def alike_parts(steps: np.ndarray) -> list[tuple[int, int]]:
+    """Ranges of the steps (words of x, words of y, equal words) with at least ALIKE of the words of either side equal: all of them if they are, or else the longest, then the longest left and right of it, and so on."""
+    at = np.concatenate([np.zeros((1, 3), np.int64), np.cumsum(steps, axis=0)])
+    over = at[:, 2:] - ALIKE * at[:, :2]
+    full = (steps[:, 0] == steps[:, 2]) & (steps[:, 1] == steps[:, 2])
+    # parts begin where equal words begin and end where they end
+    begins, ends = np.flatnonzero(full & ~np.append(False, full[:-1])), np.flatnonzero(full & ~np.append(full[1:], False)) + 1
+    out, todo = [], [(0, len(steps))]
+    while todo:
+        low, high = todo.pop()
+        i, j = begins[(begins >= low) & (begins < high)], ends[(ends > low) & (ends <= high)]
+        if not len(i) or at[j[-1], 0] - at[i[0], 0] < PART:
+            continue
+        low, high = (low, high) if (low, high) == (0, len(steps)) else (int(i[0]), int(j[-1]))
+        if (over[high] >= over[low] - 1e-9).all():
+            out.append((low, high))
+            continue
+        # a step after which no sum comes up to the least before it is in no part
+        most, least = np.maximum.accumulate(over[j][::-1])[::-1], np.minimum.accumulate(over[i])
+        dead = np.flatnonzero((most[1:] < least[:-1] - 1e-9).any(axis=1))
+        if len(dead):
+            todo += list(zip([low, *i[dead + 1].tolist()], [*j[dead].tolist(), high]))
+            continue
+        best = (0, 0, 0)
+        for k in range(len(i)):
+            last = j[k + int(np.flatnonzero((over[j[k:]] >= over[i[k]] - 1e-9).all(axis=1))[-1])]
+            best = max(best, (int(at[last, 0] - at[i[k], 0]), int(i[k]), int(last)))
+        out.append(best[1:])
+        todo += [(low, best[1]), (best[2], high)]
+    return sorted(out)
+
+
+def align(x: np.ndarray, y: np.ndarray, p: np.ndarray, q: np.ndarray) -> list[tuple[int, int, int, int, int]]:
+    """(x begin, x end, y begin, y end, equal words) of the alike parts around a chain of matches x[p:p+SEED] = y[q:q+SEED].
+
+    The chain is cut at stretches that bring the equal share below ALIKE; the pieces grow into the cuts as far as they stay alike."""
+    left, _ = _grow(x[: p[0]][::-1], y[: q[0]][::-1])
     x0, y0, a, b = p[0] - left, q[0] - left, p[0], q[0]
+    steps = [_diagonal(x[x0:a], y[y0:b])]
     turns = np.flatnonzero(np.diff(p - q)) + 1
     for run in np.split(np.arange(len(p)), turns):
         s, t = p[run[0]], q[run[0]]
@@ -157,12 +207,28 @@ def align(x: np.ndarray, y: np.ndarray, p: np.ndarray, q: np.ndarray) -> tuple[i
             skip = max(a - s, b - t)
             s, t = s + skip, t + skip
         e = max(s, p[run[-1]] + SEED)
-        equal += equal_in_gap(x[a:s], y[b:t])
         f = t + (e - s)
-        equal += int((x[s:e] == y[t:f]).sum())
+        steps += [*_gap(x[a:s], y[b:t]), _diagonal(x[s:e], y[t:f])]
         a, b = e, f
-    right, more = _grow(x[a:], y[b:])
-    return x0, a + right, y0, b + right, equal + more
+    right, _ = _grow(x[a:], y[b:])
+    steps = np.concatenate([*steps, _diagonal(x[a : a + right], y[b : b + right])])
+    steps = steps[steps[:, :2].any(axis=1)]
+    at = np.concatenate([[[x0, y0, 0]], np.cumsum(steps, axis=0) + [x0, y0, 0]])
+    found = alike_parts(steps)
+    out, (c, d) = [], (0, 0)
+    for k, (i, j) in enumerate(found):
+        (a, b, _), (e, f, _) = at[i], at[j]
+        u, v = at[found[k + 1][0], :2] if k + 1 < len(found) else (len(x), len(y))
+        same = at[j, 2] - at[i, 2]
+        left, more = _grow(x[c:a][::-1], y[d:b][::-1]) if i else (0, 0)
+        if same + more >= ALIKE * (max(e - a, f - b) + left):
+            a, b, same = a - left, b - left, same + more
+        right, more = _grow(x[e:u], y[f:v]) if j < len(steps) else (0, 0)
+        if same + more >= ALIKE * (max(e - a, f - b) + right):
+            e, f, same = e + right, f + right, same + more
+        c, d = e, f
+        out.append((int(a), int(e), int(b), int(f), int(same)))
+    return out
 
 
 def repeated_passages(docs: DataFrame) -> DataFrame:
@@ -206,9 +272,9 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
             for k in range(b.num_rows):
                 x, y = get["view0"][k].values.to_numpy(), get["view1"][k].values.to_numpy()
                 x0, y0 = get["low0"][k].as_py(), get["low1"][k].as_py()
-                a, e, c, f, same = align(x, y, get["p"][k].values.to_numpy() - x0, get["q"][k].values.to_numpy() - y0)
-                if e - a >= PART and same >= ALIKE * max(e - a, f - c):
-                    rows.append((get["doc_id"][k].as_py(), a + x0, e + x0, get["partner"][k].as_py(), c + y0, f + y0, same))
+                for a, e, c, f, same in align(x, y, get["p"][k].values.to_numpy() - x0, get["q"][k].values.to_numpy() - y0):
+                    if e - a >= PART:
+                        rows.append((get["doc_id"][k].as_py(), a + x0, e + x0, get["partner"][k].as_py(), c + y0, f + y0, same))
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(7)], names)
 
     fields = "doc_id long, start_word long, end_word long, partner_id long, partner_start long, partner_end long, equal_words long"

@@ -191,6 +191,39 @@ def test_repeated_passages(spark):
     assert all(90 < x.start_word < 110 and 160 < x.end_word < 180 and x.equal_words >= 0.8 * 66 for x in got)
 
 
+def test_passages_with_other_words_between(spark):
+    r = random.Random(12)
+    docs, want = [], {}
+    for gap in (40, 100, 200, 400):
+        for inserted in (False, True):
+            one, two, k = words(r, 60), words(r, 60), len(docs)
+            docs.append((k, f"{words(r, 80)} {one} {words(r, 0 if inserted else gap)} {two} {words(r, 80)}"))
+            docs.append((k + 1, f"{words(r, 80)} {one} {words(r, gap)} {two} {words(r, 80)}"))
+            want[k + 1] = [(80, 140), (140 + gap, 200 + gap)]
+    copy = words(r, 300).split()
+    k = len(docs)
+    docs += [(k, " ".join(copy)), (k + 1, " ".join(copy[:100] + words(r, 100).split() + copy[200:]))]
+    want[k + 1] = [(0, 100), (200, 300)]
+    got = substring_dedup.repeated_passages(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    for i, spans in want.items():
+        assert sorted((x.passage_start, x.passage_end) for x in got if x.doc_id == i) == spans
+    assert {x.doc_id for x in got} == set(want)
+
+
+def test_alike_parts_against_brute_force():
+    r = random.Random(13)
+    for _ in range(300):
+        steps = np.array([(1, 1, 1) if (c := r.random()) < 0.75 else (1, 1, 0) if c < 0.9 else (r.randint(0, 9), r.randint(1, 9), 0) for _ in range(r.randint(20, 90))])
+        alike = lambda i, j: (steps[i:j, 2].sum() >= substring_dedup.ALIKE * steps[i:j, :2].sum(axis=0) - 1e-9).all()
+        n = len(steps)
+        full = [bool(s.all()) for s in steps]
+        lengths = [steps[i:j, 0].sum() for i in range(n) for j in range(i + 1, n + 1) if full[i] and full[j - 1] and alike(i, j)]
+        got = substring_dedup.alike_parts(steps)
+        assert all(alike(i, j) for i, j in got) and all(a[1] <= b[0] for a, b in zip(got, got[1:]))
+        longest = n and steps[:, 0].sum() if alike(0, n) else max(lengths, default=0)
+        assert max((steps[i:j, 0].sum() for i, j in got), default=0) >= (longest if longest >= substring_dedup.PART else 0)
+
+
 def test_chains_are_the_best():
     r = random.Random(10)
     for _ in range(100):
