@@ -24,15 +24,14 @@ ALIKE, STRETCH = 0.8, 64
 
 
 def sampled_seeds(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, place) of a text's minimizers: in each window of WINDOW seeds the least; each hash once, at its first place."""
+    """(hash, place) of a text's minimizers: in each window of WINDOW seeds the least; a repeated one at each of its places."""
     every, _ = windows(words, np.array([0, len(words)]), SEED)
     if len(every) <= WINDOW:
         places = np.array([int(every.argmin())])
     else:
         frames = np.lib.stride_tricks.sliding_window_view(every, WINDOW)
         places = np.unique(np.arange(len(frames)) + frames.argmin(axis=1))
-    hashes, first = np.unique(every[places], return_index=True)
-    return hashes, places[first]
+    return every[places], places
 
 
 def word_lists(column: pa.Array) -> Iterator[np.ndarray]:
@@ -109,7 +108,9 @@ def _chained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for doc, found in zip(b.column("doc_id").to_pylist(), b.column("found")):
             flat = found.values
             partner, q, p = (flat.field(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in range(3))
-            order = np.argsort(partner, kind="stable")
+            order = np.lexsort((p, q, partner))
+            key = np.column_stack([partner, q, p])[order]
+            order = order[np.append(True, (key[1:] != key[:-1]).any(axis=1))]  # rows that repeat a doc_id bring each match again
             for part in np.split(order, np.flatnonzero(np.diff(partner[order])) + 1):
                 for chain in chains(p[part], q[part]):
                     at = part[chain]
@@ -135,14 +136,17 @@ def equal_in_gap(x: np.ndarray, y: np.ndarray) -> int:
 def _grow(x: np.ndarray, y: np.ndarray) -> tuple[int, int]:
     """How far equal words go on, single unequal ones included while two thirds of the last six are equal; and how many are equal."""
     n = min(len(x), len(y))
-    same = x[:n] == y[:n]
-    end = equal = count = 0
-    for k in range(n):
-        count += bool(same[k])
-        if same[k]:
-            end, equal = k + 1, count
-        elif same[max(0, k - 5) : k + 1].sum() < 4:
-            break
+    end = equal = count = at = 0
+    while at < n:
+        same = (x[max(0, at - 5) : at + MARGIN][: n - max(0, at - 5)] == y[max(0, at - 5) : at + MARGIN][: n - max(0, at - 5)]).tolist()
+        skip = at - max(0, at - 5)
+        for k in range(skip, len(same)):
+            if same[k]:
+                count += 1
+                end, equal = at + k - skip + 1, count
+            elif sum(same[max(0, k - 5) : k + 1]) < 4:
+                return end, equal
+        at += len(same) - skip
     return end, equal
 
 
@@ -193,14 +197,27 @@ def alike_parts(steps: np.ndarray) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def _lists(column: pa.ListArray):
+    """A function that returns the k-th list as an array."""
+    values, off = column.values.to_numpy(), column.offsets.to_numpy()
+    return lambda k: values[off[k] : off[k + 1]]
+
+
 def align(x: np.ndarray, y: np.ndarray, p: np.ndarray, q: np.ndarray) -> list[tuple[int, int, int, int, int]]:
     """(x begin, x end, y begin, y end, equal words) of the alike parts around a chain of matches x[p:p+SEED] = y[q:q+SEED].
 
     The chain is cut at stretches that bring the equal share below ALIKE; the pieces grow into the cuts as far as they stay alike."""
     left, _ = _grow(x[: p[0]][::-1], y[: q[0]][::-1])
     x0, y0, a, b = p[0] - left, q[0] - left, p[0], q[0]
-    steps = [_diagonal(x[x0:a], y[y0:b])]
     turns = np.flatnonzero(np.diff(p - q)) + 1
+    if not len(turns):  # one diagonal, as most chains are
+        e, f = p[-1] + SEED, q[-1] + SEED
+        right, _ = _grow(x[e:], y[f:])
+        e, f = e + right, f + right
+        same = int((x[x0:e] == y[y0:f]).sum())
+        if e - x0 < PART or same >= ALIKE * (e - x0):
+            return [(int(x0), int(e), int(y0), int(f), same)] if e - x0 >= PART else []
+    steps = [_diagonal(x[x0:a], y[y0:b])]
     for run in np.split(np.arange(len(p)), turns):
         s, t = p[run[0]], q[run[0]]
         if s < a or t < b:  # it overlaps what is aligned already
@@ -238,10 +255,10 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     document that meet or overlap make a passage, and passages of PASSAGE words or more are returned. Each seed is joined with its
     first document only, so the rows grow with the corpus whatever the number of copies; a third document with the same passage
     has a row of its own. Words are lower-cased in A-Z. Null, short and wordless texts, and null ids, have no rows; rows that repeat a doc_id are one
-    document; within a document a repeated seed counts at its first place."""
+    document; a document's repeated seed counts at each of its places, each met with the first place in the partner, so later copies of a passage are found too."""
     folder = work_folder(docs.sparkSession)
     every = seeds(docs)
-    least = every.groupBy("seed").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "place")).alias("first")).filter("n > 1")
+    least = every.groupBy("seed").agg(F.max("doc_id").alias("last"), F.min(F.struct("doc_id", "place")).alias("first")).filter("last > first.doc_id")
     anchors = written(least.select("seed", F.col("first.doc_id").alias("partner"), F.col("first.place").alias("q")), folder, "anchors")
     matches = every.join(anchors, "seed").filter("doc_id <> partner")
     lists = matches.groupBy("doc_id").agg(F.collect_list(F.struct("partner", "q", F.col("place").alias("p"))).alias("found"))  # at most a document's own seeds
@@ -268,13 +285,12 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
         names = ["doc_id", "start_word", "end_word", "partner_id", "partner_start", "partner_end", "equal_words"]
         for b in batches:
             rows = []
-            get = {n: b.column(n) for n in b.schema.names}
-            for k in range(b.num_rows):
-                x, y = get["view0"][k].values.to_numpy(), get["view1"][k].values.to_numpy()
-                x0, y0 = get["low0"][k].as_py(), get["low1"][k].as_py()
-                for a, e, c, f, same in align(x, y, get["p"][k].values.to_numpy() - x0, get["q"][k].values.to_numpy() - y0):
+            ids, partners, low0, low1 = (b.column(n).to_pylist() for n in ("doc_id", "partner", "low0", "low1"))
+            view0, view1, p, q = (_lists(b.column(n)) for n in ("view0", "view1", "p", "q"))
+            for k, (i, j, x0, y0) in enumerate(zip(ids, partners, low0, low1)):
+                for a, e, c, f, same in align(view0(k), view1(k), p(k) - x0, q(k) - y0):
                     if e - a >= PART:
-                        rows.append((get["doc_id"][k].as_py(), a + x0, e + x0, get["partner"][k].as_py(), c + y0, f + y0, same))
+                        rows.append((i, a + x0, e + x0, j, c + y0, f + y0, same))
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(7)], names)
 
     fields = "doc_id long, start_word long, end_word long, partner_id long, partner_start long, partner_end long, equal_words long"

@@ -210,6 +210,16 @@ def test_passages_with_other_words_between(spark):
     assert {x.doc_id for x in got} == set(want)
 
 
+def test_later_copies_of_a_passage_in_a_document(spark):
+    r = random.Random(14)
+    shared, refrain = words(r, 80), " ".join([words(r, 7)] * 20)
+    docs = [(0, f"{words(r, 60)} {shared} {words(r, 60)}"), (1, f"{words(r, 60)} {shared} {words(r, 100)} {shared} {words(r, 500)} {shared}"), (2, f"{words(r, 60)} {refrain}"), (3, f"{words(r, 90)} {refrain} {words(r, 60)}")]
+    docs.append(docs[1])
+    got = substring_dedup.repeated_passages(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert sorted((x.doc_id, x.passage_start, x.passage_end) for x in got if x.doc_id < 3) == [(1, 60, 140), (1, 240, 320), (1, 820, 900)]
+    assert {(x.passage_start, x.passage_end) for x in got if x.doc_id == 3} == {(90, 230)}
+
+
 def test_alike_parts_against_brute_force():
     r = random.Random(13)
     for _ in range(300):
