@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import itertools
 import random
 import re
 from collections.abc import Iterator
@@ -76,42 +77,47 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 #: Most tokens in an entity, and log2 of the number of weights for each kind.
 LONGEST, BITS = 20, 14
 _TOKEN = re.compile(r"[0-9]+|[^\W\d_]+|\s|.", re.S)
-#: A segment can only be an entity if it holds a digit, an @ or a bracketed "at"; all else is outside, whatever the weights.
-_TRIGGER = re.compile(r"[0-9@]+|[\[(]\s?at\s?[\])]", re.I)
-_NEAR = 48
+#: Tokens before a segment, and after it, that its features look at.
+BEFORE, AFTER = 4, 1
+#: A segment can only be an entity if it holds a digit, an @ or an "at" after an opening bracket; all else is outside, whatever the weights.
+_TRIGGER = re.compile(r"[0-9@]+|[\[(](?:[0-9]+|[\W\d_])?at(?![^\W\d_])", re.I)
+
+
+def _back(text: str, at: int, low: int, count: int) -> int:
+    """Where the last `count` tokens before `at` begin, or low. Tokens are the same read backwards."""
+    size = 256
+    while True:
+        ends = [m.end() for m in itertools.islice(_TOKEN.finditer(text[max(low, at - size) : at][::-1]), count + 1)]
+        if len(ends) > count:
+            return at - ends[count - 1]
+        if at - size <= low:
+            return low
+        size *= 4
+
+
+def _ahead(text: str, at: int, high: int, count: int) -> int:
+    for m in itertools.islice(_TOKEN.finditer(text, at, high), count):
+        at = m.end()
+    return at
 
 
 def islands(text: str, taken: list[tuple[int, int, int]]) -> Iterator[tuple[int, int]]:
-    """Stretches around triggers outside the taken spans, widened to white space (at most _NEAR characters beyond), merged if they meet.
-
-    Every entity of bounded length lies in one of them, so decoding them alone is decoding the text."""
-    start = end = -1
-    borders = [(a, b) for a, b, _ in taken]
-    k = 0
-    for m in _TRIGGER.finditer(text):
-        while k < len(borders) and borders[k][1] <= m.start():
-            k += 1
-        if any(a < m.end() and m.start() < b for a, b in borders[k : k + 4]):
-            continue
-        low = max([m.start() - _NEAR, 0, *(b for a, b in borders[max(0, k - 4) : k + 1] if b <= m.start())])
-        high = min([m.end() + _NEAR, len(text), *(a for a, b in borders[k : k + 4] if a >= m.end())])
-        left = m.start()
-        while left > low and not text[left - 1].isspace():
-            left -= 1
-        right = m.end()
-        while right < high and not text[right].isspace():
-            right += 1
-        # one chunk more on either side, for numbers and addresses that blanks divide
-        left = max(low, text.rfind(" ", low, max(low, left - 1)) + 1 if text.rfind(" ", low, max(low, left - 1)) >= 0 else left)
-        right = text.find(" ", right + 1, high) if 0 <= text.find(" ", right + 1, high) else right
-        if end >= 0 and left <= end + 1 and not any(a < left and end <= a for a, b in borders[max(0, k - 2) : k + 1]):
-            end = max(end, right)
-        else:
-            if end >= 0:
+    """Stretches around triggers outside the taken spans: LONGEST tokens to both sides and those that features look at, merged if they meet.
+
+    Every segment that may be an entity lies in one of them with all that its features see, so decoding them alone is decoding the text between taken spans."""
+    low = 0
+    for high, after in [*((a, b) for a, b, _ in sorted(taken)), (len(text), len(text))]:
+        start = end = -1
+        for m in _TRIGGER.finditer(text, low, high) if low < high else ():
+            left = start if m.start() < end else _back(text, m.start(), low, LONGEST + BEFORE)
+            if end >= 0 and left > end:
                 yield start, end
-            start, end = left, right
-    if end >= 0:
-        yield start, end
+                start = -1
+            start = left if start < 0 else start
+            end = max(end, _ahead(text, m.end(), high, LONGEST + AFTER))
+        if end >= 0:
+            yield start, end
+        low = max(low, after)
 
 
 def _hash(x: tuple) -> int:
@@ -123,6 +129,15 @@ def _place(x: tuple) -> int:
     return _hash(x)
 
 
+_AT, _DOT = (re.compile(r"[\[(]\s?%s\s?[\])]" % w, re.I) for w in ("at", "dot"))
+_NAME = re.compile(r"[\w.%+-]+")
+
+
+def form(text: str) -> str:
+    """An address with its names as w, its at as @ and its bracketed dots as &: 'w @ w & w' holds one name on each side, 'w w @ w' a word too many."""
+    return _NAME.sub("w", _DOT.sub("&", _AT.sub("@", text)))
+
+
 def span_features(tokens: list[str], i: int, j: int, before: str) -> list[int]:
     """Features of the whole segment tokens[i:j]: its shape, its digits and their checks, its ends and the words around it."""
     part = tokens[i:j]
@@ -144,6 +159,7 @@ def span_features(tokens: list[str], i: int, j: int, before: str) -> list[int]:
         _place(("luhn", 12 <= len(digits) <= 19 and luhn(digits), marks, any(t[0].isalpha() for t in part))),
         _place(("dotted", dotted and all(len(t) < 4 and int(t) <= 255 for t in numbers), len(part))) if dotted else _place(("marks", marks)),
         _place(("at", at, bool(re.search(r"(\.|[\[(]\s?dot\s?[\])]\s?)[A-Za-z]{2,}$", text, re.I)), text.count("@"), " " in text and "@" in part)),
+        _place(("form", form(text) if at else "")),
         _place(("ends", part[0] if part[0] in "+([" else shape[:1], shape[-2:-1] + shape[-1:] if part[-1][0].isdigit() else part[-1] if not part[-1].isalpha() else "a")),
         _place(("edge", edge)),
         _place(("word", word if word in HINTS else "")),
@@ -335,7 +351,8 @@ class Finder:
     def added(self, text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
         out = []
         for a, b in islands(text, taken):
-            word = re.search(r"([^\W\d_]+)\W*\Z", text[max(0, a - 24) : a])
+            # only after a taken span may a segment's word lie before the island
+            word = re.search(r"([^\W\d_]+)\W*\Z", text[max(0, a - 24) : a]) if any(y == a for _, y, _ in taken) else None
             key = (word[1].lower() if word else "", text[a:b])
             if key not in self.known:
                 if len(self.known) > 20_000:

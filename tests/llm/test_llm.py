@@ -155,6 +155,24 @@ def test_the_model_finds_held_out_entities():
     assert hit / (hit + wrong) > 0.9 and hit / (hit + missed) > 0.9
 
 
+def test_islands_hold_whole_entities():
+    finder = pii.Finder(pii.trained().astype(np.float32))
+    for text in ["anna (at) mail (dot) org", "anna (at) mail.org", "anna [at] mail [dot] org is where", "write to anna (at) mail (dot) org", "write to anna (at) mail (dot) org or call us"]:
+        start, end = text.index("anna"), text.index("org") + 3
+        assert finder.spans(text) == ([], [(start, end, 0)])
+    hit = wrong = missed = 0
+    r = random.Random(15)
+    for text, spans in pii.examples(200, 99):
+        before, after = words(r, 30) + " ", " " + words(r, 30)
+        for shift, t in [(0, text), (len(before), before + text + after)]:
+            base, more = finder.spans(t)
+            found, want = set(base + more), {(a + shift, b + shift, k) for a, b, k in spans}
+            hit, wrong, missed = hit + len(found & want), wrong + len(found - want), missed + len(want - found)
+            if not base:
+                assert more == finder.model.decode(t)
+    assert hit / (hit + wrong) > 0.95 and hit / (hit + missed) > 0.95
+
+
 def test_classifier_on_held_out_rows():
     r = random.Random(7)
     grades = [r.choice([0, 1, 2, 2, 2]) for _ in range(600)]
