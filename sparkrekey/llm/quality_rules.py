@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import GAP, SPACES, let, read, work_folder, written
-from .mixing import n_words
 
 SYMBOLS = "#*$%&|<>"
 #: A line is removed from a host's documents if more than LEAST distinct texts of the host have it, and more than SHARE of them.
@@ -48,41 +47,61 @@ def normal_line(line: Column) -> Column:
 
 
 def line_rows(rows: DataFrame) -> DataFrame:
-    """key (host and normalised line), row, text hash, words and place of each line with a word."""
-    out = rows.select("host", "row", "hash", F.posexplode(lines_of(F.col("_text"))).alias("place", "line"))
-    return out.select(F.xxhash64("host", normal_line(F.col("line"))).alias("key"), "host", "row", "hash", "place", n_words(F.col("line")).alias("words"))
+    """key (host and normalised line), host, row, text hash and place (among all \\n-split lines) of each line with a word."""
+    out = rows.select("host", "row", "hash", F.posexplode(F.split("_text", "\n")).alias("place", "line")).filter(F.length(F.trim("line", F.lit(SPACES))) > 0)
+    return out.select(F.xxhash64("host", normal_line(F.col("line"))).alias("key"), "host", "row", "hash", "place")
 
 
-def judge_lines(docs: DataFrame, id_col: str = "doc_id", host_col: str = "source") -> DataFrame:
-    """One row for each row of docs: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, removed_words.
+def without(text: Column, places: Column) -> Column:
+    """The text without its \\n-split lines at these places; null places: as it is."""
+    lines = F.split(text, "\n")
+    rest = let(lines, lambda x: F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(x) - 1), places), lambda i: F.get(x, i)), "\n"))
+    return F.when(places.isNull(), text).otherwise(rest)
 
-    The method: lines are normalised (blanks collapsed, A-Z lower-cased, digits 0) and hashed; the distinct texts of the host that
-    have a line are counted (copies of a text count once); lines above the limit are removed; a depleted document is rejected. Counts are in two steps,
-    so that a line or host found everywhere is summed up before it moves. A null text is empty (0 words, base_failed), a null
-    host is the host '', repeated rows are judged alike, a null id stays null; other columns are not looked at."""
+
+def _judged(docs: DataFrame, id_col: str, host_col: str) -> DataFrame:
+    """judge_lines' columns (the id as _id), each row of docs as the struct _doc, and its text without the common lines as _clean."""
     folder = work_folder(docs.sparkSession)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(F.col(host_col).cast("string"), F.lit("")).alias("host"), text.alias("_text"))
+    rows = docs.select(F.struct(*docs.columns).alias("_doc"), F.col(id_col).cast("long").alias("_id"), F.coalesce(F.col(host_col).cast("string"), F.lit("")).alias("host"), text.alias("_text"))
     rows = rows.withColumn("hash", F.xxhash64("_text")).withColumn("row", F.xxhash64("_id", "host", "hash"))
     hosts = rows.select("host", "hash").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("texts"))
     lines = line_rows(rows)
     seen = lines.select("key", F.xxhash64("host").alias("h"), "hash").distinct()
     counts = seen.groupBy("key", "h").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > LEAST)
     limits = hosts.select(F.xxhash64("host").alias("h"), F.greatest(F.lit(float(LEAST)), F.col("texts") * SHARE).alias("limit"))
-    common = written(counts.join(limits, "h").filter("n > limit").select("key", F.lit(True).alias("over")), folder, "common")
-    gone = lines.join(common, "key", "left").groupBy("row").agg((F.sum(F.when(F.col("over"), F.col("words")).otherwise(0)) / F.sum((F.col("place") == 0).cast("int"))).cast("long").alias("removed_words"))
+    common = written(counts.join(limits, "h").filter("n > limit").select("key"), folder, "common")
+    gone = lines.join(common, "key").groupBy("row").agg(F.collect_set("place").alias("places"))  # at most a document's own lines
     chars = F.length(F.translate(F.col("_text"), SPACES, ""))
     counted = rows.select(
-        "_id", "row", chars.cast("long").alias("word_chars"), (F.length("_text") - F.length(F.translate("_text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
+        "_doc", "_id", "row", "_text", chars.cast("long").alias("word_chars"), (F.length("_text") - F.length(F.translate("_text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
         let(lines_of(F.col("_text")), lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
         let(words_of(F.col("_text")), lambda w: F.struct(F.size(w).cast("long").alias("n"), repeat_words(w).cast("long").alias("r"))).alias("w"),
     )
-    out = counted.join(gone.filter("removed_words > 0"), "row", "left").select(F.col("_id").alias(id_col), F.col("w.n").alias("n_words"), "word_chars", "n_symbols", "n_dup_lines", F.col("w.r").alias("n_repeat_words"), F.coalesce("removed_words", F.lit(0)).alias("removed_words"))
+    out = counted.join(gone, "row", "left").select("_doc", "_id", F.col("w.n").alias("n_words"), "word_chars", "n_symbols", "n_dup_lines", F.col("w.r").alias("n_repeat_words"), "places", without(F.col("_text"), F.col("places")).alias("_clean"))
+    out = out.withColumn("removed_words", F.when(F.col("places").isNull(), F.lit(0).cast("long")).otherwise(F.col("n_words") - F.size(words_of(F.col("_clean")))))
     out = out.withColumn("base_failed", (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words")))
     depleted = (F.col("removed_words") > F.col("n_words") * DEPLETED) | (F.col("n_words") - F.col("removed_words") < FEWEST)
     return out.withColumn("kept", ~F.col("base_failed") & ~depleted)
 
 
+def judge_lines(docs: DataFrame, id_col: str = "doc_id", host_col: str = "source") -> DataFrame:
+    """One row for each row of docs: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, removed_words.
+
+    The method: lines are normalised (blanks collapsed, A-Z lower-cased, digits 0) and hashed; the distinct texts of the host that
+    have a line are counted (copies of a text count once); lines above the limit are removed; a depleted document is rejected. Counts are in two steps,
+    so that a line or host found everywhere is summed up before it moves. A null text is empty (0 words, base_failed), a null
+    host is the host '', repeated rows are judged alike, a null id stays null; other columns are not looked at. removed_words counts
+    what clean_lines' text has lost."""
+    return _judged(docs, id_col, host_col).select(F.col("_id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "removed_words", "base_failed", "kept")
+
+
+def clean_lines(docs: DataFrame, id_col: str = "doc_id", host_col: str = "source") -> DataFrame:
+    """The rows of docs that judge_lines keeps, their texts without the common lines; n_chars follows, if there is one."""
+    made = {"text": F.col("_clean"), "n_chars": F.length("_clean").cast("long")}
+    return _judged(docs, id_col, host_col).filter("kept").select(*(made.get(c, F.col(f"_doc.`{c}`")).alias(c) for c in docs.columns))
+
+
 def op7_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_lines(read(spark, sf_dir, "documents"))
 

@@ -55,6 +55,27 @@ def test_query_matches_sql(spark, same, name):
     same(QUERIES[name](spark, SF), ORACLES[name], SF)
 
 
+def test_common_lines_leave_the_text(spark, odd):
+    r = random.Random(16)
+    rows, want = [], {}
+    for i in range(30):
+        a, b = words(r, 20), words(r, 20)
+        rows.append((i, f"{a}\n\n  Share  this PAGE {i % 10}\n{b}\n\nshare this page 7" if i < 12 else f"{a}\n{b}", "s", 0, "x"))
+        want[i] = f"{a}\n\n{b}\n" if i < 12 else f"{a}\n{b}"
+    rows += [(40, "share this page 1\n" + words(r, 9), "s", 0, "x"), (41, f"share this page 1\n{words(r, 12)}", "t", 0, "x"), (42, None, "s", 0, "x"), (0, rows[0][1], "s", 0, "x")]
+    want[41] = rows[31][1]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long, key string")
+    out = quality_rules.clean_lines(docs)
+    got = out.collect()
+    assert out.columns == docs.columns and sorted((x.doc_id, x.text) for x in got) == sorted([*want.items(), (0, want[0])])
+    assert all(x.n_chars == len(x.text) and x.key == "x" for x in got)
+    judged = {x.doc_id: x for x in quality_rules.judge_lines(docs).collect()}
+    assert {i for i, x in judged.items() if x.kept} == set(want)
+    assert all(judged[i].n_words - judged[i].removed_words == len(t.split()) for i, t in want.items())
+    kept = quality_rules.judge_lines(odd).filter("kept").count()
+    assert quality_rules.clean_lines(odd).columns == odd.columns and quality_rules.clean_lines(odd).count() == kept
+
+
 def test_url_rules(spark):
     pages = spark.createDataFrame([(1, None), (2, "no scheme"), (3, "http://A.Example.COM/en/x?q"), (4, "http://www.example.com/en/"), (5, "x://y.net/es/1"), (5, "x://y.net/es/1"), (None, "http://example.com")], "page_id long, url string").withColumn("host", F.lit(1)).withColumn("path", F.lit(2))
     got = [(r.page_id, r.rule, r.verdict) for r in url_filter.judge_urls(pages, url_filter.rules_table(spark)).collect()]
