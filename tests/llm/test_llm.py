@@ -76,6 +76,14 @@ def test_common_lines_leave_the_text(spark, odd):
     assert quality_rules.clean_lines(odd).columns == odd.columns and quality_rules.clean_lines(odd).count() == kept
 
 
+def test_the_limit_on_a_source_of_over_a_thousand_texts(spark):
+    r = random.Random(17)
+    lines = lambda i: [words(r, 20), *(["line in sixteen"] if i < 16 else []), *(["line in fifteen"] if i < 15 else [])]
+    docs = spark.createDataFrame([(i, "\n".join(lines(i)), "s") for i in range(1500)], "doc_id long, text string, source string")
+    got = {x.doc_id: x.text for x in quality_rules.clean_lines(docs).collect()}
+    assert len(got) == 1500 and not any("sixteen" in t for t in got.values()) and sum("fifteen" in t for t in got.values()) == 15
+
+
 def test_url_rules(spark):
     pages = spark.createDataFrame([(1, None), (2, "no scheme"), (3, "http://A.Example.COM/en/x?q"), (4, "http://www.example.com/en/"), (5, "x://y.net/es/1"), (5, "x://y.net/es/1"), (None, "http://example.com")], "page_id long, url string").withColumn("host", F.lit(1)).withColumn("path", F.lit(2))
     got = [(r.page_id, r.rule, r.verdict) for r in url_filter.judge_urls(pages, url_filter.rules_table(spark)).collect()]
