@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .common import CHUNK, flat_text, mixed, pieces, read, span_hashes, windows, word_spans
 
-#: Numbers of the identity part (modulo 2^64 each) and of the likeness part (modulo 2^16 each).
+#: Numbers of the identity part (modulo 2^64 each) and of the likeness part (modulo 2^32 each, more than a text has windows).
 IDENTITY, LIKENESS = 8, 256
 #: Words in the windows whose signed votes make a paragraph's likeness vector.
 WINDOW = 3
@@ -72,7 +72,7 @@ def vectors(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The two parts of each text's fingerprint. Null: empty, all zeros.
 
     A paragraph's vector has IDENTITY numbers hashed from its bytes and LIKENESS numbers that add +1 or -1 for each of its word
-    windows; a text's is the sum over its paragraphs, modulo 2^64 and 2^16. So the order of paragraphs doesn't count, and a
+    windows; a text's is the sum over its paragraphs, modulo 2^64 and 2^32. So the order of paragraphs doesn't count, and a
     paragraph is put in or taken out by adding or subtracting its vector (see insert)."""
     flat, off = flat_text(texts)
     starts, ends, before = paragraph_spans(flat, off)
@@ -81,7 +81,7 @@ def vectors(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     edges = np.append(starts, len(flat))
     w_starts, w_ends, counts = word_spans(flat, edges)
     wins, of_paragraph = windows(span_hashes(flat, w_starts, w_ends, lower=False), counts, WINDOW)
-    return _sums(whole, before, IDENTITY, _identity_sums), _sums(wins, of_paragraph[before], LIKENESS, _likeness_sums).astype(np.uint16)
+    return _sums(whole, before, IDENTITY, _identity_sums), _sums(wins, of_paragraph[before], LIKENESS, _likeness_sums).astype(np.uint32)
 
 
 def insert(fingerprint: str, paragraph: str, times: int = 1) -> str:
@@ -94,22 +94,22 @@ def insert(fingerprint: str, paragraph: str, times: int = 1) -> str:
         x, y = vectors(pa.array(["\n"]))
         x = _identity(span_hashes(np.empty(0, np.uint8), np.zeros(1, np.int64), np.zeros(1, np.int64), False))
     with np.errstate(over="ignore"):
-        return text_of(a + x[0] * np.uint64(times % (1 << 64)), b + y[0] * np.uint16(times % (1 << 16)))
+        return text_of(a + x[0] * np.uint64(times % (1 << 64)), b + y[0] * np.uint32(times % (1 << 32)))
 
 
 def text_of(identity: np.ndarray, likeness: np.ndarray) -> str:
-    return identity.astype("<u8").tobytes().hex() + likeness.astype("<u2").tobytes().hex()
+    return identity.astype("<u8").tobytes().hex() + likeness.astype("<u4").tobytes().hex()
 
 
 def parse(fingerprint: str) -> tuple[np.ndarray, np.ndarray]:
     raw = bytes.fromhex(fingerprint)
-    return np.frombuffer(raw[: 8 * IDENTITY], "<u8"), np.frombuffer(raw[8 * IDENTITY :], "<u2")
+    return np.frombuffer(raw[: 8 * IDENTITY], "<u8"), np.frombuffer(raw[8 * IDENTITY :], "<u4")
 
 
 def likeness(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
     """0 to 1 for each row of two pairs of vectors: 1 if equal, else the cosine of the likeness parts, 0 if that is negative."""
     same = (a[0] == b[0]).all(axis=1) & (a[1] == b[1]).all(axis=1)
-    x, y = (v[1].view(np.int16).astype(np.float64) for v in (a, b))
+    x, y = (v[1].view(np.int32).astype(np.float64) for v in (a, b))
     size = np.sqrt((x * x).sum(axis=1) * (y * y).sum(axis=1))
     cosine = np.divide((x * y).sum(axis=1), size, out=np.zeros(len(x)), where=size > 0)
     return np.where(same, 1.0, np.clip(cosine, 0.0, 1.0))

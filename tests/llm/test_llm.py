@@ -140,6 +140,15 @@ def test_fingerprints_are_multisets():
     assert fingerprints.insert(of("q\n\nx y"), "") != of("q\n\nx y") and fingerprints.insert(of("q\n\nx y"), "", -1) == of("x y\nq")
 
 
+def test_likeness_of_a_line_repeated_often():
+    line = "one two three four five six seven\n"
+    for many in (10_000, 70_000):
+        a, b = ([v[[k]] for v in fingerprints.vectors(fingerprints.pa.array([line * many, line * (many // 2)]))] for k in (0, 1))
+        assert fingerprints.likeness(a, b)[0] > 0.999
+        x, y = fingerprints.parse(fingerprints.insert(fingerprints.text_of(*(v[0] for v in b)), line[:-1], many - many // 2))
+        assert (x == a[0][0]).all() and (y == a[1][0]).all()
+
+
 def test_near_groups_against_brute_force(spark):
     r = random.Random(5)
     texts = []
