@@ -36,7 +36,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [("quality_classifier", quality), ("near_dedup", near_duplicates), ("pii", personal_data), ("mixing", mix), ("packing", pack)]
-#: No stage's model or draw can be put in SQL; tests compare the stages with brute force.
+#: No stage's model or draw can be put in SQL. Tests compare the near duplicates and the redaction with brute force; of the quality stage and of run() they look at columns and counts at most.
 ORACLE_SQL = None
 
 

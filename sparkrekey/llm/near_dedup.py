@@ -188,11 +188,21 @@ def near_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame
 
 
 def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """docs without the rows of documents that are not their component's least; of rows that repeat a doc_id all stay or go."""
+    """docs without the rows of documents that are not their component's least; of rows with the same doc_id (or none) and text one stays.
+
+    Rows that share a doc_id and have other texts all stay or go."""
     folder = work_folder(docs.sparkSession)
     gone = written(near_groups(docs, width, percent).filter("NOT kept").select(F.col("doc_id").alias("_gone")).distinct(), folder, "gone")
     few = F.broadcast(gone) if gone.count() <= FEW else gone
-    return docs.join(few, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
+    left = docs.join(few, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
+    row = F.xxhash64(F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)), F.col("doc_id").isNull(), F.coalesce(F.col("text").cast("string"), F.lit("")))
+    again = written(left.groupBy(row.alias("_again")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("_again"), folder, "again")
+    n = again.count()
+    if not n:
+        return left
+    again = F.broadcast(again) if n <= FEW else again
+    once = left.withColumn("_row", row).join(again, F.col("_row") == F.col("_again"), "left_semi").dropDuplicates(["_row"]).select(*docs.columns)
+    return left.join(again, row == F.col("_again"), "left_anti").unionByName(once)
 
 
 def op6_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -320,3 +320,39 @@ def test_pipeline_stages(spark):
         if name != "packing":
             assert out.columns == docs.columns
             docs = corpus_pipeline.written(out, corpus_pipeline.work_folder(spark), name)
+
+
+def test_near_duplicates_stage_against_brute_force(spark):
+    import corpus_pipeline
+
+    r = random.Random(18)
+    bases = [words(r, 60).split() for _ in range(10)]
+    rows = [(i * 2 + 1, " ".join(w if r.random() > 0.02 else "new" for w in bases[i % 10]), "s") for i in range(40)]
+    sets = {i: {tuple(w[k : k + 5]) for k in range(len(w) - 4)} for i, w in ((i, t.split()) for i, t, _ in rows)}
+    root = {i: i for i in sets}
+    for _ in sets:
+        root = {i: min(root[j] for j, b in sets.items() if 100 * len(a & b) >= 80 * len(a | b)) for i, a in sets.items()}
+    alone = [(None, words(r, 50), "s"), (None, None, "s"), (None, "", "t"), (900, words(r, 50), "s"), (901, None, "s")]
+    docs = spark.createDataFrame(rows + rows[:3] + alone * 3, "doc_id long, text string, source string").repartition(3)
+    got = corpus_pipeline.near_duplicates(spark, docs, SF)
+    found = [x.doc_id for x in got.collect()]
+    want = [i for i in sets if root[i] == i]
+    assert got.columns == docs.columns and sorted(i for i in found if i is not None and i < 900) == want
+    assert found.count(900) == 1 and found.count(901) <= 1 and found.count(None) == 2
+
+
+def test_personal_data_stage_against_whole_texts(spark):
+    import corpus_pipeline
+
+    model = pii.SemiMarkov()
+    model.weights = pii.trained().astype(np.float32)
+    texts, want = [None, "", "a@b.co, then anna (at) mail (dot) org"], [None, "", "<email>, then <email>"]
+    for text, _ in pii.examples(150, 98):
+        if not pii.base_spans(text):
+            texts.append(text)
+            for a, b, k in reversed(model.decode(text)):
+                text = f"{text[:a]}<{pii.KINDS[k]}>{text[b:]}"
+            want.append(text)
+    docs = spark.createDataFrame([(i, t, len(t or "")) for i, t in enumerate(texts)], "doc_id long, text string, n_chars long")
+    got = sorted(corpus_pipeline.personal_data(spark, docs, SF).collect())
+    assert len(texts) > 50 and [x.text for x in got] == want and all(x.text is None or x.n_chars == len(x.text) for x in got)
