@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
+import hashlib
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -64,7 +66,7 @@ def let(value, body):
 
 
 def pieces(batches: Iterator[pa.RecordBatch], column: str, most: int = 4 * CHUNK) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of at most about `most` bytes of text (a longer text comes alone)."""
+    """The same rows in batches of at most about `most` bytes of text (a longer text comes alone); when they end, unused memory is released."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -75,6 +77,16 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str, most: int = 4 * CHUNK
             to = max(to, at + 1)
             yield batch.slice(at, to - at)
             at = to
+    release()
+
+
+def release() -> None:
+    """Gives unused memory of this worker process, which lives on for later stages, back to the machine."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library than glibc, which has no such call
+        pass
 
 
 def text_sizes(column: pa.Array) -> np.ndarray:
@@ -94,28 +106,15 @@ def flat_text(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return flat, off - off[0]
 
 
-_rng = np.random.Generator(np.random.PCG64(20240517))
-#: Any bijection of bytes to wide numbers and any odd base do; they are drawn from a fixed seed.
-_BYTES = _rng.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_BASE, _FOLD = 0x9E3779B97F4A7C15, 0x100000001B3
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+#: Odd numbers of the hashes of words and windows; any odd ones do.
+_LANE, _FOLD = (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03), 0x100000001B3
+#: Spans of more bytes than this are hashed one by one with BLAKE2b; shorter ones eight bytes at a time, all together.
+LONG = 64
 _lower = np.arange(256, dtype=np.uint8)
 _lower[65:91] += 32
 _is_space = np.zeros(256, bool)
 _is_space[[ord(c) for c in SPACES]] = True
-
-
-def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    size = 1 << max(16, (n - 1).bit_length())
-    if size not in _powers:
-        with np.errstate(over="ignore"):
-            up = np.full(size, _BASE, np.uint64)
-            up[0] = 1
-            down = np.full(size, pow(_BASE, -1, 1 << 64), np.uint64)
-            down[0] = 1
-            _powers.clear()
-            _powers[size] = np.multiply.accumulate(up), np.multiply.accumulate(down)
-    return _powers[size]
+_KEEP = np.array([(1 << 8 * k) - 1 for k in range(8)] + [(1 << 64) - 1], np.uint64)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -141,23 +140,53 @@ def word_spans(flat: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return starts, ends, np.searchsorted(starts, off)
 
 
-def span_hashes(flat: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = True) -> np.ndarray:
-    """A 64-bit hash of the bytes of each span; spans are in order and don't overlap. lower: A-Z count as a-z."""
-    out = np.empty(len(starts), np.uint64)
-    table = _BYTES[_lower] if lower else _BYTES
+def span_hashes(flat: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = True, lanes: int = 1) -> np.ndarray:
+    """Hashes of the bytes of each span, 64 bits a lane: one array, or a row for each of several independent lanes. Spans are in order. lower: A-Z count as a-z.
+
+    A span's eight-byte words go through a chain of bijections, one after the other, from its length and the lane on; so spans of up to eight bytes and
+    equal length never collide, and no structure of a text (as repeats have) makes longer ones do so."""
+    out = np.empty((lanes, len(starts)), np.uint64)
     at = 0
+    while at < len(starts):
+        low = starts[at]
+        to = max(at + 1, int(np.searchsorted(ends, low + CHUNK, "right")))
+        part = flat[low : ends[to - 1]]
+        padded = np.zeros(len(part) + 8, np.uint8)
+        padded[: len(part)] = _lower[part] if lower else part
+        eights = np.ndarray(len(part) + 1, "<u8", padded, strides=(1,))
+        b, size = starts[at:to] - low, ends[at:to] - starts[at:to]
+        for lane in range(lanes):
+            h = mixed(size.astype(np.uint64) * np.uint64(_FOLD) + np.uint64(_LANE[lane]))
+            on, done = np.flatnonzero((size > 0) & (size <= LONG)), 0
+            while len(on):
+                left = size[on] - done
+                h[on] = mixed(h[on] ^ (eights[b[on] + done] & _KEEP[np.minimum(left, 8)]))
+                on, done = on[left > 8], done + 8
+            out[lane, at:to] = h
+        for k in np.flatnonzero(size > LONG).tolist():
+            digest = hashlib.blake2b(padded[b[k] : b[k] + size[k]], digest_size=8 * lanes).digest()
+            out[:, at + k] = np.frombuffer(digest, "<u8")
+        at = to
+    return out[0] if lanes == 1 else out
+
+
+def _folded(words: np.ndarray, k: int) -> np.ndarray:
+    """The hash of the k words from each place on (too near the end: of what follows); twice as many words with each step."""
     with np.errstate(over="ignore"):
-        while at < len(starts):
-            low = starts[at]
-            to = max(at + 1, int(np.searchsorted(ends, low + CHUNK, "right")))
-            part = flat[low : ends[to - 1]]
-            up, down = _tables(len(part) + 1)
-            sums = np.zeros(len(part) + 1, np.uint64)
-            np.cumsum(table[part] * up[: len(part)], out=sums[1:])
-            b, e = starts[at:to] - low, ends[at:to] - low
-            out[at:to] = (sums[e] - sums[b]) * down[b] + (e - b).astype(np.uint64) * np.uint64(_FOLD)
-            at = to
-    return mixed(out)
+        h, done, power, have = None, 0, words, 1
+        while True:
+            if k & have:
+                h, done = (power, have) if h is None else (mixed(h * np.uint64(_FOLD) + _ahead(power, done)), done + have)
+            if have * 2 > k:
+                return h
+            power, have = mixed(power * np.uint64(_FOLD) + _ahead(power, have)), have * 2
+
+
+def _ahead(x: np.ndarray, by: int) -> np.ndarray:
+    out = np.zeros_like(x)
+    if by < len(x):
+        out[: len(x) - by] = x[by:]
+    return out
 
 
 def windows(words: np.ndarray, counts: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -168,19 +197,29 @@ def windows(words: np.ndarray, counts: np.ndarray, k: int) -> tuple[np.ndarray,
     many = np.where(n >= k, n - k + 1, (n > 0).astype(np.int64))
     before = np.concatenate([[0], np.cumsum(many)])
     at = np.repeat(counts[:-1] - before[:-1], many) + np.arange(before[-1])
-    short = np.repeat(n < k, many)
-    with np.errstate(over="ignore"):
-        out = np.full(len(at), k, np.uint64)
-        padded = np.concatenate([words, np.zeros(k, np.uint64)])
-        left = np.repeat(n, many)
-        for j in range(k):
-            more = padded[at + j]
-            if short.any():
-                more = np.where(short & (left <= j), np.uint64(j + 7), more)
-            out = mixed(out * np.uint64(_FOLD) + more)
+    out = _folded(words, k)[at] if len(words) else np.empty(0, np.uint64)
+    short = np.flatnonzero((n > 0) & (n < k))
+    if len(short):
+        h, left = mixed(n[short].astype(np.uint64)), n[short]
+        with np.errstate(over="ignore"):
+            for j in range(int(left.max())):
+                on = left > j
+                h[on] = mixed(h[on] * np.uint64(_FOLD) + words[counts[short[on]] + j])
+        out[before[short]] = h
     return out, before
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, changed where df has a column so called (in any case)."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def components(links: DataFrame, folder: str, name: str, rounds: int = 60) -> DataFrame:
     """(node, root): the smallest node that each node of the links (a, b) can reach.
 
@@ -213,10 +252,11 @@ FEW = 2_000_000
 
 def only(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
     """The rows whose column is among the distinct values of ids' only column; ids must be written already, so counting them is cheap."""
-    wanted = ids.toDF("_wanted").distinct()
+    (name,) = fresh(rows, "_wanted")
+    wanted = ids.toDF(name).distinct()
     if ids.count() <= FEW:
         wanted = F.broadcast(wanted)
-    return rows.join(wanted, F.col(column) == F.col("_wanted"), "left_semi")
+    return rows.join(wanted, F.col(column) == F.col(name), "left_semi")
 
 
 def list_array(values: np.ndarray, before: np.ndarray) -> pa.ListArray:

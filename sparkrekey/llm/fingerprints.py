@@ -14,11 +14,10 @@ from pyspark.sql import functions as F
 
 from .common import CHUNK, flat_text, mixed, pieces, read, span_hashes, windows, word_spans
 
-#: Numbers of the identity part (modulo 2^64 each) and of the likeness part (modulo 2^32 each, more than a text has windows).
+#: Numbers of the identity part (modulo 2^64 each, all drawn from the paragraph's bytes) and of the likeness part (modulo 2^32 each, more than a text has windows).
 IDENTITY, LIKENESS = 8, 256
 #: Words in the windows whose signed votes make a paragraph's likeness vector.
 WINDOW = 3
-_LANES = np.arange(1, IDENTITY + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
 #: A byte's bits, from the lowest, as the bytes of a number.
 _SPREAD = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").view("<u8").ravel()
 _VOTES = np.arange(1, LIKENESS // 64 + 1, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03)
@@ -51,12 +50,19 @@ def _sums(rows: np.ndarray, before: np.ndarray, width: int, add) -> np.ndarray:
     return out
 
 
-def _identity(h: np.ndarray) -> np.ndarray:
-    return mixed(h[:, None] + _LANES[None, :])
+def identity_of(paragraph: bytes) -> bytes:
+    """IDENTITY numbers as bytes: a wide hash of the paragraph itself, so that no two paragraphs share them, however they are made."""
+    return hashlib.blake2b(paragraph, digest_size=8 * IDENTITY).digest()
 
 
-def _identity_sums(h: np.ndarray, edges: np.ndarray) -> np.ndarray:
-    return np.add.reduceat(_identity(h), edges, axis=0)
+def _identity_sums(flat: np.ndarray):
+    content = memoryview(np.ascontiguousarray(flat))
+
+    def add(spans: np.ndarray, edges: np.ndarray) -> np.ndarray:
+        wide = b"".join([identity_of(content[a:b]) for a, b in spans.tolist()])
+        return np.add.reduceat(np.frombuffer(wide, "<u8").reshape(-1, IDENTITY), edges, axis=0)
+
+    return add
 
 
 def _likeness_sums(h: np.ndarray, edges: np.ndarray) -> np.ndarray:
@@ -71,17 +77,16 @@ def _likeness_sums(h: np.ndarray, edges: np.ndarray) -> np.ndarray:
 def vectors(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The two parts of each text's fingerprint. Null: empty, all zeros.
 
-    A paragraph's vector has IDENTITY numbers hashed from its bytes and LIKENESS numbers that add +1 or -1 for each of its word
+    A paragraph's vector has IDENTITY numbers hashed from its bytes (a hash of 512 bits) and LIKENESS numbers that add +1 or -1 for each of its word
     windows; a text's is the sum over its paragraphs, modulo 2^64 and 2^32. So the order of paragraphs doesn't count, and a
     paragraph is put in or taken out by adding or subtracting its vector (see insert)."""
     flat, off = flat_text(texts)
     starts, ends, before = paragraph_spans(flat, off)
-    whole = span_hashes(flat, starts, np.maximum(ends, starts), lower=False)
     # paragraphs as texts of their own give the windows, which thus never cross a paragraph's end
     edges = np.append(starts, len(flat))
     w_starts, w_ends, counts = word_spans(flat, edges)
     wins, of_paragraph = windows(span_hashes(flat, w_starts, w_ends, lower=False), counts, WINDOW)
-    return _sums(whole, before, IDENTITY, _identity_sums), _sums(wins, of_paragraph[before], LIKENESS, _likeness_sums).astype(np.uint32)
+    return _sums(np.column_stack([starts, np.maximum(ends, starts)]), before, IDENTITY, _identity_sums(flat)), _sums(wins, of_paragraph[before], LIKENESS, _likeness_sums).astype(np.uint32)
 
 
 def insert(fingerprint: str, paragraph: str, times: int = 1) -> str:
@@ -92,7 +97,7 @@ def insert(fingerprint: str, paragraph: str, times: int = 1) -> str:
         x, y = vectors(pa.array([paragraph]))
     else:
         x, y = vectors(pa.array(["\n"]))
-        x = _identity(span_hashes(np.empty(0, np.uint8), np.zeros(1, np.int64), np.zeros(1, np.int64), False))
+        x = np.frombuffer(identity_of(b""), "<u8").reshape(1, -1)
     with np.errstate(over="ignore"):
         return text_of(a + x[0] * np.uint64(times % (1 << 64)), b + y[0] * np.uint32(times % (1 << 32)))
 
@@ -115,8 +120,9 @@ def likeness(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray])
     return np.where(same, 1.0, np.clip(cosine, 0.0, 1.0))
 
 
-#: Characters of text that a range of doc_id holds, about.
-RANGE = 8 << 20
+#: Characters of text that a range of doc_id holds, about, and most ranges: their first keys, some 20 bytes each, are broadcast. Beyond RANGE * RANGES characters
+#: (0.5 TB) ranges grow, which costs no memory: they are sorted with spilling and read batch by batch.
+RANGE, RANGES = 8 << 20, 1 << 16
 
 
 def fingerprint_edits(docs: DataFrame) -> DataFrame:
@@ -124,14 +130,14 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
 
     The rows are dealt by ranges of (doc_id, hash of the text), nulls first, and sorted, so each task finds next texts in the next rows; the
     first row of each range (of the table, for the last) also goes to the range before it. Ids and hashes alone give the
-    ranges' first keys, one for each RANGE characters, which are broadcast; the texts move once. A null text is empty, with a fingerprint of
+    ranges' first keys, RANGES at most, which are broadcast; the texts move once. A null text is empty, with a fingerprint of
     zeros; the next of a single row is itself; repeated rows follow each other; an empty table gives no rows; other columns are not looked at."""
     spark = docs.sparkSession
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("_id"), text.alias("_text"), F.xxhash64(text).alias("_hash"))
     order = [F.col("_id").asc_nulls_first(), F.col("_hash").asc()]
     total = docs.select(F.sum(F.length(text))).first()[0] or 0
-    dealt = rows.select("_id", "_hash").repartitionByRange(total // RANGE + 1, *order)
+    dealt = rows.select("_id", "_hash").repartitionByRange(min(total // RANGE + 1, RANGES), *order)
     found = dealt.groupBy(F.spark_partition_id().alias("p")).agg(F.min(F.struct(F.col("_id").isNotNull().alias("some"), "_id", "_hash")).alias("k")).collect()
     firsts = sorted((r["k"]["some"], r["k"]["_id"] or 0, r["k"]["_hash"]) for r in found)
     bounds = spark.sparkContext.broadcast(firsts)

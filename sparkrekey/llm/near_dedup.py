@@ -9,11 +9,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import FEW, components, flat_text, list_array, mixed, only, pieces, read, span_hashes, windows, word_spans, work_folder, written
+from .common import FEW, components, flat_text, fresh, list_array, mixed, only, pieces, read, span_hashes, windows, word_spans, work_folder, written
 
 #: Rows of a band and bands: a pair with Jaccard 0.8 shares no band with a probability of (1 - 0.8^6)^48 = 4.6e-7.
 ROWS, BANDS = 6, 48
-#: Buckets of more documents than this are compared in blocks, whose chunks hold this much (shingles, and PER for each document).
+#: Buckets of more documents than this are linked through hubs; what hubs leave open is compared in blocks, whose chunks hold this much (shingles, and PER for each document).
 CROWD, CHUNK, PER = 16, 200_000, 400
 #: Bytes of text that a worker looks at in one go, as its arrays hold some 30 times as much.
 PIECE = 1 << 20
@@ -21,13 +21,14 @@ PIECE = 1 << 20
 _FIRST, _SECOND = np.uint32(0x85EBCA6B), np.uint32(0xC2B2AE35)
 
 
-def shingle_sets(column: pa.Array, width: int) -> Iterator[np.ndarray]:
-    """The sorted distinct shingle hashes of each text; words are lower-cased in A-Z."""
+def shingle_sets(column: pa.Array, width: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The sorted distinct shingle hashes of each text in two independent lanes of 64 bits; words are lower-cased in A-Z."""
     flat, off = flat_text(column)
     starts, ends, counts = word_spans(flat, off)
-    shingles, before = windows(span_hashes(flat, starts, ends), counts, width)
+    lanes = [windows(h, counts, width) for h in span_hashes(flat, starts, ends, lanes=2)]
+    before = lanes[0][1]
     for i in range(len(column)):
-        yield np.unique(shingles[before[i] : before[i + 1]])
+        yield tuple(np.unique(h[before[i] : before[i + 1]]) for h, _ in lanes)
 
 
 def signature(shingles: np.ndarray, coordinates: int) -> np.ndarray:
@@ -55,10 +56,10 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
         numbers = np.arange(1, BANDS + 1, dtype=np.uint64)
         for b in pieces(batches, "_text", PIECE):
             size, one, two, bands = [], [], [], []
-            for s in shingle_sets(b.column("_text"), width):
-                size.append(len(s))
-                one.append(mixed(s ^ np.uint64(0xA5A5A5A5)).sum(dtype=np.uint64))
-                two.append(mixed(s + np.uint64(0x51ED2701)).sum(dtype=np.uint64))
+            for s, other in shingle_sets(b.column("_text"), width):
+                size.append(max(len(s), len(other)))
+                one.append(mixed(s).sum(dtype=np.uint64))
+                two.append(mixed(other).sum(dtype=np.uint64))
                 if len(s):
                     rows = signature(s, ROWS * BANDS).reshape(BANDS, ROWS).astype(np.uint64)
                     key = numbers
@@ -79,26 +80,23 @@ def _slim(docs: DataFrame) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
-    """doc_id and its set, for the documents among ids; computed again rather than kept, as a set is larger than its text."""
+    """doc_id and its set in both lanes, for the documents among ids; computed again rather than kept, as a set is larger than its text."""
 
     def work(batches):
         for b in pieces(batches, "_text", PIECE):
             found = list(shingle_sets(b.column("_text"), width))
-            before = np.cumsum([0] + [len(s) for s in found])
-            yield pa.RecordBatch.from_arrays([b.column("_id"), list_array(np.concatenate(found).view(np.int64), before)], ["doc_id", "set"])
+            columns = [list_array(np.concatenate(lane).view(np.int64), np.cumsum([0] + [len(s) for s in lane])) for lane in zip(*found)]
+            yield pa.RecordBatch.from_arrays([b.column("_id"), *columns], ["doc_id", "set", "other"])
 
-    return only(_slim(docs).filter("_id IS NOT NULL"), "_id", ids).mapInArrow(work, "doc_id long, set array<long>")
+    return only(_slim(docs).filter("_id IS NOT NULL"), "_id", ids).mapInArrow(work, "doc_id long, set array<long>, other array<long>")
 
 
-def block_links(sets: list[np.ndarray], sides: np.ndarray, percent: int) -> list[tuple[int, int]]:
-    """Indices (i, j) of a spanning forest of the links among documents; sides: 0 or 1, and only 0-1 pairs count if there are both.
-
-    Shared shingles are counted exactly, as products of 0-1 matrices over slices of the shingles that two documents have."""
-    sizes = np.array([len(s) for s in sets])
-    owner = np.repeat(np.arange(len(sets)), sizes)
+def shared_counts(sets: list[np.ndarray]) -> np.ndarray:
+    """How many elements each two of the sets share: products of 0-1 matrices over slices of the elements that two sets have."""
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
     _, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    shared = times[column] > 1
-    owner, column = owner[shared], (np.cumsum(times > 1) - 1)[column[shared]]
+    some = times[column] > 1
+    owner, column = owner[some], (np.cumsum(times > 1) - 1)[column[some]]
     order = np.argsort(column, kind="stable")
     owner, column = owner[order], column[order]
     both = np.zeros((len(sets), len(sets)), np.float32)
@@ -108,7 +106,13 @@ def block_links(sets: list[np.ndarray], sides: np.ndarray, percent: int) -> list
         m = np.zeros((len(sets), width), np.float32)
         m[owner[a:b], column[a:b] - low] = 1
         both += m @ m.T
-    shared = both.astype(np.int64)
+    return both.astype(np.int64)
+
+
+def block_links(sets: list[np.ndarray], others: list[np.ndarray], sides: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Indices (i, j) of a spanning forest of the links among documents, counted exactly in both lanes; sides: 0 or 1, and only 0-1 pairs count if there are both."""
+    sizes = np.maximum([len(s) for s in sets], [len(s) for s in others])
+    shared = np.minimum(shared_counts(sets), shared_counts(others))
     linked = 100 * shared >= percent * (sizes[:, None] + sizes[None, :] - shared)
     if sides.any() and not sides.all():
         linked &= sides[:, None] != sides[None, :]
@@ -126,6 +130,65 @@ def block_links(sets: list[np.ndarray], sides: np.ndarray, percent: int) -> list
     return out
 
 
+def linked_pairs(docs: DataFrame, pairs: DataFrame, width: int, percent: int, folder: str, name: str) -> DataFrame:
+    """Those of the pairs (a, b) whose full sets are alike, in both lanes. The joins merge, so that adaptive execution cuts the rows of a hot hub `a`."""
+    pairs = written(pairs.distinct(), folder, f"{name}-pairs")
+    ids = written(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), folder, f"{name}-ids")
+    sets = written(sets_of(docs, ids, width), folder, f"{name}-sets")
+    one, two = (sets.select(F.col("doc_id").alias(c), F.col("set").alias(f"s{c}"), F.col("other").alias(f"o{c}")) for c in "ba")
+    tested = pairs.join(one.hint("merge"), "b").join(two.hint("merge"), "a")
+    shared = F.least(F.size(F.array_intersect("sa", "sb")), F.size(F.array_intersect("oa", "ob")))
+    either = F.greatest(F.size("sa"), F.size("oa")) + F.greatest(F.size("sb"), F.size("ob")) - shared
+    return written(tested.filter(100 * shared >= percent * either).select("a", "b"), folder, f"{name}-links")
+
+
+def crowd_links(docs: DataFrame, crowd: DataFrame, links: DataFrame, width: int, percent: int, folder: str) -> DataFrame:
+    """links, and links among the members (key, doc_id, n, hub) of crowded buckets, so that all exact links inside a bucket lie within one component.
+
+    First each document is checked with the least of its buckets' hubs, then with the hubs of another component: a few pairs for each document. A bucket whose members are
+    in one component is done. In the others, members outside the bucket's largest component are few as a rule: up to CROWD of them are checked with every member of another
+    component. Only buckets with more are compared in blocks of two chunks of bounded size, each bucket on its own; that is exact, and quadratic in the chunks of such a bucket."""
+    nearest = crowd.filter("hub < doc_id").groupBy("doc_id").agg(F.min("hub").alias("a")).select("a", F.col("doc_id").alias("b"))
+    links = links.unionByName(linked_pairs(docs, nearest, width, percent, folder, "nearest"))
+
+    def rooted(step):
+        roots = written(components(links, folder, f"roots-{step}"), folder, f"roots-{step}")
+        root = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root")).hint("merge")
+        known = crowd.join(root("doc_id"), "doc_id", "left").withColumn("doc_id_root", F.coalesce("doc_id_root", "doc_id"))
+        return known.join(root("hub"), "hub", "left").withColumn("hub_root", F.coalesce("hub_root", "hub"))
+
+    apart = rooted("nearest").filter("doc_id_root <> hub_root").select(F.col("hub").alias("a"), F.col("doc_id").alias("b"))
+    links = links.unionByName(linked_pairs(docs, apart, width, percent, folder, "hubs"))
+    members = written(rooted("hubs").select("key", "doc_id", "n", F.col("doc_id_root").alias("root")), folder, "members")
+    shares = members.groupBy("key", "root").agg(F.count(F.lit(1)).alias("m"), F.sum(F.col("n") + PER).alias("weight"))
+    state = shares.groupBy("key").agg(F.count(F.lit(1)).alias("roots"), F.max_by("root", F.struct("m", "root")).alias("main"), (F.sum("m") - F.max("m")).alias("others"), F.sum("weight").alias("weight"))
+    state = written(state.filter("roots > 1"), folder, "open")
+    rows = members.join(state.hint("merge"), "key")
+    minor = rows.filter(f"others <= {CROWD} AND root <> main").groupBy("key").agg(F.collect_list(F.struct("doc_id", "root")).alias("minor"))  # at most CROWD
+    each = rows.filter(f"others <= {CROWD}").select("key", "doc_id", "root", "n").join(minor.hint("merge"), "key").select("doc_id", "root", F.explode("minor").alias("x"))
+    pairs = each.filter("root <> x.root").select(F.least("doc_id", "x.doc_id").alias("a"), F.greatest("doc_id", "x.doc_id").alias("b"))
+    links = links.unionByName(linked_pairs(docs, pairs, width, percent, folder, "minor"))
+
+    many = rows.filter(f"others > {CROWD}").withColumn("chunks", F.ceil(F.col("weight") / CHUNK).cast("int"))
+    many = written(many.select("key", "doc_id", "chunks"), folder, "many")
+    dealt = sets_of(docs, many.select("doc_id"), width).join(many.hint("merge"), "doc_id")
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("chunks")).cast("int"))
+    block = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda j: F.struct(F.least(F.col("own"), j).alias("i"), F.greatest(F.col("own"), j).alias("j")))
+    dealt = dealt.select("key", "doc_id", "set", "other", "own", F.explode(block).alias("block")).select("key", "doc_id", "set", "other", "own", "block.i", "block.j")
+
+    def compare(table: pa.Table) -> pa.Table:
+        ids, own = table.column("doc_id").to_numpy(), table.column("own").to_numpy()
+        lanes = []
+        for name in ("set", "other"):
+            column = table.column(name).combine_chunks()
+            flat, off = column.values.to_numpy().view(np.uint64), column.offsets.to_numpy()
+            lanes.append([flat[off[i] : off[i + 1]] for i in range(len(ids))])
+        forest = block_links(*lanes, (own != own.min()).astype(np.int8), percent)
+        return pa.table({"a": pa.array([ids[i] for i, _ in forest], pa.int64()), "b": pa.array([ids[j] for _, j in forest], pa.int64())})
+
+    return links.unionByName(dealt.groupBy("key", "i", "j").applyInArrow(compare, "a long, b long"))
+
+
 def near_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """One row for each row of docs: doc_id, n_shingles, component_id, kept.
 
@@ -134,54 +197,28 @@ def near_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame
     and no links. A null doc_id has no component (null) and is kept; rows that repeat a doc_id are one document with all their links; an
     empty table gives no rows; other columns are not looked at.
 
-    Equal sets form classes, of which only the least document goes on. Bands of the circulant MinHash propose pairs: in buckets of up to CROWD documents each
-    pair is checked on the full sets; documents that crowded buckets connect are compared in blocks of two chunks, each of bounded size, which return
-    a spanning forest of the exact links, so a group of m copies moves m * chunks sets and never m * m pairs."""
+    Equal sets (128 bits of hash) form classes, of which only the least document goes on. Bands of the circulant MinHash propose pairs: in buckets of up to CROWD documents each
+    pair is checked on the full sets, in two independent lanes of 64 bits a shingle; crowded buckets are linked through hubs, see crowd_links, so a group of m copies is checked in some m pairs and never in m * m."""
     folder = work_folder(docs.sparkSession)
     sig = written(signatures(docs, width), folder, "signatures")
     live = sig.filter("n > 0 AND doc_id IS NOT NULL")
     name = ["n", "h1", "h2"]
     classes = written(live.groupBy(*name).agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("members")), folder, "classes")
-    copies = live.join(classes.filter("members > 1"), name).filter("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    copies = live.join(classes.filter("members > 1").hint("merge"), name).filter("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
 
     one = live.join(classes.select(F.col("rep").alias("doc_id"), *name), ["doc_id", *name])
     entries = one.select("doc_id", "n", F.explode("bands").alias("key"))
-    full = entries.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
-    met = written(entries.join(full, "key"), folder, "buckets")
-    crowd = met.filter(F.col("members") > CROWD)
-    hubs = crowd.groupBy("key").agg(F.min("doc_id").alias("b"))
-    clusters = written(components(crowd.join(hubs, "key").select(F.col("doc_id").alias("a"), "b"), folder, "clusters"), folder, "clusters")
-
-    few = met.filter(F.col("members") <= CROWD).join(clusters.select(F.col("node").alias("doc_id"), "root"), "doc_id", "left")
-    a = few.select("key", F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"))
-    b = few.select("key", F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
-    alike = (F.col("a") < F.col("b")) & (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")) & F.coalesce(F.col("ra") != F.col("rb"), F.lit(True))
-    pairs = written(a.join(b, "key").filter(alike).select("a", "b", "na", "nb").distinct(), folder, "pairs")
-    in_pairs = written(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), folder, "in-pairs")
-    sets = sets_of(docs, in_pairs, width)
-    tested = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("set").alias("sa")), "a").join(sets.select(F.col("doc_id").alias("b"), F.col("set").alias("sb")), "b")
-    shared = F.size(F.array_intersect("sa", "sb"))
-    links = tested.filter(100 * shared >= percent * (F.size("sa") + F.size("sb") - shared)).select("a", "b")
-
-    in_crowd = clusters.select("node", "root")
-    sizes = one.select("doc_id", "n").join(in_crowd, F.col("doc_id") == F.col("node"))
-    chunks = sizes.groupBy("root").agg(F.ceil(F.sum(F.col("n") + PER) / CHUNK).cast("int").alias("chunks"))
-    dealt = sets_of(docs, in_crowd.select("node"), width).join(in_crowd.join(chunks, "root"), F.col("doc_id") == F.col("node"))
-    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("chunks")).cast("int"))
-    block = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda j: F.struct(F.least(F.col("own"), j).alias("i"), F.greatest(F.col("own"), j).alias("j")))
-    dealt = dealt.select("doc_id", "set", "own", "root", F.explode(block).alias("block")).select("doc_id", "set", "own", "root", "block.i", "block.j")
-
-    def compare(table: pa.Table) -> pa.Table:
-        ids = table.column("doc_id").to_numpy()
-        column = table.column("set").combine_chunks()
-        flat, off = column.values.to_numpy().view(np.uint64), column.offsets.to_numpy()
-        sets = [flat[off[i] : off[i + 1]] for i in range(len(ids))]
-        own = table.column("own").to_numpy()
-        forest = block_links(sets, (own != own.min()).astype(np.int8), percent)
-        return pa.table({"a": pa.array([ids[i] for i, _ in forest], pa.int64()), "b": pa.array([ids[j] for _, j in forest], pa.int64())})
-
-    inside = dealt.groupBy("root", "i", "j").applyInArrow(compare, "a long, b long")
-    found = written(copies.unionByName(links).unionByName(inside), folder, "links")
+    full = entries.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.min("doc_id").alias("hub")).filter("members > 1")
+    met = written(entries.join(full.hint("merge"), "key"), folder, "buckets")
+
+    few = met.filter(F.col("members") <= CROWD)
+    a, b = (few.select("key", F.col("doc_id").alias(c), F.col("n").alias(f"n{c}")) for c in "ab")
+    alike = (F.col("a") < F.col("b")) & (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
+    links = linked_pairs(docs, a.join(b, "key").filter(alike).select("a", "b"), width, percent, folder, "few")
+    crowd = met.filter(F.col("members") > CROWD).select("key", "doc_id", "n", "hub")
+    if not crowd.isEmpty():
+        links = crowd_links(docs, crowd, links, width, percent, folder)
+    found = written(copies.unionByName(links), folder, "links")
     roots = components(found, folder, "components")
     out = sig.select("doc_id", F.col("n").alias("n_shingles")).join(roots, F.col("doc_id") == F.col("node"), "left")
     return out.select("doc_id", "n_shingles", F.coalesce("root", "doc_id").alias("component_id"), F.coalesce(F.coalesce("root", "doc_id") == F.col("doc_id"), F.lit(True)).alias("kept"))
@@ -190,19 +227,21 @@ def near_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame
 def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """docs without the rows of documents that are not their component's least; of rows with the same doc_id (or none) and text one stays.
 
-    Rows that share a doc_id and have other texts all stay or go."""
+    Rows that share a doc_id and have other texts all stay or go. Null and wordless texts have no near duplicates and stay, once for each doc_id; an empty
+    table gives none; any other columns pass through as they are."""
     folder = work_folder(docs.sparkSession)
-    gone = written(near_groups(docs, width, percent).filter("NOT kept").select(F.col("doc_id").alias("_gone")).distinct(), folder, "gone")
+    key, hashed = fresh(docs, "id_", "row_")
+    gone = written(near_groups(docs, width, percent).filter("NOT kept").select(F.col("doc_id").alias(key)).distinct(), folder, "gone")
     few = F.broadcast(gone) if gone.count() <= FEW else gone
-    left = docs.join(few, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
+    left = docs.join(few, F.col("doc_id").cast("long") == F.col(key), "left_anti")
     row = F.xxhash64(F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)), F.col("doc_id").isNull(), F.coalesce(F.col("text").cast("string"), F.lit("")))
-    again = written(left.groupBy(row.alias("_again")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("_again"), folder, "again")
+    again = written(left.groupBy(row.alias(key)).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(key), folder, "again")
     n = again.count()
     if not n:
         return left
     again = F.broadcast(again) if n <= FEW else again
-    once = left.withColumn("_row", row).join(again, F.col("_row") == F.col("_again"), "left_semi").dropDuplicates(["_row"]).select(*docs.columns)
-    return left.join(again, row == F.col("_again"), "left_anti").unionByName(once)
+    once = left.withColumn(hashed, row).join(again, F.col(hashed) == F.col(key), "left_semi").dropDuplicates([hashed]).select(*docs.columns)
+    return left.join(again, row == F.col(key), "left_anti").unionByName(once)
 
 
 def op6_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

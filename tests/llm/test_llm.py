@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sparkrekey.llm import fingerprints, mixing, near_dedup, packing, pii, quality_classifier, quality_rules, separators, substring_dedup, tokens, url_filter
+from sparkrekey.llm import common, fingerprints, mixing, near_dedup, packing, pii, quality_classifier, quality_rules, separators, substring_dedup, tokens, url_filter
 from sparkrekey.llm.queries import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -115,9 +115,9 @@ def test_encoder_equals_the_tokenizer():
     from tokenizers import Tokenizer
 
     r = random.Random(2)
-    own, t = tokens.Encoder(tokens.vocabulary(), cache=50), Tokenizer.from_file(tokens.vocabulary())
+    own, t = tokens.Encoder(tokens.vocabulary()), Tokenizer.from_file(tokens.vocabulary())
     for _ in range(2000):
-        text = "".join(r.choice([" ", "\n", "a", "the", "é", ".", "'s", "12", "\u00a0", "<|endoftext|>", "  ", "\t", "\u3000", "\x1c", "ß!"]) for _ in range(r.randint(0, 12)))
+        text = "".join(r.choice([" ", "\n", "a", "the", "é", "\r", "\x85", "\u2028", "日本", "\U0001f600", ".", "'s", "12", "\u00a0", "<|endoftext|>", "  ", "\t", "\u3000", "\x1c", "ß!"]) for _ in range(r.randint(0, 12)))
         assert np.frombuffer(own.ids(text), "<u4").tolist() == t.encode(text, add_special_tokens=False).ids
 
 
@@ -169,6 +169,81 @@ def test_near_groups_against_brute_force(spark):
     assert got == {3 * i: 3 * k for i, k in enumerate(root)}
 
 
+def thue_morse(n):
+    return "".join("ab"[bin(i).count("1") % 2] for i in range(n)), "".join("ba"[bin(i).count("1") % 2] for i in range(n))
+
+
+def test_hashes_tell_structured_texts_apart(spark):
+    """Words whose polynomial hashes modulo 2^64 are equal, whatever the base."""
+    for n in (32, 64, 1024, 4096):
+        one, two = thue_morse(n)
+        flat = np.frombuffer((one + two).encode(), np.uint8)
+        h = common.span_hashes(flat, np.array([0, n]), np.array([n, 2 * n]), lanes=2)
+        assert h[0][0] != h[0][1] and h[1][0] != h[1][1]
+        docs = spark.createDataFrame([(1, one), (2, two), (3, one)], "doc_id long, text string")
+        assert {x.doc_id: x.component_id for x in near_dedup.near_groups(docs).collect()} == {1: 1, 2: 2, 3: 1}
+        prints = {x.doc_id: x.fingerprint for x in fingerprints.fingerprint_edits(docs).collect()}
+        assert prints[1] == prints[3] != prints[2]
+
+
+def test_windows_against_a_plain_loop():
+    r = random.Random(21)
+    words_ = np.array([r.randint(0, 5) for _ in range(300)], np.uint64)
+    counts = np.array([0, 0, 3, 4, 60, 61, 200, 200, 300])
+    for k in (1, 2, 3, 5, 6, 7, 8, 13):
+        got, before = common.windows(words_, counts, k)
+        want = []
+        for a, b in zip(counts, counts[1:]):
+            w = words_[a:b].tolist()
+            want.append([tuple(w[i : i + k]) for i in range(len(w) - k + 1)] or ([tuple(w)] if w else []))
+        assert np.diff(before).tolist() == [len(x) for x in want]
+        names = {}
+        for h, w in zip(got.tolist(), [x for y in want for x in y]):
+            assert names.setdefault(h, w) == w
+        assert len(names) == len(set(names.values()))
+
+
+def test_crowded_buckets_against_brute_force(spark):
+    """Documents that share a large part but are no near duplicates, near copies among them, and a large group of near copies."""
+    r = random.Random(22)
+    part = words(r, 150).split()
+    texts = [" ".join(part + words(r, 50).split()) for _ in range(70)]
+    for k in (3, 3, 9, 40, 41, 42):
+        w = texts[k].split()
+        w[r.randrange(len(w))] = "changed"
+        texts.append(" ".join(w))
+    base = words(r, 120).split()
+    texts += [" ".join(w if r.random() > 0.012 else "new" for w in base) for _ in range(60)]
+    r.shuffle(texts)
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (t.split() for t in texts)]
+    linked = [[j for j, b in enumerate(sets) if 100 * len(a & b) >= 80 * len(a | b)] for a in sets]
+    root = list(range(len(texts)))
+    while (new := [min(root[j] for j in linked[i]) for i in range(len(texts))]) != root:
+        root = new
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {x.doc_id: x.component_id for x in near_dedup.near_groups(docs).collect()} == dict(enumerate(root))
+    assert len({root[i] for i, t in enumerate(texts) if t.startswith(part[0] + " ")}) >= 60
+
+
+def test_block_links_against_brute_force():
+    r = random.Random(23)
+    for sides in (np.zeros(40, np.int8), np.array([i % 2 for i in range(40)], np.int8)):
+        base = list(range(60))
+        plain = [set(r.sample(base, r.randint(48, 60))) for _ in range(40)]
+        lane = [np.array(sorted(s), np.uint64) for s in plain]
+        pairs = {(i, j) for i in range(40) for j in range(40) if i != j and (not sides.any() or sides[i] != sides[j]) and 100 * len(plain[i] & plain[j]) >= 80 * len(plain[i] | plain[j])}
+        got = near_dedup.block_links(lane, [x * np.uint64(7) for x in lane], sides, 80)
+
+        def reach(links):
+            root = list(range(40))
+            for _ in range(40):
+                for i, j in links:
+                    root[i] = root[j] = min(root[i], root[j])
+            return root
+
+        assert set(got) <= pairs and reach(got) == reach(pairs)
+
+
 def test_base_patterns_against_the_regular_expressions():
     r = random.Random(6)
     kinds = [r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]"]
