@@ -14,8 +14,8 @@ from .tokens import encoder, vocabulary
 
 #: Ids in a block of a token file, and blocks in a group of the prefix scan.
 BLOCK, GROUP = 1 << 16, 1 << 10
-#: Pieces in a worker's cache, and bytes of a token file that its writer and its readers hold at once.
-CACHE, HELD = 200_000, 8 << 20
+#: Bytes of a token file that its writer and its readers hold at once.
+HELD = 8 << 20
 END = 50256
 BLOCKS = "file string, block long, ids binary"
 
@@ -30,7 +30,7 @@ def token_files(docs: DataFrame, path: str, end: int = END, block: int = BLOCK)
         from pyspark import TaskContext
 
         name, number = f"tokens-{TaskContext.get().partitionId():06d}", 0
-        ids_of, mark, size = encoder(path, True, CACHE).ids, end.to_bytes(4, "little"), 4 * block
+        ids_of, mark, size = encoder(path, True).ids, end.to_bytes(4, "little"), 4 * block
         kept, roster = bytearray(), []
 
         def row(ids):

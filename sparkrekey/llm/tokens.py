@@ -1,18 +1,12 @@
-"""Token ids of whole texts as little-endian unsigned 32-bit bytes, with a bounded cache of space-delimited pieces."""
+"""Token ids of whole texts as little-endian unsigned 32-bit bytes."""
 
 from __future__ import annotations
 
 import base64
 import functools
 import os
-import re
-
-import numpy as np
-
-#: Pieces that a worker process keeps (some 250 bytes each); when full, the cache starts anew.
-CACHE = 800_000
-#: Two spaces in a row, a space other than blank or line feed, or one at either end: then the text is encoded as it is.
-_UNEVEN = re.compile(r"\s\s|[^\S \n]|[\x1c-\x1f\x85]|\A\s|\s\Z|<\|")
+import sys
+from array import array
 
 
 def vocabulary(name: str = "byte_bpe_50k.json") -> str:
@@ -27,59 +21,40 @@ def ranks_of(path: str) -> str | None:
     return beside if path.endswith(".json") and os.path.exists(beside) else None
 
 
-@functools.lru_cache(2)
-def encoder(path: str, ordinary_specials: bool = False, cache: int = CACHE) -> Encoder:
-    """One for each worker process, whose cache serves all its tasks."""
-    return Encoder(path, ordinary_specials, cache)
+@functools.lru_cache(1)
+def encoder(path: str, ordinary_specials: bool = False) -> Encoder:
+    """One for each worker process, which serves all its tasks."""
+    return Encoder(path, ordinary_specials)
 
 
 class Encoder:
-    """ids(text) of a byte-level tokenizer, by pieces.
+    """ids(text) of a byte-level tokenizer.
 
-    Its pattern always begins a new pre-token at a blank that follows a non-space and precedes one, and at a single line
-    feed between non-spaces; so the pieces between them can be encoded on their own and kept. Texts with any other white space,
-    or that hold the start of a special token's string, are encoded whole. New pieces go through the file of ranks, if there is one: the same pattern and
-    merges at a third of the time."""
+    Texts go through the file of ranks, if there is one: the same pattern and merges at a third of the time. A text that may hold a special token's string
+    goes through the tokenizer itself. Nothing is kept between texts."""
 
-    def __init__(self, path: str, ordinary_specials: bool = False, cache: int = CACHE):
+    def __init__(self, path: str, ordinary_specials: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = ordinary_specials
-        self.cache: dict[str, bytes] = {}
-        self.most = cache
-        self.direct = None
+        self.ordinary, self.direct = ordinary_specials, None
         if ranks := ranks_of(path):
             import public_tokenizers
             import tiktoken
 
             with open(ranks, "rb") as lines:
                 table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-            self.direct = tiktoken.Encoding("pieces", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={}).encode_ordinary
-
-    def made(self, pieces: list[str]) -> list[bytes]:
-        if self.direct:
-            return [np.array(self.direct(x), "<u4").tobytes() for x in pieces]
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-
-    def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4").tobytes()
+            self.direct = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={}).encode_ordinary
 
     def ids(self, text: str) -> bytes:
         if not text:
             return b""
-        if _UNEVEN.search(text):
-            return self.whole(text)
-        head, *rest = text.replace("\n", " \n").split(" ")
-        get = self.cache.get
-        found = [get(x) for x in rest]
-        if None in found:
-            missing = list(dict.fromkeys(x for x, y in zip(rest, found) if y is None))
-            if len(self.cache) + len(missing) > self.most:
-                self.cache.clear()
-            new = dict(zip(missing, self.made([x if x[0] == "\n" else " " + x for x in missing])))
-            if len(new) <= self.most:
-                self.cache.update(new)
-            found = [new[x] if y is None else y for x, y in zip(rest, found)]
-        return self.whole(head) + b"".join(found)
+        if self.direct and (self.ordinary or "<|" not in text):
+            out = array("I", self.direct(text))
+        else:
+            out = array("I", self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids)
+        if sys.byteorder == "big":
+            out.byteswap()
+        return out.tobytes()
