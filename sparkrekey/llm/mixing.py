@@ -11,6 +11,10 @@ from .common import GAP, SPACES, let, read, work_folder, written
 BLOCK, SHARD, PASSES = 32, 1 << 12, 3
 #: Indices that one task ranks, about, and the bits of the hash that ranks them.
 GROUP, BITS = 1 << 16, 60
+#: Bits of a source's share of a shard's slots, and of the fixed-point numbers of slots that the shares come from.
+SHARE, FIXED = 40, 20
+#: Most sources whose shares are broadcast (40 bytes each); with more, the same join shuffles.
+SOURCES = 100_000
 
 
 def n_words(text: Column) -> Column:
@@ -34,15 +38,15 @@ def ranked(indices: DataFrame, key: list[str], size: Column, label: str, by: lis
 
 
 def numbered(plan: DataFrame, column: str, total: int) -> DataFrame:
-    """plan's rank, blocks and slots, a row for each i below `column`; a source's row is first cut into groups, so a hot source spans many tasks."""
-    cut = plan.filter(F.col(column) > 0).select("rank", "blocks", "slots", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(column) - 1) / GROUP).cast("long"))).alias("c"))
+    """plan's columns, a row for each i below `column`; a source's row is first cut into groups, so a hot source spans many tasks."""
+    cut = plan.filter(F.col(column) > 0).select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(column) - 1) / GROUP).cast("long"))).alias("c"))
     cut = cut.repartition(max(1, min(2 * (total // GROUP), 100_000)), "rank", "c")
     low = F.col("c") * GROUP
-    return cut.select("rank", "blocks", "slots", F.explode(F.sequence(low, F.least(low + GROUP, F.col(column)) - 1)).alias("i"))
+    return cut.select(*plan.columns, F.explode(F.sequence(low, F.least(low + GROUP, F.col(column)) - 1)).alias("i"))
 
 
 def source_plan(sized: DataFrame, block: int = BLOCK, passes: int = PASSES) -> DataFrame:
-    """A row for each source: source, rank, source_size, target, blocks, and slots.
+    """A row for each source: source, rank, source_size, target, blocks, slots that meet its target (in units of 2^-FIXED), and its share of all slots (of 2^SHARE).
 
     By code point, null last, sources weigh 1, 2, 3, 1, ... and share the sum of all sizes; a target stops at `passes` times its
     source's size and the excess is shared by weight among the others, until none is above. Sorted by limit / weight, the
@@ -59,8 +63,12 @@ def source_plan(sized: DataFrame, block: int = BLOCK, passes: int = PASSES) -> D
     s = s.withColumn("rate", F.min(F.when(F.col("rate") <= F.col("limit_ratio"), F.struct("limit_ratio", "rank", "rate"))).over(everything)["rate"])
     s = s.withColumn("target", F.least((F.col("source_size") * passes).cast("double"), F.coalesce(F.col("rate") * F.col("weight"), F.lit(0.0))))
     s = s.withColumn("blocks", F.ceil(F.col("source_size") / block).cast("long"))
-    s = s.withColumn("slots", F.when(F.col("source_size") > 0, F.floor(F.col("target") * F.col("blocks") / F.col("source_size") + 0.5).cast("long")).otherwise(F.lit(0).cast("long")))
-    return s.select("source", "rank", "source_size", "target", "blocks", "slots")
+    s = s.withColumn("slots", F.when(F.col("source_size") > 0, F.floor(F.col("target") * F.col("blocks") / F.col("source_size") * (1 << FIXED) + 0.5).cast("long")).otherwise(F.lit(0).cast("long")))
+    before = F.sum("slots").over(by_name.rowsBetween(Window.unboundedPreceding, 0)).cast("double")
+    upto = F.floor(before / F.sum("slots").over(everything) * (1 << SHARE)).cast("long")
+    s = s.withColumn("upto", F.coalesce(upto, F.lit(0)))
+    s = s.withColumn("share", F.col("upto") - F.coalesce(F.lag("upto").over(by_name), F.lit(0)))
+    return s.select("source", "rank", "source_size", "target", "blocks", "slots", "share")
 
 
 def placed(sized: DataFrame, folder: str, plan: DataFrame) -> DataFrame:
@@ -80,23 +88,56 @@ def placed(sized: DataFrame, folder: str, plan: DataFrame) -> DataFrame:
     return out.select("doc_id", "source", "size", "spread", "rank", "source_size", "target", (F.col("before") + F.col("inside")).alias("start"))
 
 
-def draw(plan: DataFrame, shard: int = SHARD) -> DataFrame:
-    """rank, pass, block, shard: the blocks that the mix takes, one row for each slot.
-
-    Each shard's counts by source are a multinomial draw, conditioned on the sources' whole numbers of slots (a draw without
-    replacement: a permutation of all slots deals each source's slots to places of the mix), so that each
-    source's total meets its target. Running sums over the shards number a source's slots; slot j of a source is block j mod blocks of pass
-    j div blocks, mapped through the source's own permutation."""
+def shard_draws(plan: DataFrame, shards: int, last: int, shard: int) -> DataFrame:
+    """shard, rank, extra: what the multinomial draw of each shard gives to the sources, a row for each drawn slot (see draw).
+
+    `rest` is the part of a source's expected slots beyond the whole ones; the rests of a shard of n slots add up to a whole number of slots, and each of these falls to
+    a source with a probability in proportion to its rest. A drawn number's upper part is the bucket of a hash join with the sources' ranges, of which each meets two buckets at most."""
+    kinds = F.explode(F.array(F.struct(F.lit(shard).alias("n"), F.lit(0).alias("last")), F.struct(F.lit(last).alias("n"), F.lit(1).alias("last")))).alias("k")
+    by_rank = Window.partitionBy("last").orderBy("rank")
+    ranges = plan.select("rank", "share", kinds).select("rank", "k.last", (F.col("share") * F.col("k.n") % (1 << SHARE)).alias("rest"))
+    ranges = ranges.withColumn("high", F.sum("rest").over(by_rank)).withColumn("low", F.col("high") - F.col("rest")).filter("rest > 0")
+    counts = {r["last"]: r["n"] for r in ranges.groupBy("last").agg(F.shiftright(F.max("high"), SHARE).alias("n")).collect()}  # two rows
+    number = F.when(F.col("shard") == shards - 1, counts.get(1, 0)).otherwise(counts.get(0, 0))
+    dealt = plan.sparkSession.range(shards, numPartitions=max(1, min(shards * counts.get(0, 0) >> 16, 100_000))).select(F.col("id").alias("shard"), number.alias("number"))
+    slots = dealt.filter("number > 0").select("shard", "number", F.explode(F.sequence(F.lit(0), F.col("number") - 1)).alias("slot"))
+    digest = F.md5(F.concat_ws(":", F.lit("draw"), "shard", "slot"))
+    hex_ = lambda start, digits: F.conv(F.substring(digest, start, digits), 16, 10).cast("long")
+    drawn = slots.select("shard", (F.col("shard") == shards - 1).cast("int").alias("last"), (hex_(11, 12) % F.col("number")).alias("bucket"), hex_(1, SHARE // 4).alias("fine"))
+    drawn = drawn.withColumn("v", F.col("bucket") * (1 << SHARE) + F.col("fine"))
+    wide = ranges.select("rank", "last", "low", "high", F.explode(F.sequence(F.shiftright("low", SHARE), F.shiftright(F.col("high") - 1, SHARE))).alias("bucket"))
+    wide = F.broadcast(wide) if plan.count() <= SOURCES else wide.hint("merge")
+    return drawn.join(wide, ["last", "bucket"]).filter("low <= v AND v < high").select("rank", "shard")
+
+
+def draw(plan: DataFrame, folder: str, shard: int = SHARD, passes: int = PASSES) -> DataFrame:
+    """rank, j, pass, block, shard: the blocks that the mix takes, a row for each slot.
+
+    Each output shard draws its sources' counts as a residual multinomial, a function of its number alone: of the slots that a source expects in a shard, the whole ones are
+    certain and the rests are drawn, so counts have the multinomial's means with less spread, and every source's total comes within some slots of its target. The
+    certain slots of a source are numbered shard by shard, the drawn ones after them by running sums over the shards, in groups and then over the groups. Slot j of a source is
+    block j mod blocks of pass j div blocks, mapped through the source's own permutation. Where a source is at its limit, slots beyond its last pass stay empty."""
     # The optimizer takes the exploded rows for as few as the plan's, so joins with them name their kind.
-    total, blocks = plan.agg(F.coalesce(F.sum("slots"), F.lit(0)), F.coalesce(F.sum("blocks"), F.lit(0))).first()
-    slots = numbered(plan, "slots", total).select("rank", "blocks", "i", F.lit(0).alias("mix"))
-    counts = ranked(slots, ["mix"], F.lit(total), "slot", ["rank", "i"]).groupBy(F.floor(F.col("pos") / shard).cast("long").alias("shard"), "rank", "blocks").agg(F.count(F.lit(1)).alias("count"))
-    counts = counts.withColumn("first", F.sum("count").over(Window.partitionBy("rank").orderBy("shard")) - F.col("count"))
-    dealt = counts.repartition(max(1, min(total >> 14, 100_000)), "rank", "shard")
-    drawn = dealt.select("shard", "rank", "blocks", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("count") - 1)).alias("j"))
-    drawn = drawn.select("rank", "shard", F.floor(F.col("j") / F.col("blocks")).cast("long").alias("pass"), (F.col("j") % F.col("blocks")).alias("pos"))
-    places = ranked(numbered(plan, "blocks", blocks).filter("slots > 0"), ["rank"], F.col("blocks"), "block", ["i"])
-    return drawn.join(places.select("rank", "pos", F.col("i").alias("block")).hint("merge"), ["rank", "pos"]).select("rank", "pass", "block", "shard")
+    units, blocks = plan.agg(F.coalesce(F.sum("slots"), F.lit(0)), F.coalesce(F.sum("blocks"), F.lit(0))).first()
+    total = (units + (1 << FIXED - 1)) >> FIXED
+    shards = -(-total // shard)
+    last = total - (shards - 1) * shard
+    whole = lambda n: F.floor(F.shiftright(F.col("share") * n, SHARE)).cast("long")
+    plan = written(plan.withColumn("each", whole(shard)).withColumn("certain", F.col("each") * max(0, shards - 1) + whole(last if shards else 0)), folder, "shares")
+    certain = plan.agg(F.coalesce(F.sum("certain"), F.lit(0))).first()[0]
+    slots = numbered(plan.select("rank", "blocks", "each", "certain"), "certain", certain)
+    slots = slots.select("rank", "blocks", F.col("i").alias("j"), F.when(F.col("each") > 0, F.least(F.floor(F.col("i") / F.col("each")), F.lit(shards - 1))).otherwise(shards - 1).cast("long").alias("shard"))
+    extra = shard_draws(plan, shards, last, shard).groupBy("rank", "shard").agg(F.count(F.lit(1)).alias("n")).withColumn("g", F.shiftright("shard", 12))
+    sums = extra.groupBy("rank", "g").agg(F.sum("n").alias("gn"))
+    sums = sums.withColumn("before", F.sum("gn").over(Window.partitionBy("rank").orderBy("g")) - F.col("gn")).select("rank", "g", "before")
+    extra = extra.withColumn("inside", F.sum("n").over(Window.partitionBy("rank", "g").orderBy("shard")) - F.col("n")).join(sums.hint("merge"), ["rank", "g"])
+    first = F.col("certain") + F.col("before") + F.col("inside")
+    extra = extra.join(F.broadcast(plan.select("rank", "blocks", "certain")) if plan.count() <= SOURCES else plan.select("rank", "blocks", "certain"), "rank")
+    extra = extra.select("rank", "blocks", F.explode(F.sequence(first, first + F.col("n") - 1)).alias("j"), "shard")
+    slots = slots.unionByName(extra).filter(F.col("j") < F.col("blocks") * passes)
+    slots = slots.select("rank", "shard", "j", F.floor(F.col("j") / F.col("blocks")).cast("long").alias("pass"), (F.col("j") % F.col("blocks")).alias("pos"))
+    places = ranked(numbered(plan.select("rank", "blocks"), "blocks", blocks), ["rank"], F.col("blocks"), "block", ["i"])
+    return slots.join(places.select("rank", "pos", F.col("i").alias("block")).hint("merge"), ["rank", "pos"]).select("rank", "j", "pass", "block", "shard")
 
 
 def sized_rows(docs: DataFrame) -> DataFrame:
@@ -106,12 +147,12 @@ def sized_rows(docs: DataFrame) -> DataFrame:
 
 
 def mix_sizes(docs: DataFrame, block: int = BLOCK, passes: int = PASSES, shard: int = SHARD) -> tuple[DataFrame, DataFrame]:
-    """(rows, blocks): each row of docs with its place, and (rank, pass, block) rows of the mix; see mix."""
+    """(rows, blocks): each row of docs with its place, and the mix's slots; see placed and draw."""
     folder = work_folder(docs.sparkSession)
     sized = written(sized_rows(docs), folder, "sized")
     plan = written(source_plan(sized, block, passes), folder, "plan")
     rows = placed(sized, folder, plan)
-    return rows, draw(plan, shard)
+    return rows, draw(plan, folder, shard, passes)
 
 
 def block_rows(rows: DataFrame, block: int) -> DataFrame:
@@ -122,35 +163,53 @@ def block_rows(rows: DataFrame, block: int) -> DataFrame:
 
 
 def mix(docs: DataFrame, block: int = BLOCK, passes: int = PASSES, shard: int = SHARD) -> DataFrame:
-    """One row for each row of docs: doc_id, source, size (words), source_size, target, taken (words that the mix takes, repeats counted).
+    """One row for each row of docs: doc_id, source, size (words), source_size, target, taken (words that the mix takes, repeats counted), first_shard (of the output shards that hold words of it; null if none does).
 
     A null source is a source of its own, the last; a null or wordless text has size 0 and is never taken; repeated rows count
-    each; a null doc_id comes first in its source; an empty table gives no rows. Reruns agree: all draws are functions of the sizes."""
+    each; a null doc_id comes first in its source; an empty table gives no rows; other columns are not looked at. Reruns agree: all draws are functions of the sizes."""
     rows, drawn = mix_sizes(docs, block, passes, shard)
-    uses = drawn.groupBy("rank", "block").agg(F.count(F.lit(1)).alias("uses"))
-    taken = block_rows(rows, block).join(uses.hint("merge"), ["rank", "block"]).groupBy("rank", "start").agg(F.sum(F.col("uses") * (F.col("high") - F.col("low"))).alias("taken"))
+    uses = drawn.groupBy("rank", "block").agg(F.count(F.lit(1)).alias("uses"), F.min("shard").alias("shard"))
+    taken = block_rows(rows, block).join(uses.hint("merge"), ["rank", "block"]).groupBy("rank", "start").agg(F.sum(F.col("uses") * (F.col("high") - F.col("low"))).alias("taken"), F.min("shard").alias("first_shard"))
     taken = taken.withColumn("some", F.lit(True))
     out = rows.withColumn("some", F.col("size") > 0).join(taken.hint("merge"), ["rank", "start", "some"], "left")
-    return out.select("doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+    return out.select("doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "first_shard")
+
+
+def _cut_texts(docs: DataFrame, rows: DataFrame, cuts: DataFrame) -> DataFrame:
+    """doc (the row of docs as a struct) and cut (of `cuts`: rank, start and a list `cuts` of structs with parts, a list of low and high), with the text of the cut's words, each with the white space after it."""
+    name = ["doc_id", "source", "size", "spread"]
+    again = Window.partitionBy(*name).orderBy("start")
+    keyed = rows.filter("size > 0").join(cuts.hint("merge"), ["rank", "start"]).withColumn("again", F.row_number().over(again)).select(*(F.col(c).alias(f"k_{c}") for c in name), "again", "cuts")
+    text = F.col("text").cast("string")
+    wide = docs.select(F.struct(*docs.columns).alias("doc"), text.alias("text"), F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), n_words(text).alias("size"), F.xxhash64(text).alias("spread"))
+    wide = wide.filter("size > 0").withColumn("n", F.row_number().over(Window.partitionBy(*name).orderBy(F.lit(1))))
+    same = [F.col(c).eqNullSafe(F.col(f"k_{c}")) for c in name] + [F.col("n") == F.col("again")]
+    words = F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+[\x20\x09-\x0D]*)"), 1)
+    part = lambda w, c: F.array_join(F.slice(w, c["low"].cast("int") + 1, (c["high"] - c["low"]).cast("int")), "")
+    texts = let(words, lambda w: F.transform("cuts", lambda cut: F.struct(cut.alias("cut"), F.array_join(F.transform(cut["parts"], lambda c: part(w, c)), "").alias("text"))))
+    return wide.join(keyed.hint("merge"), same).select("doc", F.explode(texts).alias("x")).select("doc", "x.cut", "x.text")
 
 
 def mixed_documents(docs: DataFrame, block: int = BLOCK, passes: int = PASSES, shard: int = SHARD) -> DataFrame:
     """The mix as documents, with docs' columns: for each pass a row of a document with the words that its taken blocks hold, each with
-    the white space after it; n_chars follows the text. A row that no pass takes words of is left out."""
+    the white space after it; n_chars follows the text. A row that no pass takes words of is left out, as null and wordless texts are; repeated rows have their own words each; an empty table gives none."""
     rows, drawn = mix_sizes(docs, block, passes, shard)
-    cuts = block_rows(rows, block).join(drawn.hint("merge"), ["rank", "block"]).groupBy("rank", "start", "pass").agg(F.sort_array(F.collect_list(F.struct("low", "high"))).alias("cut"))
-    cuts = cuts.groupBy("rank", "start").agg(F.collect_list("cut").alias("cuts"))
-    again = Window.partitionBy("doc_id", "source", "size", "spread").orderBy("start")
-    keyed = rows.filter("size > 0").join(cuts.hint("merge"), ["rank", "start"]).withColumn("again", F.row_number().over(again)).select(*(F.col(c).alias(f"_{c}") for c in ("doc_id", "source", "size", "spread", "again")), "cuts")
-    text = F.col("text").cast("string")
-    wide = docs.withColumns({"_w": n_words(text), "_s": F.xxhash64(text), "_i": F.col("doc_id").cast("long"), "_o": F.col("source").cast("string")})
-    wide = wide.withColumn("_n", F.row_number().over(Window.partitionBy("_i", "_o", "_w", "_s").orderBy(F.lit(1))))
-    same = F.col("_i").eqNullSafe(F.col("_doc_id")) & F.col("_o").eqNullSafe(F.col("_source")) & (F.col("_w") == F.col("_size")) & (F.col("_s") == F.col("_spread")) & (F.col("_n") == F.col("_again"))
-    words = F.regexp_extract_all(text, F.lit(r"([^\x20\x09-\x0D]+[\x20\x09-\x0D]*)"), 1)
-    texts = let(words, lambda w: F.transform("cuts", lambda cut: F.array_join(F.transform(cut, lambda c: F.array_join(F.slice(w, c["low"].cast("int") + 1, (c["high"] - c["low"]).cast("int")), "")), "")))
-    out = wide.join(keyed.hint("merge"), same).withColumn("_texts", texts).withColumn("_text", F.explode("_texts"))
-    made = {"text": F.col("_text"), "n_chars": F.length("_text").cast("long")}
-    return out.select(*(made[c].alias(c) if c in made else F.col(c) for c in docs.columns))
+    cuts = block_rows(rows, block).join(drawn.hint("merge"), ["rank", "block"]).groupBy("rank", "start", "pass").agg(F.sort_array(F.collect_list(F.struct("low", "high"))).alias("parts"))
+    cuts = cuts.groupBy("rank", "start").agg(F.collect_list(F.struct("parts")).alias("cuts"))  # `passes` at most
+    made = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
+    return _cut_texts(docs, rows, cuts).select(*(made.get(c, F.col(f"doc.`{c}`")).alias(c) for c in docs.columns))
+
+
+def mixed_shards(docs: DataFrame, block: int = BLOCK, passes: int = PASSES, shard: int = SHARD) -> DataFrame:
+    """The mix as output shards: shard, place (of the slot in it, gapless from 0), pass, block, doc_id, source, low, text. A slot has a row for each document that its block holds words of,
+    low being the first word's number in the document; a shard's slots are ordered by a hash, so that its sources are mixed."""
+    rows, drawn = mix_sizes(docs, block, passes, shard)
+    order = Window.partitionBy("shard").orderBy(F.md5(F.concat_ws(":", F.lit("place"), "rank", "j")), "rank", "j")  # a shard's slots
+    drawn = drawn.withColumn("place", (F.row_number().over(order) - 1).cast("long"))
+    slot = F.struct("shard", "place", "pass", "block", "low", F.array(F.struct("low", "high")).alias("parts"))
+    cuts = block_rows(rows, block).join(drawn.hint("merge"), ["rank", "block"]).groupBy("rank", "start").agg(F.collect_list(slot).alias("cuts"))  # at most `passes` for each block of the document
+    out = _cut_texts(docs, rows, cuts)
+    return out.select("cut.shard", "cut.place", "cut.pass", "cut.block", F.col("doc.doc_id").cast("long").alias("doc_id"), F.col("doc.source").cast("string").alias("source"), "cut.low", "text")
 
 
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -166,12 +225,28 @@ s4 AS (SELECT *, most::DOUBLE / weight AS ratio, (total - coalesce(sum(most) OVE
     / (sum(weight) OVER (ORDER BY most::DOUBLE / weight, rank ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::DOUBLE AS rate FROM s3),
 s5 AS (SELECT *, (SELECT arg_min(rate, {{'a': ratio, 'b': rank}}) FROM s4 WHERE rate <= ratio) AS fill FROM s4),
 s6 AS (SELECT source, rank, source_size, least(most::DOUBLE, coalesce(fill * weight, 0)) AS target, ceil(source_size / {BLOCK})::BIGINT AS blocks FROM s5),
-plan AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target * blocks / source_size + 0.5)::BIGINT ELSE 0 END AS slots FROM s6),
-indices AS (SELECT rank, blocks, slots, unnest(range(blocks)) AS i FROM plan),
-places AS (SELECT rank, i AS block, blocks, slots, row_number() OVER (PARTITION BY rank ORDER BY md5('block:' || rank || ':' || i)[1:{BITS // 4}], i) - 1 AS pos FROM indices),
-uses AS (SELECT rank, block, (slots - pos - 1) // blocks + 1 AS uses FROM places WHERE pos < slots),
+units AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target * blocks / source_size * {1 << FIXED} + 0.5)::BIGINT ELSE 0 END AS slots FROM s6),
+upto AS (SELECT *, coalesce(floor((sum(slots) OVER (ORDER BY rank))::DOUBLE / (sum(slots) OVER ())::DOUBLE * {1 << SHARE})::BIGINT, 0) AS upto FROM units),
+shared AS (SELECT *, upto - coalesce(lag(upto) OVER (ORDER BY rank), 0) AS share FROM upto),
+size_ AS (SELECT total, ceil(total / {SHARD})::BIGINT AS shards FROM (SELECT ((sum(slots) + {1 << FIXED - 1}) // {1 << FIXED})::BIGINT AS total FROM units)),
+shard_ AS (SELECT unnest(range(shards)) AS shard, shards FROM size_),
+n AS (SELECT shard, CASE WHEN shard = shards - 1 THEN total - (shards - 1) * {SHARD} ELSE {SHARD} END AS n FROM shard_ JOIN size_ USING (shards)),
+expected AS (SELECT shard, rank, blocks, (share * n) // {1 << SHARE} AS whole, (share * n) % {1 << SHARE} AS rest FROM n, shared),
+ranges AS (SELECT shard, rank, sum(rest) OVER (PARTITION BY shard ORDER BY rank) - rest AS low, sum(rest) OVER (PARTITION BY shard ORDER BY rank) AS high FROM expected),
+number AS (SELECT shard, (sum(rest) // {1 << SHARE})::BIGINT AS number FROM expected GROUP BY 1),
+slot AS (SELECT shard, number, unnest(range(number)) AS slot FROM number),
+drawn AS (SELECT shard, md5('draw:' || shard || ':' || slot) AS h, number FROM slot),
+v AS (SELECT shard, ('0x' || h[11:22])::BIGINT % number * {1 << SHARE} + ('0x' || h[1:{SHARE // 4}])::BIGINT AS v FROM drawn),
+extra AS (SELECT v.shard, rank, count(*) AS extra FROM v JOIN ranges r ON r.shard = v.shard AND r.low <= v.v AND v.v < r.high GROUP BY ALL),
+counts AS (SELECT e.shard, e.rank, e.blocks, e.whole, coalesce(x.extra, 0) AS extra FROM expected e LEFT JOIN extra x ON e.shard = x.shard AND e.rank = x.rank),
+firsts AS (SELECT *, sum(whole) OVER (PARTITION BY rank ORDER BY shard) - whole AS first, sum(whole) OVER (PARTITION BY rank) + sum(extra) OVER (PARTITION BY rank ORDER BY shard) - extra AS drawn FROM counts),
+js AS (SELECT rank, blocks, shard, unnest(range(first::BIGINT, (first + whole)::BIGINT)) AS j FROM firsts UNION ALL SELECT rank, blocks, shard, unnest(range(drawn::BIGINT, (drawn + extra)::BIGINT)) FROM firsts),
+indices AS (SELECT rank, blocks, unnest(range(blocks)) AS i FROM shared),
+places AS (SELECT rank, i AS block, row_number() OVER (PARTITION BY rank ORDER BY md5('block:' || rank || ':' || i)[1:{BITS // 4}], i) - 1 AS pos FROM indices),
+uses AS (SELECT js.rank, p.block, count(*) AS uses, min(shard) AS shard FROM js JOIN places p ON p.rank = js.rank AND p.pos = js.j % js.blocks WHERE js.j < {PASSES} * js.blocks GROUP BY ALL),
+plan AS (SELECT source, rank, source_size, target FROM shared),
 rows_ AS (SELECT doc_id, size, plan.*, sum(size) OVER (PARTITION BY sized.source ORDER BY doc_id ROWS UNBOUNDED PRECEDING) - size AS start FROM sized JOIN plan ON sized.source IS NOT DISTINCT FROM plan.source),
 parts AS (SELECT *, unnest(range((start // {BLOCK})::BIGINT, ((start + size - 1) // {BLOCK})::BIGINT + 1)) AS block FROM rows_ WHERE size > 0),
-taken AS (SELECT parts.doc_id, sum(uses * (least(start + size, (parts.block + 1) * {BLOCK}) - greatest(start, parts.block * {BLOCK})))::BIGINT AS taken FROM parts JOIN uses ON parts.rank = uses.rank AND parts.block = uses.block GROUP BY 1)
-SELECT doc_id, size, source_size, target, coalesce(taken, 0)::BIGINT AS taken FROM rows_ LEFT JOIN taken USING (doc_id)
+taken AS (SELECT parts.doc_id, sum(uses * (least(start + size, (parts.block + 1) * {BLOCK}) - greatest(start, parts.block * {BLOCK})))::BIGINT AS taken, min(shard) AS first_shard FROM parts JOIN uses ON parts.rank = uses.rank AND parts.block = uses.block GROUP BY 1)
+SELECT doc_id, size, source_size, target, coalesce(taken, 0)::BIGINT AS taken, first_shard FROM rows_ LEFT JOIN taken USING (doc_id)
 """
