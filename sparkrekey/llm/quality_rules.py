@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import GAP, SPACES, let, read, work_folder, written
+from .common import FEW, GAP, SPACES, let, read, work_folder, written
 
 SYMBOLS = "#*$%&|<>"
-#: A line is removed from a host's documents if more than LEAST distinct texts of the host have it, and more than SHARE of them.
+#: A line is removed from a host's documents if more than LEAST documents of the host have it, and more than SHARE of them.
 LEAST, SHARE = 10, 0.01
 #: A document is depleted if over half of its words go, or fewer than FEWEST stay.
 DEPLETED, FEWEST = 0.5, 10
@@ -46,10 +46,13 @@ def normal_line(line: Column) -> Column:
     return F.translate(F.regexp_replace(F.trim(line, F.lit(SPACES)), GAP, " "), UPPER + "123456789", LOWER + "0" * 9)
 
 
-def line_rows(rows: DataFrame) -> DataFrame:
-    """key (host and normalised line), host, row, text hash and place (among all \\n-split lines) of each line with a word."""
-    out = rows.select("host", "row", "hash", F.posexplode(F.split("_text", "\n")).alias("place", "line")).filter(F.length(F.trim("line", F.lit(SPACES))) > 0)
-    return out.select(F.xxhash64("host", normal_line(F.col("line"))).alias("key"), "host", "row", "hash", "place")
+def line_list(text: Column) -> Column:
+    """For each \\n-split line its normalised form's hash (null for a line without a word) and its number of words."""
+
+    def one(line):
+        return let(normal_line(line), lambda n: F.when(n != "", F.struct(F.xxhash64(n).alias("key"), (F.length(n) - F.length(F.translate(n, " ", "")) + 1).alias("words"))).otherwise(F.struct(F.lit(None).cast("long").alias("key"), F.lit(0).alias("words"))))
+
+    return F.transform(F.split(text, "\n"), one)
 
 
 def without(text: Column, places: Column) -> Column:
@@ -59,27 +62,36 @@ def without(text: Column, places: Column) -> Column:
     return F.when(places.isNull(), text).otherwise(rest)
 
 
+def _keyed(docs: DataFrame, id_col: str, host_col: str) -> list[Column]:
+    """The columns id, host, text (null: empty) and row, a hash of the three by which rows meet what was found for them; equal rows are judged alike."""
+    text, host = F.coalesce(docs["text"].cast("string"), F.lit("")), F.coalesce(docs[host_col].cast("string"), F.lit(""))
+    return [docs[id_col].cast("long").alias("id"), host.alias("host"), text.alias("text"), F.xxhash64(docs[id_col].cast("long"), host, F.xxhash64(text)).alias("row")]
+
+
 def _judged(docs: DataFrame, id_col: str, host_col: str) -> DataFrame:
-    """judge_lines' columns (the id as _id), each row of docs as the struct _doc, and its text without the common lines as _clean."""
+    """judge_lines' columns with the id as id, the row, and the places of the row's common lines.
+
+    The texts are read once: what the counts need, and each line's hash and words, are written and all else works on them."""
     folder = work_folder(docs.sparkSession)
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.select(F.struct(*docs.columns).alias("_doc"), F.col(id_col).cast("long").alias("_id"), F.coalesce(F.col(host_col).cast("string"), F.lit("")).alias("host"), text.alias("_text"))
-    rows = rows.withColumn("hash", F.xxhash64("_text")).withColumn("row", F.xxhash64("_id", "host", "hash"))
-    hosts = rows.select("host", "hash").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("texts"))
-    lines = line_rows(rows)
-    seen = lines.select("key", F.xxhash64("host").alias("h"), "hash").distinct()
-    counts = seen.groupBy("key", "h").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > LEAST)
-    limits = hosts.select(F.xxhash64("host").alias("h"), F.greatest(F.lit(float(LEAST)), F.col("texts") * SHARE).alias("limit"))
-    common = written(counts.join(limits, "h").filter("n > limit").select("key"), folder, "common")
-    gone = lines.join(common, "key").groupBy("row").agg(F.collect_set("place").alias("places"))  # at most a document's own lines
-    chars = F.length(F.translate(F.col("_text"), SPACES, ""))
-    counted = rows.select(
-        "_doc", "_id", "row", "_text", chars.cast("long").alias("word_chars"), (F.length("_text") - F.length(F.translate("_text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
-        let(lines_of(F.col("_text")), lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
-        let(words_of(F.col("_text")), lambda w: F.struct(F.size(w).cast("long").alias("n"), repeat_words(w).cast("long").alias("r"))).alias("w"),
+    text = F.col("text")
+    doc = F.xxhash64("id", F.when(F.col("id").isNull(), F.xxhash64("text")))
+    rows = docs.select(*_keyed(docs, id_col, host_col)).select(
+        "id", "row", F.xxhash64("host").alias("host"), doc.alias("doc"), F.length(F.translate(text, SPACES, "")).cast("long").alias("word_chars"), (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long").alias("n_symbols"),
+        let(lines_of(text), lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
+        let(words_of(text), lambda w: F.struct(F.size(w).cast("long").alias("n"), repeat_words(w).cast("long").alias("r"))).alias("w"), line_list(text).alias("lines"),
     )
-    out = counted.join(gone, "row", "left").select("_doc", "_id", F.col("w.n").alias("n_words"), "word_chars", "n_symbols", "n_dup_lines", F.col("w.r").alias("n_repeat_words"), "places", without(F.col("_text"), F.col("places")).alias("_clean"))
-    out = out.withColumn("removed_words", F.when(F.col("places").isNull(), F.lit(0).cast("long")).otherwise(F.col("n_words") - F.size(words_of(F.col("_clean")))))
+    rows = written(rows, folder, "lines")
+    seen = rows.select("host", "doc", F.explode(F.array_distinct("lines.key")).alias("key")).filter("key IS NOT NULL").distinct()
+    counts = seen.groupBy("host", "key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > LEAST)
+    hosts = rows.select("host", "doc").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("documents"))
+    limits = hosts.select("host", F.greatest(F.lit(float(LEAST)), F.col("documents") * SHARE).alias("limit"))
+    common = written(counts.join(limits, "host").filter("n > limit").select("host", "key"), folder, "common")
+    common = F.broadcast(common) if common.count() <= FEW else common.hint("merge")
+    lines = rows.select("row", "host", F.posexplode("lines").alias("place", "line")).select("row", "host", "place", "line.key", "line.words")
+    gone = lines.join(common, ["host", "key"]).groupBy("row", "place").agg(F.first("words").alias("words"))  # equal rows bring each line again
+    gone = gone.groupBy("row").agg(F.collect_list("place").alias("places"), F.sum("words").alias("removed_words"))  # at most a document's own lines
+    out = rows.drop("lines", "host", "doc").join(gone.hint("merge"), "row", "left")
+    out = out.select("id", "row", F.col("w.n").alias("n_words"), "word_chars", "n_symbols", "n_dup_lines", F.col("w.r").alias("n_repeat_words"), "places", F.coalesce("removed_words", F.lit(0)).cast("long").alias("removed_words"))
     out = out.withColumn("base_failed", (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words")))
     depleted = (F.col("removed_words") > F.col("n_words") * DEPLETED) | (F.col("n_words") - F.col("removed_words") < FEWEST)
     return out.withColumn("kept", ~F.col("base_failed") & ~depleted)
@@ -88,18 +100,21 @@ def _judged(docs: DataFrame, id_col: str, host_col: str) -> DataFrame:
 def judge_lines(docs: DataFrame, id_col: str = "doc_id", host_col: str = "source") -> DataFrame:
     """One row for each row of docs: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, removed_words.
 
-    The method: lines are normalised (blanks collapsed, A-Z lower-cased, digits 0) and hashed; the distinct texts of the host that
-    have a line are counted (copies of a text count once); lines above the limit are removed; a depleted document is rejected. Counts are in two steps,
+    The method: lines are normalised (blanks collapsed, A-Z lower-cased, digits 0) and hashed; the host's distinct documents (ids; a row without an id counts
+    by its text) that have a line are counted, exact copies under other ids included; lines above the limit are removed; a depleted document is rejected. Counts are in two steps,
     so that a line or host found everywhere is summed up before it moves. A null text is empty (0 words, base_failed), a null
-    host is the host '', repeated rows are judged alike, a null id stays null; other columns are not looked at. removed_words counts
+    host is the host '', repeated rows are judged alike, a null id stays null, an empty table gives no rows; other columns are not looked at. removed_words counts
     what clean_lines' text has lost."""
-    return _judged(docs, id_col, host_col).select(F.col("_id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "removed_words", "base_failed", "kept")
+    return _judged(docs, id_col, host_col).select(F.col("id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "removed_words", "base_failed", "kept")
 
 
 def clean_lines(docs: DataFrame, id_col: str = "doc_id", host_col: str = "source") -> DataFrame:
     """The rows of docs that judge_lines keeps, their texts without the common lines; n_chars follows, if there is one."""
-    made = {"text": F.col("_clean"), "n_chars": F.length("_clean").cast("long")}
-    return _judged(docs, id_col, host_col).filter("kept").select(*(made.get(c, F.col(f"_doc.`{c}`")).alias(c) for c in docs.columns))
+    kept = _judged(docs, id_col, host_col).filter("kept").select("row", "places").dropDuplicates(["row"])
+    rows = docs.select(F.struct(*docs.columns).alias("doc"), *_keyed(docs, id_col, host_col)[2:])
+    out = rows.join(kept.hint("merge"), "row").withColumn("clean", without(F.col("text"), F.col("places")))
+    made = {"text": F.col("clean"), "n_chars": F.length("clean").cast("long")}
+    return out.select(*(made.get(c, F.col(f"doc.`{c}`")).alias(c) for c in docs.columns))
 
 
 def op7_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,8 +129,8 @@ l AS (SELECT doc_id, host, text, unnest(l) AS line FROM w),
 l2 AS (SELECT doc_id, host, text, line, len(regexp_extract_all(line, '{_W}')) AS words,
     translate(regexp_replace(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '[\x20\x09-\x0D]+', ' ', 'g'), '{UPPER}123456789', '{LOWER}000000000') AS norm
     FROM l WHERE regexp_matches(line, '{_W}')),
-hosts AS (SELECT host, count(DISTINCT text) AS texts FROM d GROUP BY 1),
-common AS (SELECT host, norm FROM (SELECT host, norm, count(DISTINCT text) AS n FROM l2 GROUP BY ALL) JOIN hosts USING (host) WHERE n > {LEAST} AND n > greatest({LEAST}.0, texts * {SHARE})),
+hosts AS (SELECT host, count(DISTINCT doc_id) AS documents FROM d GROUP BY 1),
+common AS (SELECT host, norm FROM (SELECT host, norm, count(DISTINCT doc_id) AS n FROM l2 GROUP BY ALL) JOIN hosts USING (host) WHERE n > {LEAST} AND n > greatest({LEAST}.0, documents * {SHARE})),
 gone AS (SELECT doc_id, sum(words)::BIGINT AS removed FROM l2 JOIN common USING (host, norm) GROUP BY 1),
 dup AS (SELECT doc_id, (count(*) - count(DISTINCT line))::BIGINT AS n_dup_lines FROM l2 GROUP BY 1),
 win AS (SELECT doc_id, unnest(range(1, len(w) - 3)) AS i, w FROM w WHERE len(w) > 4),
