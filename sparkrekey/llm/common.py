@@ -170,7 +170,7 @@ def span_hashes(flat: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: b
     return out[0] if lanes == 1 else out
 
 
-def _folded(words: np.ndarray, k: int) -> np.ndarray:
+def folded(words: np.ndarray, k: int) -> np.ndarray:
     """The hash of the k words from each place on (too near the end: of what follows); twice as many words with each step."""
     with np.errstate(over="ignore"):
         h, done, power, have = None, 0, words, 1
@@ -197,7 +197,7 @@ def windows(words: np.ndarray, counts: np.ndarray, k: int) -> tuple[np.ndarray,
     many = np.where(n >= k, n - k + 1, (n > 0).astype(np.int64))
     before = np.concatenate([[0], np.cumsum(many)])
     at = np.repeat(counts[:-1] - before[:-1], many) + np.arange(before[-1])
-    out = _folded(words, k)[at] if len(words) else np.empty(0, np.uint64)
+    out = folded(words, k)[at] if len(words) else np.empty(0, np.uint64)
     short = np.flatnonzero((n > 0) & (n < k))
     if len(short):
         h, left = mixed(n[short].astype(np.uint64)), n[short]

@@ -9,29 +9,33 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import flat_text, list_array, only, pieces, read, span_hashes, windows, word_spans, work_folder, written
+from .common import flat_text, folded, list_array, only, pieces, read, span_hashes, word_spans, work_folder, written
 
-#: Words of a seed; seeds in a window of which the least is taken: equal runs of SEED + WINDOW - 1 = 19 words share one.
-SEED, WINDOW = 8, 12
-#: Words of the shortest passage reported, and of the shortest chain that can be part of one.
+#: Words of a seed. A seed counts if the least hash of its words is its first's or its last's (a closed syncmer): that depends on its words alone, so documents that share it
+#: agree, some 2 / SEED of all count, and among any SEED - 1 that follow each other one does; so equal runs of 2 * SEED - 2 = 14 words share a seed.
+SEED = 8
+#: Words of the shortest passage reported, and of the shortest part of one.
 PASSAGE, PART = 50, 20
 #: What a word skipped on either side costs a chain, which gains WORTH for each seed.
 GAP_COST, WORTH = 0.05, 6.0
-#: Words beyond a chain's ends that the alignment sees; passages of a text that are this near are one.
-MARGIN, JOIN = 32, 5
-#: Least share of equal words in an aligned part, and the widest unequal stretch aligned word by word.
-ALIKE, STRETCH = 0.8, 64
-
-
-def sampled_seeds(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, place) of a text's minimizers: in each window of WINDOW seeds the least; a repeated one at each of its places."""
-    every, _ = windows(words, np.array([0, len(words)]), SEED)
-    if len(every) <= WINDOW:
-        places = np.array([int(every.argmin())])
-    else:
-        frames = np.lib.stride_tricks.sliding_window_view(every, WINDOW)
-        places = np.unique(np.arange(len(frames)) + frames.argmin(axis=1))
-    return every[places], places
+#: Words beyond a chain's ends that the alignment sees at first; one that goes on to this edge is repeated with the next number, at last with the whole texts. Passages of a text that are JOIN words apart are one.
+MARGINS, JOIN = (32, 512, None), 5
+#: Least share of equal words in an aligned part, and words that are compared in one go as it grows.
+ALIKE, STRIDE = 0.8, 32
+
+
+def sampled_seeds(words: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, hash, place) of the seeds that count in each text, at each of their places; texts too short for a passage have none."""
+    n = np.diff(counts)
+    many = np.where(n >= PASSAGE, n - SEED + 1, 0)
+    owner = np.repeat(np.arange(len(n)), many)
+    at = np.repeat(counts[:-1] - (np.cumsum(many) - many), many) + np.arange(many.sum())
+    if not len(at):
+        return owner, np.empty(0, np.uint64), at
+    least = np.lib.stride_tricks.sliding_window_view(words, SEED).min(axis=1)[at]
+    some = (words[at] == least) | (words[at + SEED - 1] == least)
+    owner, at = owner[some], at[some]
+    return owner, folded(words, SEED)[at], at - counts[owner]
 
 
 def word_lists(column: pa.Array) -> Iterator[np.ndarray]:
@@ -43,21 +47,24 @@ def word_lists(column: pa.Array) -> Iterator[np.ndarray]:
 
 
 def _slim(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("_text")).filter("_id IS NOT NULL")
+    """_id, _version, _text of the rows with an id. Rows of one id with other texts are documents of their own, told apart by a hash of the text; where no id repeats, that is 0."""
+    slim = docs.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("_text")).filter("_id IS NOT NULL")
+    once = slim.groupBy("_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty()
+    return slim.select("_id", F.lit(0).cast("long").alias("_version") if once else F.xxhash64("_text").alias("_version"), "_text")
 
 
-def seeds(docs: DataFrame) -> DataFrame:
-    """seed, doc_id, place: the minimizers of texts long enough for a passage."""
+def seeds(slim: DataFrame) -> DataFrame:
+    """seed, doc_id, version, place."""
 
     def work(batches):
         for b in pieces(batches, "_text"):
-            out = [(i, *sampled_seeds(w)) for i, w in zip(b.column("_id").to_pylist(), word_lists(b.column("_text"))) if len(w) >= PASSAGE]
-            if out:
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.concatenate([h for _, h, _ in out]).view(np.int64)), pa.array(np.repeat([i for i, _, _ in out], [len(h) for _, h, _ in out]), pa.int64()), pa.array(np.concatenate([p for _, _, p in out]), pa.int32()),
-                ], ["seed", "doc_id", "place"])
+            flat, off = flat_text(b.column("_text"))
+            starts, ends, counts = word_spans(flat, off)
+            owner, found, place = sampled_seeds(span_hashes(flat, starts, ends), counts)
+            at = pa.array(owner)
+            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), b.column("_id").take(at), b.column("_version").take(at), pa.array(place, pa.int32())], ["seed", "doc_id", "version", "place"])
 
-    return _slim(docs).mapInArrow(work, "seed long, doc_id long, place int")
+    return slim.mapInArrow(work, "seed long, doc_id long, version long, place int")
 
 
 def chains(p: np.ndarray, q: np.ndarray) -> list[list[int]]:
@@ -102,35 +109,38 @@ def chains(p: np.ndarray, q: np.ndarray) -> list[list[int]]:
 
 
 def _chained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From a document's matches, its chains: doc_id, partner, low, high, partner_low, partner_high, p, q (the matches)."""
+    """From a document's matches, its chains: doc_id, version, partner, partner_version, p, q (the matches)."""
     for b in batches:
         rows = []
-        for doc, found in zip(b.column("doc_id").to_pylist(), b.column("found")):
+        for doc, version, found in zip(b.column("doc_id").to_pylist(), b.column("version").to_pylist(), b.column("found")):
             flat = found.values
-            partner, q, p = (flat.field(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in range(3))
-            order = np.lexsort((p, q, partner))
-            key = np.column_stack([partner, q, p])[order]
-            order = order[np.append(True, (key[1:] != key[:-1]).any(axis=1))]  # rows that repeat a doc_id bring each match again
-            for part in np.split(order, np.flatnonzero(np.diff(partner[order])) + 1):
+            partner, other, q, p = (flat.field(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in range(4))
+            order = np.lexsort((p, q, other, partner))
+            key = np.column_stack([partner, other, q, p])[order]
+            order = order[np.append(True, (key[1:] != key[:-1]).any(axis=1))]  # rows that repeat a document bring each match again
+            turns = np.flatnonzero((np.diff(partner[order]) != 0) | (np.diff(other[order]) != 0)) + 1
+            for part in np.split(order, turns):
                 for chain in chains(p[part], q[part]):
                     at = part[chain]
-                    # the equal run around a match can reach WINDOW + SEED words beyond it
-                    if p[at[-1]] - p[at[0]] + SEED + 2 * (WINDOW + SEED) >= PART:
-                        rows.append((doc, int(partner[at[0]]), p[at], q[at]))
-        yield pa.RecordBatch.from_arrays([
-            pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.list_(pa.int64())), pa.array([r[3] for r in rows], pa.list_(pa.int64())),
-        ], ["doc_id", "partner", "p", "q"])
+                    rows.append((doc, version, int(partner[at[0]]), int(other[at[0]]), p[at], q[at]))
+        types = [pa.int64()] * 4 + [pa.list_(pa.int64())] * 2
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], ["doc_id", "version", "partner", "partner_version", "p", "q"])
 
 
 def equal_in_gap(x: np.ndarray, y: np.ndarray) -> int:
-    """Most words of x and y that can be matched in order (the longest common subsequence); too wide a stretch counts as unequal."""
-    if not len(x) or not len(y) or max(len(x), len(y)) > STRETCH:
+    """Most words of x and y that can be matched in order (the longest common subsequence), a bit for each word of y."""
+    if not len(x) or not len(y):
         return 0
-    row = np.zeros(len(y) + 1, np.int64)
-    for w in x:
-        row[1:] = np.maximum(row[1:], row[:-1] + (y == w))
-        np.maximum.accumulate(row, out=row)
-    return int(row[-1])
+    at: dict[int, int] = {}
+    for k, w in enumerate(y.tolist()):
+        at[w] = at.get(w, 0) | 1 << k
+    full = (1 << len(y)) - 1
+    row = full
+    for w in x.tolist():
+        if hit := at.get(w):
+            both = row & hit
+            row = (row + both | row - both) & full
+    return len(y) - row.bit_count()
 
 
 def _grow(x: np.ndarray, y: np.ndarray) -> tuple[int, int]:
@@ -138,7 +148,7 @@ def _grow(x: np.ndarray, y: np.ndarray) -> tuple[int, int]:
     n = min(len(x), len(y))
     end = equal = count = at = 0
     while at < n:
-        same = (x[max(0, at - 5) : at + MARGIN][: n - max(0, at - 5)] == y[max(0, at - 5) : at + MARGIN][: n - max(0, at - 5)]).tolist()
+        same = (x[max(0, at - 5) : at + STRIDE][: n - max(0, at - 5)] == y[max(0, at - 5) : at + STRIDE][: n - max(0, at - 5)]).tolist()
         skip = at - max(0, at - 5)
         for k in range(skip, len(same)):
             if same[k]:
@@ -248,71 +258,96 @@ def align(x: np.ndarray, y: np.ndarray, p: np.ndarray, q: np.ndarray) -> list[tu
     return out
 
 
-def repeated_passages(docs: DataFrame) -> DataFrame:
-    """doc_id, start_word, end_word, partner_id, partner_start, partner_end, equal_words, passage_start, passage_end: aligned parts of passages that other documents have too.
-
-    A part is a stretch of a document that aligns with one of an earlier document (a smaller doc_id), at least ALIKE of its words equal. Parts of a
-    document that meet or overlap make a passage, and passages of PASSAGE words or more are returned. Each seed is joined with its
-    first document only, so the rows grow with the corpus whatever the number of copies; a third document with the same passage
-    has a row of its own. Words are lower-cased in A-Z. Null, short and wordless texts, and null ids, have no rows; rows that repeat a doc_id are one
-    document; a document's repeated seed counts at each of its places, each met with the first place in the partner, so later copies of a passage are found too."""
-    folder = work_folder(docs.sparkSession)
-    every = seeds(docs)
-    least = every.groupBy("seed").agg(F.max("doc_id").alias("last"), F.min(F.struct("doc_id", "place")).alias("first")).filter("last > first.doc_id")
-    anchors = written(least.select("seed", F.col("first.doc_id").alias("partner"), F.col("first.place").alias("q")), folder, "anchors")
-    matches = every.join(anchors, "seed").filter("doc_id <> partner")
-    lists = matches.groupBy("doc_id").agg(F.collect_list(F.struct("partner", "q", F.col("place").alias("p"))).alias("found"))  # at most a document's own seeds
-    found = lists.mapInArrow(_chained, "doc_id long, partner long, p array<long>, q array<long>")
-    found = written(found.withColumn("chain", F.monotonically_increasing_id()), folder, "chains")
-
-    ids = written(found.select(F.explode(F.array("doc_id", "partner")).alias("id")).distinct(), folder, "ids")
-    ends = lambda c: (F.greatest(F.lit(0), F.get(c, F.lit(0)) - MARGIN).alias("low"), (F.element_at(c, -1) + SEED + MARGIN).alias("high"))
-    sides = found.select("chain", F.lit(0).alias("side"), "doc_id", *ends("p")).unionByName(found.select("chain", F.lit(1).alias("side"), F.col("partner").alias("doc_id"), *ends("q")))
+def _aligned_once(slim: DataFrame, found: DataFrame, margin: int | None, folder: str, name: str) -> DataFrame:
+    """The aligned parts of the chains, and a row with a null start_word for each chain whose alignment came to the edge of what it saw."""
+    ids = written(found.select(F.explode(F.array("doc_id", "partner")).alias("id")).distinct(), folder, f"{name}-ids")
+    ends = lambda c: (F.greatest(F.lit(0), F.get(c, F.lit(0)) - margin).alias("low"), (F.element_at(c, -1) + SEED + margin).alias("high")) if margin is not None else (F.lit(0).cast("long").alias("low"), F.lit((1 << 31) - 1).cast("long").alias("high"))
+    sides = found.select("chain", F.lit(0).alias("side"), "doc_id", "version", *ends("p")).unionByName(found.select("chain", F.lit(1).alias("side"), F.col("partner").alias("doc_id"), F.col("partner_version").alias("version"), *ends("q")))
 
     def listed(batches):
         for b in pieces(batches, "_text"):
             lists = list(word_lists(b.column("_text")))
             before = np.cumsum([0] + [len(w) for w in lists])
-            yield pa.RecordBatch.from_arrays([b.column("_id"), list_array((np.concatenate(lists) >> np.uint64(32)).astype(np.uint32).view(np.int32), before)], ["doc_id", "words"])
+            yield pa.RecordBatch.from_arrays([b.column("_id"), b.column("_version"), list_array((np.concatenate(lists) >> np.uint64(32)).astype(np.uint32).view(np.int32), before)], ["doc_id", "version", "words"])
 
-    words = only(_slim(docs), "_id", ids).mapInArrow(listed, "doc_id long, words array<int>")
-    cut = F.slice("words", F.col("low").cast("int") + 1, F.greatest(F.lit(0), F.col("high") - F.col("low")).cast("int"))
-    views = sides.join(words, "doc_id").select("chain", "side", F.col("low"), cut.alias("view"))
-    pick = lambda side, c: F.max(F.when(F.col("side") == side, F.struct("low", "view")))[c].alias(f"{c}{side}")
-    both = views.groupBy("chain").agg(pick(0, "low"), pick(0, "view"), pick(1, "low"), pick(1, "view")).join(found, "chain")
+    words = only(slim, "_id", ids).mapInArrow(listed, "doc_id long, version long, words array<int>")
+    size = F.size("words").cast("long")
+    cut = F.slice("words", F.col("low").cast("int") + 1, F.greatest(F.lit(0), F.least(F.col("high"), size) - F.col("low")).cast("int"))
+    views = sides.join(words.hint("merge"), ["doc_id", "version"]).select("chain", "side", F.col("low"), size.alias("size"), cut.alias("view"))
+    pick = lambda side, c: F.max(F.when(F.col("side") == side, F.struct("low", "size", "view")))[c].alias(f"{c}{side}")
+    both = views.groupBy("chain").agg(*(pick(side, c) for side in (0, 1) for c in ("low", "size", "view"))).join(found, "chain")
 
     def aligned(batches):
-        names = ["doc_id", "start_word", "end_word", "partner_id", "partner_start", "partner_end", "equal_words"]
         for b in batches:
             rows = []
-            ids, partners, low0, low1 = (b.column(n).to_pylist() for n in ("doc_id", "partner", "low0", "low1"))
+            keys = zip(*(b.column(n).to_pylist() for n in ("chain", "doc_id", "version", "partner", "partner_version", "low0", "size0", "low1", "size1")))
             view0, view1, p, q = (_lists(b.column(n)) for n in ("view0", "view1", "p", "q"))
-            for k, (i, j, x0, y0) in enumerate(zip(ids, partners, low0, low1)):
-                for a, e, c, f, same in align(view0(k), view1(k), p(k) - x0, q(k) - y0):
-                    if e - a >= PART:
-                        rows.append((i, a + x0, e + x0, j, c + y0, f + y0, same))
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(7)], names)
+            for k, (chain, doc, version, partner, other, x0, n0, y0, n1) in enumerate(keys):
+                x, y = view0(k), view1(k)
+                parts = align(x, y, p(k) - x0, q(k) - y0)
+                # at an edge of the view, though both texts go on
+                left = any((a == 0 or c == 0) and a + x0 > 0 and c + y0 > 0 for a, _, c, _, _ in parts)
+                right = any((e == len(x) or f == len(y)) and e + x0 < n0 and f + y0 < n1 for _, e, _, f, _ in parts)
+                if left or right:
+                    rows.append((chain, doc, version, None, None, partner, None, None, None))
+                else:
+                    rows += [(chain, doc, version, a + x0, e + x0, partner, c + y0, f + y0, same) for a, e, c, f, same in parts if e - a >= PART]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(9)], ["chain", "doc_id", "version", *_FIELDS])
 
-    fields = "doc_id long, start_word long, end_word long, partner_id long, partner_start long, partner_end long, equal_words long"
-    parts = both.select("doc_id", "partner", "p", "q", "low0", "view0", "low1", "view1").mapInArrow(aligned, fields)
-    lists = parts.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct(*(x.split()[0] for x in fields.split(", ")[1:])))).alias("parts"))  # at most a document's own chains
+    out = both.select("chain", "doc_id", "version", "partner", "partner_version", "p", "q", "low0", "size0", "view0", "low1", "size1", "view1")
+    return written(out.mapInArrow(aligned, ", ".join(f"{c} long" for c in ["chain", "doc_id", "version", *_FIELDS])), folder, f"{name}-parts")
 
-    def passages(batches):
-        for b in batches:
-            rows = []
-            for doc, parts in zip(b.column("doc_id").to_pylist(), b.column("parts").to_pylist()):
-                group, end = [], -1
-                for part in [*parts, None]:
-                    if part is None or (group and part["start_word"] > end + JOIN):
-                        if group and end - group[0]["start_word"] >= PASSAGE:
-                            rows += [(doc, *x.values(), group[0]["start_word"], end) for x in group]
-                        group, end = [], -1
-                    if part is not None:
-                        group.append(part)
-                        end = max(end, part["end_word"])
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(9)], [x.split()[0] for x in (fields + ", passage_start long, passage_end long").split(", ")])
-
-    return lists.mapInArrow(passages, fields + ", passage_start long, passage_end long")
+
+_FIELDS = ["start_word", "end_word", "partner_id", "partner_start", "partner_end", "equal_words"]
+
+
+def _passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        rows = []
+        for doc, parts in zip(b.column("doc_id").to_pylist(), b.column("parts").to_pylist()):
+            group, end = [], -1
+            for part in [*parts, None]:
+                if part is None or (group and part["start_word"] > end + JOIN):
+                    if group and end - group[0]["start_word"] >= PASSAGE:
+                        rows += [(doc, *x.values(), group[0]["start_word"], end) for x in group]
+                    group, end = [], -1
+                if part is not None:
+                    group.append(part)
+                    end = max(end, part["end_word"])
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(9)], ["doc_id", *_FIELDS, "passage_start", "passage_end"])
+
+
+def repeated_passages(docs: DataFrame, within: bool = False) -> DataFrame:
+    """doc_id, start_word, end_word, partner_id, partner_start, partner_end, equal_words, passage_start, passage_end: aligned parts of passages that other documents have too.
+
+    A part is a stretch of a document that aligns with one of an earlier document (a smaller doc_id), at least ALIKE of its words equal; with `within`, also with an earlier
+    stretch of the same document. Parts of a document that meet or overlap make a passage, and passages of PASSAGE words or more are returned. Each seed is joined with its
+    first document only, so the rows grow with the corpus whatever the number of copies; a third document with the same passage
+    has a row of its own. Words are lower-cased in A-Z. Null, short and wordless texts, and null ids, have no rows, nor has an empty table; rows that repeat a doc_id with the same text are one
+    document, with other texts each a document of its own; a document's repeated seed counts at each of its places, each met with the first place in the partner, so later copies of a passage are found too;
+    of equal chains any comes first, which changes no part; other columns are not looked at."""
+    folder = work_folder(docs.sparkSession)
+    slim = _slim(docs)
+    every = seeds(slim)
+    least = every.groupBy("seed").agg(F.max(F.struct("doc_id", "version", *(["place"] if within else []))).alias("last"), F.min(F.struct("doc_id", "version", "place")).alias("first"))
+    least = least.filter("last > first" if within else "last.doc_id > first.doc_id OR last.version > first.version")
+    anchors = written(least.select("seed", F.col("first.doc_id").alias("partner"), F.col("first.version").alias("partner_version"), F.col("first.place").alias("q")), folder, "anchors")
+    other = "(doc_id <> partner OR version <> partner_version)"
+    matches = every.join(anchors, "seed").filter(f"{other} OR place > q" if within else other)
+    lists = matches.groupBy("doc_id", "version").agg(F.collect_list(F.struct("partner", "partner_version", "q", F.col("place").alias("p"))).alias("found"))  # at most a document's own seeds
+    found = lists.mapInArrow(_chained, "doc_id long, version long, partner long, partner_version long, p array<long>, q array<long>")
+    found = written(found.withColumn("chain", F.monotonically_increasing_id()), folder, "chains")
+
+    parts = None
+    for k, margin in enumerate(MARGINS):
+        now = _aligned_once(slim, found, margin, folder, f"{k}")
+        parts = now.filter("start_word IS NOT NULL") if parts is None else parts.unionByName(now.filter("start_word IS NOT NULL"))
+        open_ = now.filter("start_word IS NULL").select("chain")
+        if open_.isEmpty():
+            break
+        found = written(found.join(open_, "chain", "left_semi"), folder, f"{k}-open")
+    lists = parts.groupBy("doc_id", "version").agg(F.sort_array(F.collect_list(F.struct(*_FIELDS))).alias("parts"))  # at most a document's own chains
+    return lists.mapInArrow(_passages, ", ".join(f"{c} long" for c in ["doc_id", *_FIELDS, "passage_start", "passage_end"]))
 
 
 def op9_collinear_chaining(spark: SparkSession, sf_dir: str) -> DataFrame:
