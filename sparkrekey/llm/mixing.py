@@ -11,7 +11,7 @@ from .common import GAP, SPACES, let, read, work_folder, written
 BLOCK, SHARD, PASSES = 32, 1 << 12, 3
 #: Indices that one task ranks, about, and the bits of the hash that ranks them.
 GROUP, BITS = 1 << 16, 60
-#: Bits of a source's share of a shard's slots, and of the fixed-point numbers of slots that the shares come from.
+#: Bits after the point in a source's expected slots of a shard, and of the whole mix.
 SHARE, FIXED = 40, 20
 #: Most sources whose shares are broadcast (40 bytes each); with more, the same join shuffles.
 SOURCES = 100_000
@@ -45,8 +45,9 @@ def numbered(plan: DataFrame, column: str, total: int) -> DataFrame:
     return cut.select(*plan.columns, F.explode(F.sequence(low, F.least(low + GROUP, F.col(column)) - 1)).alias("i"))
 
 
-def source_plan(sized: DataFrame, block: int = BLOCK, passes: int = PASSES) -> DataFrame:
-    """A row for each source: source, rank, source_size, target, blocks, slots that meet its target (in units of 2^-FIXED), and its share of all slots (of 2^SHARE).
+def source_plan(sized: DataFrame, block: int = BLOCK, passes: int = PASSES, shard: int = SHARD) -> DataFrame:
+    """A row for each source: source, rank, source_size, target, blocks, slots that meet its target (in units of 2^-FIXED), all_slots and shards of the mix, and the
+    slots that it expects in a full shard and in the last one (in units of 2^-SHARE; a shard's add up to its slots exactly).
 
     By code point, null last, sources weigh 1, 2, 3, 1, ... and share the sum of all sizes; a target stops at `passes` times its
     source's size and the excess is shared by weight among the others, until none is above. Sorted by limit / weight, the
@@ -64,11 +65,13 @@ def source_plan(sized: DataFrame, block: int = BLOCK, passes: int = PASSES) -> D
     s = s.withColumn("target", F.least((F.col("source_size") * passes).cast("double"), F.coalesce(F.col("rate") * F.col("weight"), F.lit(0.0))))
     s = s.withColumn("blocks", F.ceil(F.col("source_size") / block).cast("long"))
     s = s.withColumn("slots", F.when(F.col("source_size") > 0, F.floor(F.col("target") * F.col("blocks") / F.col("source_size") * (1 << FIXED) + 0.5).cast("long")).otherwise(F.lit(0).cast("long")))
-    before = F.sum("slots").over(by_name.rowsBetween(Window.unboundedPreceding, 0)).cast("double")
-    upto = F.floor(before / F.sum("slots").over(everything) * (1 << SHARE)).cast("long")
-    s = s.withColumn("upto", F.coalesce(upto, F.lit(0)))
-    s = s.withColumn("share", F.col("upto") - F.coalesce(F.lag("upto").over(by_name), F.lit(0)))
-    return s.select("source", "rank", "source_size", "target", "blocks", "slots", "share")
+    total = F.sum("slots").over(everything)
+    s = s.withColumn("total", total).withColumn("before", F.sum("slots").over(by_name.rowsBetween(Window.unboundedPreceding, 0)))
+    s = s.withColumn("all_slots", F.shiftright(F.col("total") + (1 << FIXED - 1), FIXED)).withColumn("shards", F.ceil(F.col("all_slots") / shard).cast("long"))
+    for name, n in (("full", F.lit(shard)), ("last", F.col("all_slots") - (F.col("shards") - 1) * shard)):
+        upto = F.when(F.col("before") == F.col("total"), n.cast("long") * (1 << SHARE)).otherwise(F.floor(F.col("before").cast("double") * n / F.col("total").cast("double") * (1 << SHARE) + 0.5).cast("long"))
+        s = s.withColumn("upto", F.when(F.col("total") > 0, upto).otherwise(0)).withColumn(name, F.col("upto") - F.coalesce(F.lag("upto").over(by_name), F.lit(0)))
+    return s.select("source", "rank", "source_size", "target", "blocks", "slots", "all_slots", "shards", "full", "last")
 
 
 def placed(sized: DataFrame, folder: str, plan: DataFrame) -> DataFrame:
@@ -88,29 +91,29 @@ def placed(sized: DataFrame, folder: str, plan: DataFrame) -> DataFrame:
     return out.select("doc_id", "source", "size", "spread", "rank", "source_size", "target", (F.col("before") + F.col("inside")).alias("start"))
 
 
-def shard_draws(plan: DataFrame, shards: int, last: int, shard: int) -> DataFrame:
-    """shard, rank, extra: what the multinomial draw of each shard gives to the sources, a row for each drawn slot (see draw).
+def shard_draws(plan: DataFrame, shards: int) -> DataFrame:
+    """rank, shard: the multinomial draw of each shard, a row for each drawn slot (see draw).
 
-    `rest` is the part of a source's expected slots beyond the whole ones; the rests of a shard of n slots add up to a whole number of slots, and each of these falls to
+    `rest` is the part of a source's expected slots beyond the whole ones; the rests of a shard add up to a whole number of slots, and each of these falls to
     a source with a probability in proportion to its rest. A drawn number's upper part is the bucket of a hash join with the sources' ranges, of which each meets two buckets at most."""
-    kinds = F.explode(F.array(F.struct(F.lit(shard).alias("n"), F.lit(0).alias("last")), F.struct(F.lit(last).alias("n"), F.lit(1).alias("last")))).alias("k")
-    by_rank = Window.partitionBy("last").orderBy("rank")
-    ranges = plan.select("rank", "share", kinds).select("rank", "k.last", (F.col("share") * F.col("k.n") % (1 << SHARE)).alias("rest"))
-    ranges = ranges.withColumn("high", F.sum("rest").over(by_rank)).withColumn("low", F.col("high") - F.col("rest")).filter("rest > 0")
-    counts = {r["last"]: r["n"] for r in ranges.groupBy("last").agg(F.shiftright(F.max("high"), SHARE).alias("n")).collect()}  # two rows
-    number = F.when(F.col("shard") == shards - 1, counts.get(1, 0)).otherwise(counts.get(0, 0))
-    dealt = plan.sparkSession.range(shards, numPartitions=max(1, min(shards * counts.get(0, 0) >> 16, 100_000))).select(F.col("id").alias("shard"), number.alias("number"))
-    slots = dealt.filter("number > 0").select("shard", "number", F.explode(F.sequence(F.lit(0), F.col("number") - 1)).alias("slot"))
+    kinds = F.explode(F.array(*(F.struct(F.lit(k).alias("kind"), (F.col(c) % (1 << SHARE)).alias("rest")) for k, c in enumerate(("full", "last"))))).alias("k")
+    ranges = plan.select("rank", kinds).select("rank", "k.*").withColumn("high", F.sum("rest").over(Window.partitionBy("kind").orderBy("rank")))
+    ranges = ranges.withColumn("low", F.col("high") - F.col("rest")).filter("rest > 0")
+    counts = {r["kind"]: r["n"] for r in ranges.groupBy("kind").agg(F.shiftright(F.max("high"), SHARE).alias("n")).collect()}  # two rows
+    kind = (F.col("shard") == shards - 1).cast("int")
+    dealt = plan.sparkSession.range(shards, numPartitions=max(1, min(shards * counts.get(0, 0) >> 16, 100_000))).select(F.col("id").alias("shard"))
+    dealt = dealt.select("shard", kind.alias("kind"), F.when(kind == 1, counts.get(1, 0)).otherwise(counts.get(0, 0)).alias("number"))
+    slots = dealt.filter("number > 0").select("*", F.explode(F.sequence(F.lit(0), F.col("number") - 1)).alias("slot"))
     digest = F.md5(F.concat_ws(":", F.lit("draw"), "shard", "slot"))
     hex_ = lambda start, digits: F.conv(F.substring(digest, start, digits), 16, 10).cast("long")
-    drawn = slots.select("shard", (F.col("shard") == shards - 1).cast("int").alias("last"), (hex_(11, 12) % F.col("number")).alias("bucket"), hex_(1, SHARE // 4).alias("fine"))
+    drawn = slots.select("shard", "kind", (hex_(11, 12) % F.col("number")).alias("bucket"), hex_(1, SHARE // 4).alias("fine"))
     drawn = drawn.withColumn("v", F.col("bucket") * (1 << SHARE) + F.col("fine"))
-    wide = ranges.select("rank", "last", "low", "high", F.explode(F.sequence(F.shiftright("low", SHARE), F.shiftright(F.col("high") - 1, SHARE))).alias("bucket"))
+    wide = ranges.select("rank", "kind", "low", "high", F.explode(F.sequence(F.shiftright("low", SHARE), F.shiftright(F.col("high") - 1, SHARE))).alias("bucket"))
     wide = F.broadcast(wide) if plan.count() <= SOURCES else wide.hint("merge")
-    return drawn.join(wide, ["last", "bucket"]).filter("low <= v AND v < high").select("rank", "shard")
+    return drawn.join(wide, ["kind", "bucket"]).filter("low <= v AND v < high").select("rank", "shard")
 
 
-def draw(plan: DataFrame, folder: str, shard: int = SHARD, passes: int = PASSES) -> DataFrame:
+def draw(plan: DataFrame, passes: int = PASSES) -> DataFrame:
     """rank, j, pass, block, shard: the blocks that the mix takes, a row for each slot.
 
     Each output shard draws its sources' counts as a residual multinomial, a function of its number alone: of the slots that a source expects in a shard, the whole ones are
@@ -118,16 +121,12 @@ def draw(plan: DataFrame, folder: str, shard: int = SHARD, passes: int = PASSES)
     certain slots of a source are numbered shard by shard, the drawn ones after them by running sums over the shards, in groups and then over the groups. Slot j of a source is
     block j mod blocks of pass j div blocks, mapped through the source's own permutation. Where a source is at its limit, slots beyond its last pass stay empty."""
     # The optimizer takes the exploded rows for as few as the plan's, so joins with them name their kind.
-    units, blocks = plan.agg(F.coalesce(F.sum("slots"), F.lit(0)), F.coalesce(F.sum("blocks"), F.lit(0))).first()
-    total = (units + (1 << FIXED - 1)) >> FIXED
-    shards = -(-total // shard)
-    last = total - (shards - 1) * shard
-    whole = lambda n: F.floor(F.shiftright(F.col("share") * n, SHARE)).cast("long")
-    plan = written(plan.withColumn("each", whole(shard)).withColumn("certain", F.col("each") * max(0, shards - 1) + whole(last if shards else 0)), folder, "shares")
+    shards, blocks = plan.agg(F.coalesce(F.max("shards"), F.lit(0)), F.coalesce(F.sum("blocks"), F.lit(0))).first()
+    plan = plan.withColumn("each", F.shiftright("full", SHARE)).withColumn("certain", F.col("each") * max(0, shards - 1) + F.shiftright("last", SHARE))
     certain = plan.agg(F.coalesce(F.sum("certain"), F.lit(0))).first()[0]
     slots = numbered(plan.select("rank", "blocks", "each", "certain"), "certain", certain)
     slots = slots.select("rank", "blocks", F.col("i").alias("j"), F.when(F.col("each") > 0, F.least(F.floor(F.col("i") / F.col("each")), F.lit(shards - 1))).otherwise(shards - 1).cast("long").alias("shard"))
-    extra = shard_draws(plan, shards, last, shard).groupBy("rank", "shard").agg(F.count(F.lit(1)).alias("n")).withColumn("g", F.shiftright("shard", 12))
+    extra = shard_draws(plan, shards).groupBy("rank", "shard").agg(F.count(F.lit(1)).alias("n")).withColumn("g", F.shiftright("shard", 12))
     sums = extra.groupBy("rank", "g").agg(F.sum("n").alias("gn"))
     sums = sums.withColumn("before", F.sum("gn").over(Window.partitionBy("rank").orderBy("g")) - F.col("gn")).select("rank", "g", "before")
     extra = extra.withColumn("inside", F.sum("n").over(Window.partitionBy("rank", "g").orderBy("shard")) - F.col("n")).join(sums.hint("merge"), ["rank", "g"])
@@ -150,9 +149,9 @@ def mix_sizes(docs: DataFrame, block: int = BLOCK, passes: int = PASSES, shard:
     """(rows, blocks): each row of docs with its place, and the mix's slots; see placed and draw."""
     folder = work_folder(docs.sparkSession)
     sized = written(sized_rows(docs), folder, "sized")
-    plan = written(source_plan(sized, block, passes), folder, "plan")
+    plan = written(source_plan(sized, block, passes, shard), folder, "plan")
     rows = placed(sized, folder, plan)
-    return rows, draw(plan, folder, shard, passes)
+    return rows, draw(plan, passes)
 
 
 def block_rows(rows: DataFrame, block: int) -> DataFrame:
@@ -226,12 +225,13 @@ s4 AS (SELECT *, most::DOUBLE / weight AS ratio, (total - coalesce(sum(most) OVE
 s5 AS (SELECT *, (SELECT arg_min(rate, {{'a': ratio, 'b': rank}}) FROM s4 WHERE rate <= ratio) AS fill FROM s4),
 s6 AS (SELECT source, rank, source_size, least(most::DOUBLE, coalesce(fill * weight, 0)) AS target, ceil(source_size / {BLOCK})::BIGINT AS blocks FROM s5),
 units AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target * blocks / source_size * {1 << FIXED} + 0.5)::BIGINT ELSE 0 END AS slots FROM s6),
-upto AS (SELECT *, coalesce(floor((sum(slots) OVER (ORDER BY rank))::DOUBLE / (sum(slots) OVER ())::DOUBLE * {1 << SHARE})::BIGINT, 0) AS upto FROM units),
-shared AS (SELECT *, upto - coalesce(lag(upto) OVER (ORDER BY rank), 0) AS share FROM upto),
-size_ AS (SELECT total, ceil(total / {SHARD})::BIGINT AS shards FROM (SELECT ((sum(slots) + {1 << FIXED - 1}) // {1 << FIXED})::BIGINT AS total FROM units)),
+sums AS (SELECT *, (sum(slots) OVER (ORDER BY rank))::BIGINT AS before, (sum(slots) OVER ())::BIGINT AS total FROM units),
+size_ AS (SELECT all_slots, ceil(all_slots / {SHARD})::BIGINT AS shards FROM (SELECT (sum(slots)::BIGINT + {1 << FIXED - 1}) // {1 << FIXED} AS all_slots FROM units)),
 shard_ AS (SELECT unnest(range(shards)) AS shard, shards FROM size_),
-n AS (SELECT shard, CASE WHEN shard = shards - 1 THEN total - (shards - 1) * {SHARD} ELSE {SHARD} END AS n FROM shard_ JOIN size_ USING (shards)),
-expected AS (SELECT shard, rank, blocks, (share * n) // {1 << SHARE} AS whole, (share * n) % {1 << SHARE} AS rest FROM n, shared),
+n AS (SELECT shard, CASE WHEN shard = shards - 1 THEN all_slots - (shards - 1) * {SHARD} ELSE {SHARD} END AS n FROM shard_ JOIN size_ USING (shards)),
+upto AS (SELECT shard, rank, blocks, CASE WHEN before = total THEN n * {1 << SHARE} ELSE floor(before::DOUBLE * n / total::DOUBLE * {1 << SHARE} + 0.5)::BIGINT END AS upto FROM n, sums),
+shares AS (SELECT shard, rank, blocks, upto - coalesce(lag(upto) OVER (PARTITION BY shard ORDER BY rank), 0) AS share FROM upto),
+expected AS (SELECT shard, rank, blocks, share // {1 << SHARE} AS whole, share % {1 << SHARE} AS rest FROM shares),
 ranges AS (SELECT shard, rank, sum(rest) OVER (PARTITION BY shard ORDER BY rank) - rest AS low, sum(rest) OVER (PARTITION BY shard ORDER BY rank) AS high FROM expected),
 number AS (SELECT shard, (sum(rest) // {1 << SHARE})::BIGINT AS number FROM expected GROUP BY 1),
 slot AS (SELECT shard, number, unnest(range(number)) AS slot FROM number),
@@ -241,10 +241,10 @@ extra AS (SELECT v.shard, rank, count(*) AS extra FROM v JOIN ranges r ON r.shar
 counts AS (SELECT e.shard, e.rank, e.blocks, e.whole, coalesce(x.extra, 0) AS extra FROM expected e LEFT JOIN extra x ON e.shard = x.shard AND e.rank = x.rank),
 firsts AS (SELECT *, sum(whole) OVER (PARTITION BY rank ORDER BY shard) - whole AS first, sum(whole) OVER (PARTITION BY rank) + sum(extra) OVER (PARTITION BY rank ORDER BY shard) - extra AS drawn FROM counts),
 js AS (SELECT rank, blocks, shard, unnest(range(first::BIGINT, (first + whole)::BIGINT)) AS j FROM firsts UNION ALL SELECT rank, blocks, shard, unnest(range(drawn::BIGINT, (drawn + extra)::BIGINT)) FROM firsts),
-indices AS (SELECT rank, blocks, unnest(range(blocks)) AS i FROM shared),
+indices AS (SELECT rank, blocks, unnest(range(blocks)) AS i FROM units),
 places AS (SELECT rank, i AS block, row_number() OVER (PARTITION BY rank ORDER BY md5('block:' || rank || ':' || i)[1:{BITS // 4}], i) - 1 AS pos FROM indices),
 uses AS (SELECT js.rank, p.block, count(*) AS uses, min(shard) AS shard FROM js JOIN places p ON p.rank = js.rank AND p.pos = js.j % js.blocks WHERE js.j < {PASSES} * js.blocks GROUP BY ALL),
-plan AS (SELECT source, rank, source_size, target FROM shared),
+plan AS (SELECT source, rank, source_size, target FROM units),
 rows_ AS (SELECT doc_id, size, plan.*, sum(size) OVER (PARTITION BY sized.source ORDER BY doc_id ROWS UNBOUNDED PRECEDING) - size AS start FROM sized JOIN plan ON sized.source IS NOT DISTINCT FROM plan.source),
 parts AS (SELECT *, unnest(range((start // {BLOCK})::BIGINT, ((start + size - 1) // {BLOCK})::BIGINT + 1)) AS block FROM rows_ WHERE size > 0),
 taken AS (SELECT parts.doc_id, sum(uses * (least(start + size, (parts.block + 1) * {BLOCK}) - greatest(start, parts.block * {BLOCK})))::BIGINT AS taken, min(shard) AS first_shard FROM parts JOIN uses ON parts.rank = uses.rank AND parts.block = uses.block GROUP BY 1)

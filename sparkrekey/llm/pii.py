@@ -76,6 +76,8 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 # ---------------------------------------------------------------- the model
 #: Most tokens in an entity, and log2 of the number of weights for each kind.
 LONGEST, BITS = 20, 14
+#: Tokens whose segments are scored at a time.
+STEP = 512
 _TOKEN = re.compile(r"[0-9]+|[^\W\d_]+|\s|.", re.S)
 #: Tokens before a segment, and after it, that its features look at.
 BEFORE, AFTER = 4, 1
@@ -179,15 +181,16 @@ class SemiMarkov:
     def __init__(self):
         self.weights = np.zeros((len(KINDS), 1 << BITS))
 
-    def segments(self, tokens: list[str], before: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(start, end, features) of every segment that may be an entity, sorted by end."""
-        hot = [t[0].isdigit() and t.isascii() or t == "@" for t in tokens]
-        for k in range(len(tokens) - 2):
+    def segments(self, tokens: list[str], before: str, low: int = 0, high: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(start, end, features) of every segment that may be an entity and ends after token low, up to token high; sorted by end."""
+        high, first = len(tokens) if high is None else high, max(0, low + 1 - LONGEST)
+        hot = [t[0].isdigit() and t.isascii() or t == "@" for t in tokens[first:high]]
+        for k in range(first, min(high, len(tokens) - 2)):
             if tokens[k] in "[(" and "at" in (tokens[k + 1].lower(), tokens[k + 2].lower()):
-                hot[k] = True
+                hot[k - first] = True
         seen = np.concatenate([[0], np.cumsum(hot)])
-        spans = [(i, j) for j in range(1, len(tokens) + 1) for i in range(max(0, j - LONGEST), j) if seen[j] > seen[i] and not tokens[i].isspace() and not tokens[j - 1].isspace()]
-        return np.array([s[0] for s in spans], int), np.array([s[1] for s in spans], int), np.array([span_features(tokens, i, j, before) for i, j in spans], int).reshape(len(spans), -1)
+        spans = [(i, j) for j in range(low + 1, high + 1) for i in range(max(0, j - LONGEST), j) if seen[j - first] > seen[i - first] and not tokens[i].isspace() and not tokens[j - 1].isspace()]
+        return np.array([s[0] for s in spans], int), np.array([s[1] for s in spans], int), np.array([span_features(tokens, i, j, before) for i, j in spans], int)
 
     def scores(self, found: np.ndarray) -> np.ndarray:
         return self.weights[:, found].sum(axis=2)
@@ -222,28 +225,28 @@ class SemiMarkov:
         return self
 
     def decode(self, text: str, before: str = "") -> list[tuple[int, int, int]]:
-        """The best segmentation's entities as (start, end, kind) in characters."""
+        """The best segmentation's entities as (start, end, kind) in characters; STEP tokens at a time, so that memory grows with the tokens alone."""
         tokens, edges = tokens_of(text)
-        starts, ends, found = self.segments(tokens, before)
-        if not len(starts):
-            return []
-        s = self.scores(found)
-        kind, best = s.argmax(axis=0), s.max(axis=0)
         good = [0.0] * (len(tokens) + 1)
         back: list[tuple | None] = [None] * (len(tokens) + 1)
-        at = 0
-        for j in range(1, len(tokens) + 1):
-            good[j] = good[j - 1]
-            while at < len(ends) and ends[at] == j:
-                if best[at] > 0 and good[starts[at]] + best[at] > good[j]:
-                    good[j], back[j] = good[starts[at]] + best[at], (starts[at], kind[at])
-                at += 1
+        for low in range(0, len(tokens), STEP):
+            high = min(len(tokens), low + STEP)
+            starts, ends, found = self.segments(tokens, before, low, high)
+            s = self.scores(found) if len(starts) else np.empty((len(KINDS), 0))
+            kind, best = (s.argmax(axis=0), s.max(axis=0)) if len(starts) else ([], [])
+            at = 0
+            for j in range(low + 1, high + 1):
+                good[j] = good[j - 1]
+                while at < len(ends) and ends[at] == j:
+                    if best[at] > 0 and good[starts[at]] + best[at] > good[j]:
+                        good[j], back[j] = good[starts[at]] + best[at], (starts[at], kind[at])
+                    at += 1
         out, j = [], len(tokens)
         while j > 0:
             if back[j]:
                 i, k = back[j]
                 out.append((edges[i], edges[j], int(k)))
-                j = i
+                j = int(i)
             else:
                 j -= 1
         return out[::-1]
@@ -343,22 +346,33 @@ def trained() -> np.ndarray:
 class Finder:
     """Base spans, and the model's in the islands between them."""
 
+    #: Characters of islands whose spans are kept for the next text, and of the longest one kept.
+    KEPT, WIDEST = 1 << 21, 500
+
     def __init__(self, weights: np.ndarray):
         self.model = SemiMarkov()
         self.model.weights = weights
         self.known: dict[tuple[str, str], list] = {}
+        self.held = 0
+
+    def _decoded(self, word: str, island: str) -> list[tuple[int, int, int]]:
+        found = self.known.get((word, island))
+        if found is None:
+            found = self.model.decode(island, word)
+            if len(island) <= self.WIDEST:
+                self.held += len(island)
+                if self.held > self.KEPT:
+                    self.known, self.held = {}, len(island)
+                self.known[word, island] = found
+        return found
 
     def added(self, text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-        out = []
+        """The model's spans; islands lie between the taken spans, so none overlaps one."""
+        out, ends = [], {y for _, y, _ in taken}
         for a, b in islands(text, taken):
             # only after a taken span may a segment's word lie before the island
-            word = re.search(r"([^\W\d_]+)\W*\Z", text[max(0, a - 24) : a]) if any(y == a for _, y, _ in taken) else None
-            key = (word[1].lower() if word else "", text[a:b])
-            if key not in self.known:
-                if len(self.known) > 20_000:
-                    self.known.clear()
-                self.known[key] = self.model.decode(key[1], key[0])
-            out += [(a + i, a + j, k) for i, j, k in self.known[key] if not any(x < a + j and a + i < y for x, y, _ in taken)]
+            word = re.search(r"([^\W\d_]+)\W*\Z", text[max(0, a - 24) : a]) if a in ends else None
+            out += [(a + i, a + j, k) for i, j, k in self._decoded(word[1].lower() if word else "", text[a:b])]
         return out
 
     def spans(self, text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
@@ -396,7 +410,9 @@ def find_pii(docs: DataFrame) -> DataFrame:
 
 
 def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """docs with each span in the text replaced by its kind in angle brackets (of overlapping ones, by the first); n_chars follows, if there is one."""
+    """docs with each span in the text replaced by its kind in angle brackets (of overlapping ones, by the first); n_chars follows, if there is one.
+
+    A null text stays null, an empty one empty; repeated rows are redacted each; an empty table gives no rows; other columns pass through as they are."""
     weights = docs.sparkSession.sparkContext.broadcast(trained().astype(np.float32))
 
     @F.pandas_udf("string")

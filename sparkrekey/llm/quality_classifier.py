@@ -65,6 +65,25 @@ def _sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
+def penalised_loss(params: np.ndarray, doc: np.ndarray, column: np.ndarray, grade: np.ndarray, each: np.ndarray, levels: int) -> tuple[float, np.ndarray]:
+    """The weighted negative log-likelihood with its ridge, and its gradient. params: weights, the first threshold, and the logarithms of the gaps between thresholds, which keep them in order."""
+    used = len(params) - levels + 1
+    w, gaps = params[:used], np.exp(params[used + 1 :])
+    theta = np.concatenate([[params[used]], params[used] + np.cumsum(gaps)])
+    s = np.bincount(doc, weights=w[column], minlength=len(grade))
+    edges = np.concatenate([[-np.inf], theta, [np.inf]])
+    high, low = _sigmoid(edges[grade + 1] - s), _sigmoid(edges[grade] - s)
+    p = np.maximum(high - low, 1e-9)
+    d_high, d_low = high * (1 - high) / p * each, low * (1 - low) / p * each
+    g_w = np.bincount(column, weights=(d_high - d_low)[doc], minlength=used) + RIDGE * w
+    g_edge = np.zeros(levels + 1)
+    np.add.at(g_edge, grade + 1, -d_high)
+    np.add.at(g_edge, grade, d_low)
+    g_theta = g_edge[1:-1]
+    g = np.concatenate([g_w, [g_theta.sum()], np.cumsum(g_theta[::-1])[::-1][1:] * gaps])
+    return float(-(each * np.log(p)).sum() + RIDGE / 2 * (w * w).sum()), g
+
+
 @dataclass
 class OrdinalModel:
     """P(grade <= k) = sigmoid(thresholds[k] - weights . x): one weight for each feature, whatever the grade, and ordered thresholds."""
@@ -99,19 +118,7 @@ class OrdinalModel:
         each /= each.sum()
         params, m, v = np.concatenate([np.zeros(len(used)), gaps]), 0, 0
         for t in range(1, STEPS + 1):
-            w = params[: len(used)]
-            theta = np.concatenate([[params[len(used)]], params[len(used)] + np.cumsum(np.exp(params[len(used) + 1 :]))])
-            s = np.bincount(doc, weights=w[column], minlength=len(grade))
-            edges = np.concatenate([[-np.inf], theta, [np.inf]])
-            high, low = _sigmoid(edges[grade + 1] - s), _sigmoid(edges[grade] - s)
-            p = np.maximum(high - low, 1e-9)
-            d_high, d_low = high * (1 - high) / p * each, low * (1 - low) / p * each
-            g_w = np.bincount(column, weights=(d_high - d_low)[doc], minlength=len(used)) + RIDGE * w
-            g_edge = np.zeros(levels + 1)
-            np.add.at(g_edge, grade + 1, -d_high)
-            np.add.at(g_edge, grade, d_low)
-            g_theta = g_edge[1:-1]
-            g = np.concatenate([g_w, [g_theta.sum()], np.cumsum(g_theta[::-1])[::-1][1:] * np.exp(params[len(used) + 1 :])])
+            _, g = penalised_loss(params, doc, column, grade, each, levels)
             m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
             params = params - RATE * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
         weights[used] = params[: len(used)]
@@ -126,10 +133,11 @@ def graded(labels: DataFrame) -> DataFrame:
 
 
 def fit(docs: DataFrame, ratings: DataFrame, sample: int = SAMPLE) -> OrdinalModel:
-    """Fitted on at most `sample` rated documents, those with the least hash of doc_id; only their bucket numbers come to the driver."""
+    """Fitted on at most `sample` rated documents, those with the least hash of doc_id; rows that repeat an id train once, with the text of the least hash. Only the
+    documents' bucket numbers come to the driver: the distinct ones of each text, so at most 2^BITS of 4 bytes for a text of any length."""
     chosen = ratings.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     rows = docs.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("_text"))
-    rows = rows.join(F.broadcast(chosen), F.col("_id") == F.col("doc_id")).select("_id", "grade", "_text")  # at most `sample` short rows
+    rows = rows.join(F.broadcast(chosen), F.col("_id") == F.col("doc_id")).groupBy("_id").agg(F.min("grade").alias("grade"), F.min_by("_text", F.xxhash64("_text")).alias("_text"))
 
     def work(batches):
         for b in pieces(batches, "_text", PIECE):
@@ -146,7 +154,7 @@ def fit(docs: DataFrame, ratings: DataFrame, sample: int = SAMPLE) -> OrdinalMod
 
 
 def score(docs: DataFrame, model: OrdinalModel, text_col: str = "text") -> DataFrame:
-    """docs with _grade (expected, 0 to 2), _tail (probability of GRADE or better) and _kept. A text without words has 0, 0 and false."""
+    """doc (the row of docs as a struct), grade (expected, 0 to 2), tail (probability of GRADE or better) and kept. A null text or one without words has 0, 0 and false; repeated rows are judged alike; an empty table gives no rows."""
     shared = docs.sparkSession.sparkContext.broadcast((model.weights.astype(np.float32), model.thresholds))
 
     @F.arrow_udf("grade double, tail double")
@@ -162,8 +170,14 @@ def score(docs: DataFrame, model: OrdinalModel, text_col: str = "text") -> DataF
             grade, tail = np.concatenate(out, axis=1)
             yield pa.StructArray.from_arrays([pa.array(grade), pa.array(tail)], ["grade", "tail"])
 
-    judged = docs.withColumn("_judged", judge(F.col(text_col).cast("string")))
-    return judged.select(*docs.columns, F.col("_judged.grade").alias("_grade"), F.col("_judged.tail").alias("_tail"), (F.col("_judged.tail") >= CHANCE).alias("_kept"))
+    judged = docs.select(F.struct(*docs.columns).alias("doc"), judge(F.col(text_col).cast("string")).alias("x"))
+    return judged.select("doc", "x.grade", "x.tail", (F.col("x.tail") >= CHANCE).alias("kept"))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of docs that the model fitted on the labelled ones keeps, with all their columns as they are; see classify for odd rows."""
+    good = score(docs, fit(docs, graded(labels))).filter("kept")
+    return good.select(*(F.col(f"doc.`{c}`").alias(c) for c in docs.columns))
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -173,7 +187,7 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     labels every text with a word is kept; an empty table gives no rows; other columns are not looked at."""
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     out = score(slim, fit(docs, graded(labels)))
-    return out.select("doc_id", F.col("_grade").alias("expected_grade"), F.col("_tail").alias("tail_probability"), F.col("_kept").alias("kept"))
+    return out.select("doc.doc_id", F.col("grade").alias("expected_grade"), F.col("tail").alias("tail_probability"), "kept")
 
 
 def op1_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,6 +16,8 @@ from .tokens import encoder, vocabulary
 BLOCK, GROUP = 1 << 16, 1 << 10
 #: Bytes of a token file that its writer and its readers hold at once.
 HELD = 8 << 20
+#: Bytes of a raw token file that a task reads.
+PART = 64 << 20
 END = 50256
 BLOCKS = "file string, block long, ids binary"
 
@@ -54,16 +56,29 @@ def token_files(docs: DataFrame, path: str, end: int = END, block: int = BLOCK)
     return slim.mapInArrow(work, BLOCKS + ", roster array<long>")
 
 
-def read_blocks(spark: SparkSession, path: str, block: int = BLOCK) -> DataFrame:
-    """Blocks of raw token files (little-endian, 32 bits) under a path that Spark reads; files should be of at most some 100 MB, as writers cut shards."""
+def read_blocks(spark: SparkSession, path: str, block: int = BLOCK, part: int = PART) -> DataFrame:
+    """file, block, ids of raw token files (little-endian, 32 bits) of any size below a path: `part` bytes of a file are read by a task, block by block.
+
+    Only names and lengths are listed first; executors then open the files by byte range, so the path must be of a file system that pyarrow knows
+    (local, hdfs, s3, gs). An empty file has no blocks; bytes after a file's last whole id are left out."""
+    size = 4 * block
+    part = max(size, part // size * size)
+    files = spark.read.format("binaryFile").load(path).filter("length >= 4").select("path", "length")
+    parts = files.select("path", "length", F.explode(F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(part).cast("long"))).alias("low"))
+    number = files.agg(F.sum(F.ceil(F.col("length") / part))).first()[0] or 1
 
     def cut(batches: Iterator[pa.RecordBatch]):
+        from pyarrow import fs
+
         for b in batches:
-            for name, content in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                for at in range(0, len(content), 4 * block):
-                    yield pa.RecordBatch.from_pydict({"file": pa.array([name]), "block": pa.array([at // (4 * block)], pa.int64()), "ids": pa.array([content[at : at + 4 * block]], pa.binary())})
+            for name, length, low in zip(*(c.to_pylist() for c in b.columns)):
+                store, place = fs.FileSystem.from_uri(name.replace("file:/", "file:///", 1) if name.startswith("file:/") and not name.startswith("file://") else name)
+                with store.open_input_file(place) as content:
+                    for at in range(low, min(length, low + part) // 4 * 4, size):
+                        ids = content.read_at(min(size, length // 4 * 4 - at), at)
+                        yield pa.RecordBatch.from_pydict({"file": pa.array([name]), "block": pa.array([at // size], pa.int64()), "ids": pa.array([ids], pa.binary())})
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(cut, BLOCKS)
+    return parts.repartition(min(int(number), 100_000)).mapInArrow(cut, BLOCKS)
 
 
 def _scan(end: int):
@@ -88,8 +103,9 @@ def separator_scan(blocks: DataFrame, end: int = END) -> DataFrame:
 
     Each block is searched on its own for separators; a prefix scan over the blocks' sums (ids, separators, place of the last separator), in groups and then over the
     groups, gives what lies before each block, so a document that spans blocks comes out whole. An empty file, block or table gives no rows;
-    two separators in a row are an empty document; a null block counts as empty. Repeated (file, block) rows are an error of the input and are read as one of them each."""
+    two separators in a row are an empty document; a null block counts as empty. Of repeated (file, block) rows one counts (the longest, and of these the greatest separators); other columns are not looked at."""
     found = blocks.select("file", "block", F.coalesce("ids", F.lit(b"")).alias("ids")).mapInArrow(_scan(end), "file string, block long, ids long, places array<int>, priors array<int>")
+    found = found.groupBy("file", "block").agg(F.max(F.struct("ids", "places", "priors")).alias("x")).select("file", "block", "x.*")
     found = written(found, work_folder(blocks.sparkSession), "separators")
     sums = found.select("file", "block", F.floor(F.col("block") / GROUP).alias("group"), "ids", F.size("places").cast("long").alias("n"), F.when(F.size("places") > 0, F.array_max("places").cast("long")).alias("last"))
     inside = Window.partitionBy("file", "group").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)

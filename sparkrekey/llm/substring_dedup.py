@@ -22,6 +22,8 @@ GAP_COST, WORTH = 0.05, 6.0
 MARGINS, JOIN = (32, 512, None), 5
 #: Least share of equal words in an aligned part, and words that are compared in one go as it grows.
 ALIKE, STRIDE = 0.8, 32
+#: Words that growth may skip on either side at a time, and equal words that must follow.
+HOP, AGAIN = 6, 5
 
 
 def sampled_seeds(words: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -143,21 +145,44 @@ def equal_in_gap(x: np.ndarray, y: np.ndarray) -> int:
     return len(y) - row.bit_count()
 
 
-def _grow(x: np.ndarray, y: np.ndarray) -> tuple[int, int]:
-    """How far equal words go on, single unequal ones included while two thirds of the last six are equal; and how many are equal."""
+def _run(x: np.ndarray, y: np.ndarray) -> int:
+    """How far equal words go on, single unequal ones included while two thirds of the last six are equal."""
     n = min(len(x), len(y))
-    end = equal = count = at = 0
+    end = at = 0
     while at < n:
-        same = (x[max(0, at - 5) : at + STRIDE][: n - max(0, at - 5)] == y[max(0, at - 5) : at + STRIDE][: n - max(0, at - 5)]).tolist()
-        skip = at - max(0, at - 5)
-        for k in range(skip, len(same)):
+        low, high = max(0, at - 5), min(n, at + STRIDE)
+        same = (x[low:high] == y[low:high]).tolist()
+        for k in range(at - low, len(same)):
             if same[k]:
-                count += 1
-                end, equal = at + k - skip + 1, count
+                end = low + k + 1
             elif sum(same[max(0, k - 5) : k + 1]) < 4:
-                return end, equal
-        at += len(same) - skip
-    return end, equal
+                return end
+        at = high
+    return end
+
+
+def _hop(x: list[int], y: list[int]) -> tuple[int, int] | None:
+    """The fewest words to skip on either side, up to HOP each, before AGAIN equal words."""
+    for s in range(1, 2 * HOP + 1):
+        for i in range(max(0, s - HOP), min(HOP, s) + 1):
+            if x[i : i + 1] == y[s - i : s - i + 1] and len(part := x[i : i + AGAIN]) == AGAIN and part == y[s - i : s - i + AGAIN]:
+                return i, s - i
+    return None
+
+
+def _grow(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Steps (words of x, words of y, equal words) along equal words from the texts' starts, with short skips; the last step is an equal word."""
+    a = b = 0
+    out = [np.empty((0, 3), np.int64)]
+    while True:
+        n = _run(x[a:], y[b:])
+        out.append(_diagonal(x[a : a + n], y[b : b + n]))
+        a, b = a + n, b + n
+        hop = _hop(x[a : a + HOP + AGAIN].tolist(), y[b : b + HOP + AGAIN].tolist())
+        if hop is None:
+            return np.concatenate(out)
+        out.append(np.array([[*hop, 0]]))
+        a, b = a + hop[0], b + hop[1]
 
 
 def _gap(x: np.ndarray, y: np.ndarray) -> list[np.ndarray]:
@@ -217,18 +242,10 @@ def align(x: np.ndarray, y: np.ndarray, p: np.ndarray, q: np.ndarray) -> list[tu
     """(x begin, x end, y begin, y end, equal words) of the alike parts around a chain of matches x[p:p+SEED] = y[q:q+SEED].
 
     The chain is cut at stretches that bring the equal share below ALIKE; the pieces grow into the cuts as far as they stay alike."""
-    left, _ = _grow(x[: p[0]][::-1], y[: q[0]][::-1])
-    x0, y0, a, b = p[0] - left, q[0] - left, p[0], q[0]
-    turns = np.flatnonzero(np.diff(p - q)) + 1
-    if not len(turns):  # one diagonal, as most chains are
-        e, f = p[-1] + SEED, q[-1] + SEED
-        right, _ = _grow(x[e:], y[f:])
-        e, f = e + right, f + right
-        same = int((x[x0:e] == y[y0:f]).sum())
-        if e - x0 < PART or same >= ALIKE * (e - x0):
-            return [(int(x0), int(e), int(y0), int(f), same)] if e - x0 >= PART else []
-    steps = [_diagonal(x[x0:a], y[y0:b])]
-    for run in np.split(np.arange(len(p)), turns):
+    left = _grow(x[: p[0]][::-1], y[: q[0]][::-1])[::-1]
+    x0, y0, _ = (np.array([p[0], q[0], 0]) - left.sum(axis=0)).tolist()
+    steps, a, b = [left], p[0], q[0]
+    for run in np.split(np.arange(len(p)), np.flatnonzero(np.diff(p - q)) + 1):
         s, t = p[run[0]], q[run[0]]
         if s < a or t < b:  # it overlaps what is aligned already
             skip = max(a - s, b - t)
@@ -237,22 +254,23 @@ def align(x: np.ndarray, y: np.ndarray, p: np.ndarray, q: np.ndarray) -> list[tu
         f = t + (e - s)
         steps += [*_gap(x[a:s], y[b:t]), _diagonal(x[s:e], y[t:f])]
         a, b = e, f
-    right, _ = _grow(x[a:], y[b:])
-    steps = np.concatenate([*steps, _diagonal(x[a : a + right], y[b : b + right])])
+    steps = np.concatenate([*steps, _grow(x[a:], y[b:])])
     steps = steps[steps[:, :2].any(axis=1)]
+    if int(steps[:, 0].sum()) < PART:
+        return []
     at = np.concatenate([[[x0, y0, 0]], np.cumsum(steps, axis=0) + [x0, y0, 0]])
-    found = alike_parts(steps)
     out, (c, d) = [], (0, 0)
+    found = alike_parts(steps)
     for k, (i, j) in enumerate(found):
         (a, b, _), (e, f, _) = at[i], at[j]
         u, v = at[found[k + 1][0], :2] if k + 1 < len(found) else (len(x), len(y))
         same = at[j, 2] - at[i, 2]
-        left, more = _grow(x[c:a][::-1], y[d:b][::-1]) if i else (0, 0)
-        if same + more >= ALIKE * (max(e - a, f - b) + left):
-            a, b, same = a - left, b - left, same + more
-        right, more = _grow(x[e:u], y[f:v]) if j < len(steps) else (0, 0)
-        if same + more >= ALIKE * (max(e - a, f - b) + right):
-            e, f, same = e + right, f + right, same + more
+        more = _grow(x[c:a][::-1], y[d:b][::-1]).sum(axis=0) if i else (0, 0, 0)
+        if same + more[2] >= ALIKE * max(e - a + more[0], f - b + more[1]):
+            a, b, same = a - more[0], b - more[1], same + more[2]
+        more = _grow(x[e:u], y[f:v]).sum(axis=0) if j < len(steps) else (0, 0, 0)
+        if same + more[2] >= ALIKE * max(e - a + more[0], f - b + more[1]):
+            e, f, same = e + more[0], f + more[1], same + more[2]
         c, d = e, f
         out.append((int(a), int(e), int(b), int(f), int(same)))
     return out

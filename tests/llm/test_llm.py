@@ -431,3 +431,340 @@ def test_personal_data_stage_against_whole_texts(spark):
     docs = spark.createDataFrame([(i, t, len(t or "")) for i, t in enumerate(texts)], "doc_id long, text string, n_chars long")
     got = sorted(corpus_pipeline.personal_data(spark, docs, SF).collect())
     assert len(texts) > 50 and [x.text for x in got] == want and all(x.text is None or x.n_chars == len(x.text) for x in got)
+
+
+# ---------------------------------------------------------------- brute force for what SQL can't express
+def test_ordinal_gradient_by_differences():
+    r = np.random.default_rng(31)
+    n, used, levels = 40, 6, 4
+    doc, column = np.repeat(np.arange(n), 3), r.integers(0, used, 3 * n)
+    grade, each = r.integers(0, levels, n), r.random(n)
+    params = r.normal(size=used + levels - 1)
+    _, g = quality_classifier.penalised_loss(params, doc, column, grade, each, levels)
+    for k in range(len(params)):
+        step = np.zeros(len(params))
+        step[k] = 1e-5
+        up, down = (quality_classifier.penalised_loss(params + x, doc, column, grade, each, levels)[0] for x in (step, -step))
+        assert g[k] == pytest.approx((up - down) / 2e-5, rel=1e-4, abs=1e-5)
+
+
+def test_ordinal_query_against_scoring_by_hand(spark):
+    import math
+
+    import pyarrow as pa
+
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    model = quality_classifier.fit(docs, quality_classifier.graded(labels))
+    weights, got = model.weights.astype(np.float32), {x.doc_id: x for x in QUERIES["op1_ordinal_quality"](spark, SF).collect()}
+    assert len(got) == docs.count() and list(model.thresholds) == sorted(model.thresholds)
+    for row in docs.collect():
+        _, buckets, _ = quality_classifier.features(pa.array([row.text]))
+        score = float(sum(float(weights[b]) for b in set(buckets.tolist())))
+        above = [1 - 1 / (1 + math.exp(-(t - score))) for t in model.thresholds]
+        x = got[row.doc_id]
+        assert x.expected_grade == pytest.approx(sum(above), abs=1e-4) and x.tail_probability == pytest.approx(above[quality_classifier.GRADE - 1], abs=1e-4)
+        assert x.kept == (x.tail_probability >= quality_classifier.CHANCE)
+
+
+def test_repeated_labelled_documents_train_once(spark):
+    docs = spark.createDataFrame([(i % 5, f"text {i}") for i in range(40)] + [(None, "x")], "doc_id long, text string")
+    seen = []
+    keep, quality_classifier.OrdinalModel.fit = quality_classifier.OrdinalModel.fit, classmethod(lambda cls, doc, bucket, grade: seen.append(len(grade)))
+    try:
+        quality_classifier.fit(docs, spark.createDataFrame([(i, 1) for i in range(9)], "doc_id long, grade int"))
+    finally:
+        quality_classifier.OrdinalModel.fit = keep
+    assert seen == [5]
+
+
+def test_segmentation_against_enumeration():
+    """The decoded entities are those of the best of all segmentations, tried one by one."""
+    r, model = random.Random(33), pii.SemiMarkov()
+    weights = np.random.default_rng(33).normal(size=model.weights.shape)
+    model.weights = weights - 0.8
+    for _ in range(60):
+        text = "".join(r.choice(["1", "23", "a", " ", "@", ".", "-", "(", "at"]) for _ in range(r.randint(1, 8)))
+        tokens_, edges = pii.tokens_of(text)
+        starts, ends, found = model.segments(tokens_, "")
+        score = {(int(i), int(j)): s for i, j, s in zip(starts, ends, model.scores(found).T)} if len(starts) else {}
+
+        def best(i):
+            if i >= len(tokens_):
+                return 0.0, []
+            top = best(i + 1)
+            for j in range(i + 1, len(tokens_) + 1):
+                for k, s in enumerate(score.get((i, j), [])):
+                    rest = best(j)
+                    if s + rest[0] > top[0] + 1e-9:
+                        top = (s + rest[0], [(edges[i], edges[j], k), *rest[1]])
+            return top
+
+        total, spans = best(0)
+        got = model.decode(text)
+        at = {e: n for n, e in enumerate(edges)}
+        assert sum(score[at[a], at[b]][k] for a, b, k in got) == pytest.approx(total) and len(got) == len(spans)
+
+
+def test_decoding_in_steps_is_decoding_at_once(monkeypatch):
+    model = pii.SemiMarkov()
+    model.weights = pii.trained()
+    texts = [t for t, _ in pii.examples(120, 77)]
+    whole = [model.decode(t) for t in texts]
+    monkeypatch.setattr(pii, "STEP", 7)
+    assert [model.decode(t) for t in texts] == whole and any(whole)
+
+
+def test_personal_data_query_against_whole_texts(spark):
+    import hashlib
+
+    finder = pii.Finder(pii.trained().astype(np.float32))
+    texts = {x.doc_id: x.text for x in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    for x in QUERIES["op2_semi_markov_pii"](spark, SF).collect():
+        base, text = pii.base_spans(texts[x.doc_id]), texts[x.doc_id]
+        assert x.base_sha256 == hashlib.sha256(pii.listed(base).encode()).hexdigest() and [x.n_email, x.n_ip, x.n_card, x.n_phone] == [sum(k == n for _, _, k in base) for n in range(4)]
+        spans = [(p.split(":")[0], *map(int, p.split(":")[1:])) for p in x.spans.split(",") if p]
+        assert {(pii.KINDS[k], a, b) for a, b, k in base} <= set(spans) and len(spans) == len(base) + x.n_added
+        if not base:  # the whole text, decoded at once
+            assert [(pii.KINDS[k], a, b) for a, b, k in finder.model.decode(text)] == spans
+
+
+def test_many_spans_cost_in_proportion():
+    import time
+
+    finder = pii.Finder(pii.trained().astype(np.float32))
+    took = []
+    for n in (1000, 8000):
+        text = " ".join(f"ab{i}@cd.org wrote to anna (at) mail (dot) org then" for i in range(n))
+        began = time.time()
+        base, more = finder.spans(text)
+        took.append(time.time() - began)
+        assert len(base) == n and len(more) == n
+    assert took[1] < 24 * took[0] + 1
+
+
+def test_token_counts_query_against_the_tokenizer(spark):
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(tokens.vocabulary())
+    t.encode_special_tokens = True
+    want = {x.doc_id: len(t.encode(x.text, add_special_tokens=False).ids) for x in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    assert {x.doc_id: x.n_tokens for x in QUERIES["op3_separator_scan"](spark, SF).collect()} == want
+
+
+def test_raw_token_files_and_repeated_blocks(spark, tmp_path):
+    r = random.Random(34)
+    want = []
+    for name in ("a.bin", "b.bin", "empty.bin"):
+        ids = [r.choice([5, 6, 9]) for _ in range(0 if name == "empty.bin" else 1000)]
+        (tmp_path / name).write_bytes(np.array(ids, "<u4").tobytes() + (b"xy" if name == "b.bin" else b""))
+        ends = [-1, *(i for i, x in enumerate(ids) if x == 9)]
+        want += [(name, k, a + 1, b - a - 1, True) for k, (a, b) in enumerate(zip(ends, ends[1:]))]
+        if ends[-1] < len(ids) - 1:
+            want.append((name, len(ends) - 1, ends[-1] + 1, len(ids) - 1 - ends[-1], False))
+    blocks = separators.read_blocks(spark, f"file://{tmp_path}/*.bin", block=16, part=300)
+    found = lambda df: sorted((x.file.rsplit("/", 1)[1], x.ordinal, x.start, x.n_tokens, x.ended) for x in df.collect())
+    assert found(separators.separator_scan(blocks, end=9)) == sorted(want)
+    assert found(separators.separator_scan(blocks.unionByName(blocks.filter("block % 3 = 0")), end=9)) == sorted(want)
+
+
+def test_edited_texts_against_plain_python(spark):
+    import hashlib
+
+    rows = sorted((x.doc_id, x.text) for x in spark.read.parquet(f"{SF}/documents.parquet").collect())
+    got = {x.doc_id: x for x in QUERIES["op5_multiset_hash"](spark, SF).collect()}
+    prints = {}
+    for (i, text), (j, after) in zip(rows, rows[1:] + rows[:1]):
+        n, x = len(text), got[i]
+        edited = text[: n - n // 2] + after[: n // 2]
+        assert x.n_chars == n and x.edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
+        one = fingerprints.vectors(fingerprints.pa.array([text, edited]))
+        assert [x.fingerprint, x.edited_fingerprint] == [fingerprints.text_of(one[0][k], one[1][k]) for k in (0, 1)]
+        pairs = [tuple(v[None, :] for v in fingerprints.parse(f)) for f in (x.fingerprint, x.edited_fingerprint, got[j].fingerprint)]
+        assert [x.near_edited, x.near_next] == [fingerprints.likeness(pairs[0], p)[0] for p in pairs[1:]] and 0 <= x.near_next <= 1
+        assert prints.setdefault(x.fingerprint, sorted(text.split("\n"))) == sorted(text.split("\n"))
+
+
+def test_output_shards_of_the_mix(spark):
+    r = random.Random(35)
+    rows = [(i, words(r, r.randint(0, 120)), r.choice("aaaabbc")) for i in range(300)] + [(900, words(r, 64), None), (901, None, "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    text = {i: (t or "").split() for i, t, _ in rows}
+    taken = {x.doc_id: x.taken for x in mixing.mix(docs, block=8, shard=64).collect()}
+    got = mixing.mixed_shards(docs, block=8, shard=64).collect()
+    sums, places = dict.fromkeys(taken, 0), {}
+    for x in got:
+        w = x.text.split()
+        assert w == text[x.doc_id][x.low : x.low + len(w)] and 0 < len(w) <= 8
+        sums[x.doc_id] += len(w)
+        places.setdefault(x.shard, {}).setdefault(x.place, set()).add((x.source, x["pass"], x.block))
+    assert sums == taken
+    assert all(sorted(p) == list(range(len(p))) and len(p) <= 64 and all(len(s) == 1 for s in p.values()) for p in places.values())
+    slots = [s for p in places.values() for x in p.values() for s in x]
+    assert len(slots) == len(set(slots))  # no pass takes a block twice
+    counts = np.array([[sum(next(iter(s))[0] == c for s in p.values()) for c in "abc"] for k, p in sorted(places.items())][:-1])
+    assert (counts.max(axis=0) - counts.min(axis=0) <= 3).all() and (counts.max(axis=0) > counts.min(axis=0)).any()  # drawn, near the mean
+
+
+def test_many_small_sources_meet_the_total(spark):
+    r = random.Random(36)
+    docs = spark.createDataFrame([(i, words(r, 10), f"s{i:03}") for i in range(300)], "doc_id long, text string, source string")
+    rows = mixing.mix(docs).collect()
+    assert abs(sum(x.taken for x in rows) - 3000) <= 30 and all(x.taken <= 30 for x in rows)
+    by = {w: sum(x.taken for i, x in enumerate(sorted(rows)) if i % 3 == w) for w in range(3)}
+    assert all(abs(by[w] - 500 * (w + 1)) < 260 for w in by)
+
+
+def test_longest_common_subsequence_against_a_table():
+    r = random.Random(37)
+    for _ in range(200):
+        x, y = ([r.randint(0, 6) for _ in range(r.randint(0, 90))] for _ in range(2))
+        table = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
+        for i, a in enumerate(x):
+            for j, b in enumerate(y):
+                table[i + 1][j + 1] = table[i][j] + 1 if a == b else max(table[i][j + 1], table[i + 1][j])
+        assert substring_dedup.equal_in_gap(np.array(x), np.array(y)) == table[-1][-1]
+
+
+def fuzzy_pairs(r, n, length, rate):
+    """Documents 2k and 2k + 1 share a passage of which each word is replaced, dropped or followed by another with probability `rate`."""
+    docs, want = [], {}
+    for k in range(n):
+        p = words(r, length).split()
+        q = []
+        for w in p:
+            c = r.random()
+            q += [words(r, 1)] if c < rate * 0.6 else [w, words(r, 1)] if c < rate * 0.8 else [] if c < rate else [w]
+        low = r.randint(30, 150)
+        docs.append((2 * k, f"{words(r, r.randint(30, 150))} {' '.join(p)} {words(r, 40)}"))
+        docs.append((2 * k + 1, f"{words(r, low)} {' '.join(q)} {words(r, 40)}"))
+        want[2 * k + 1] = (low, low + len(q))
+    return docs, want
+
+
+def test_fuzzy_passages_against_a_whole_aligner(spark):
+    """Recall of at least 0.9 against local alignment of the whole texts (match 1, mismatch and gap -2)."""
+    r = random.Random(38)
+    docs, want = fuzzy_pairs(r, 40, 120, 1 / 12)
+    texts = {i: t.split() for i, t in docs}
+
+    def local(x, y):
+        best, low, row, first = 0, None, [0] * (len(y) + 1), [0] * (len(y) + 1)
+        for i, a in enumerate(x):
+            new, begin = [0], [i + 1]
+            for j, b in enumerate(y):
+                s, f = max((row[j] + (1 if a == b else -2), first[j] if row[j] else i), (row[j + 1] - 2, first[j + 1]), (new[j] - 2, begin[j]))
+                new.append(max(0, s))
+                begin.append(f if s > 0 else i + 1)
+                if s > best:
+                    best, low = s, (f, i + 1)
+            row, first = new, begin
+        return low
+
+    got = substring_dedup.repeated_passages(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    seen = found = 0
+    for i in want:
+        span = local(texts[i], texts[i - 1])
+        if span and span[1] - span[0] >= substring_dedup.PASSAGE:
+            seen += 1
+            found += any(x.doc_id == i and min(x.passage_end, span[1]) - max(x.passage_start, span[0]) >= 0.8 * (span[1] - span[0]) for x in got)
+    assert seen >= 35 and found >= 0.9 * seen and {x.doc_id for x in got} <= set(want)
+
+
+def test_alignment_goes_on_beyond_what_it_sees_first(spark):
+    """A passage of which every thirteenth word differs shares seeds in its first words only."""
+    r = random.Random(39)
+    p = words(r, 900).split()
+    q = [w if k < 30 or k % 7 else words(r, 1) for k, w in enumerate(p)]
+    docs = [(0, f"{words(r, 60)} {' '.join(p)} {words(r, 60)}"), (1, f"{words(r, 60)} {' '.join(q)} {words(r, 60)}")]
+    got = substring_dedup.repeated_passages(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert [(x.doc_id, x.passage_start, x.passage_end) for x in got] == [(1, 60, 960)]
+
+
+def test_rows_that_repeat_an_id_with_other_texts(spark):
+    r = random.Random(40)
+    shared = [words(r, 70) for _ in range(4)]
+    docs = [(k, f"{words(r, 60)} {s} {words(r, 60)}") for k, s in enumerate(shared)] + [(9, f"{words(r, 60)} {s} {words(r, 60)}") for s in shared]
+    got = substring_dedup.repeated_passages(spark.createDataFrame(docs, "doc_id long, text string").withColumn("version", F.lit(1))).collect()
+    assert sorted((x.doc_id, x.partner_id, x.passage_start, x.passage_end) for x in got) == [(9, k, 60, 130) for k in range(4)]
+
+
+def test_repeats_within_a_document(spark):
+    r = random.Random(41)
+    s = words(r, 70)
+    docs = spark.createDataFrame([(1, f"{words(r, 60)} {s} {words(r, 200)} {s} {words(r, 10)}"), (2, words(r, 200))], "doc_id long, text string")
+    assert substring_dedup.repeated_passages(docs).count() == 0
+    assert [(x.doc_id, x.partner_id, x.passage_start, x.passage_end, x.partner_start) for x in substring_dedup.repeated_passages(docs, within=True).collect()] == [(1, 1, 330, 400, 60)]
+
+
+def test_url_filter_that_stays_distributed(spark):
+    many = spark.range(3000).select(F.lit("block").alias("verdict"), F.concat(F.lit("h"), "id", F.lit(".org")).alias("host"), F.lit("/").alias("path"))
+    hits = spark.range(6000).select(F.col("id").alias("page_id"), F.concat(F.lit("http://a.h"), "id", F.lit(".org/")).alias("url"))
+    hits = hits.unionByName(spark.createDataFrame([(None, None), (7, "x"), (7, "x")], "page_id long, url string"))
+    one, two = (sorted(map(tuple, url_filter.judge_urls(hits, many, most=most).collect()), key=str) for most in (0, 1 << 20))
+    assert one == two and sum(x[-1] == "block" for x in one) == 3000 and len(one) == 6003
+    count = many.count()
+    hashed = spark.range(20000).select(F.xxhash64("id").alias("k"))
+    assert url_filter.passing(hashed, many.select(F.xxhash64("host", "path").alias("k")), count, most=0).count() < 200
+    assert url_filter.judge_urls(hits.filter("false"), many, most=0).count() == 0
+
+
+# ---------------------------------------------------------------- the pipeline
+@pytest.fixture(scope="module")
+def clashing(spark, odd):
+    """Odd rows with columns that have the names that stages use inside."""
+    names = ["_doc_id", "_gone", "_kept", "_judged", "_again", "_row", "id_", "row_", "doc", "x", "cuts", "n", "w", "clean", "tail", "grade", "_wanted", "component_id", "version", "start", "rank"]
+    return odd.select("doc_id", "text", "lang", "source", "n_chars", *(F.lit(k).alias(c) for k, c in enumerate(names)))
+
+
+def test_stages_on_odd_rows_and_clashing_names(spark, clashing, tmp_path):
+    import corpus_pipeline
+
+    for t in ("labels",):
+        spark.createDataFrame([(i, 1, 0) for i in (4, 5, 6)] + [(None, 1, 0), (7, None, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/{t}.parquet")
+    for docs in (clashing, clashing.filter("false")):
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, docs, str(tmp_path))
+            rows = out.collect()
+            if name != "packing":
+                assert out.columns == docs.columns
+            if docs.isEmpty():
+                assert not rows
+            elif name in ("quality_classifier", "near_dedup", "pii"):
+                assert all(x._gone == 1 and x.rank == 20 for x in rows)
+                assert len(rows) == {"quality_classifier": 6, "near_dedup": 8, "pii": 10}[name]
+            elif name == "mixing":
+                assert {x.doc_id for x in rows} <= {4, 5, 6, 7, None} and all(x.text and x.n_chars == len(x.text) for x in rows)
+
+
+def test_pipeline_against_its_stages(spark):
+    """Each stage's rows against plain Python on what the stage before has kept, and run() against the stages one by one."""
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    texts = {x.doc_id: x.text for x in docs.collect()}
+    judged = {x.doc_id: x.kept for x in quality_classifier.classify(docs, labels).collect()}
+    folder = corpus_pipeline.work_folder(spark)
+    kept = [corpus_pipeline.written(corpus_pipeline.STAGES[0][1](spark, docs, SF), folder, "t0")]
+    assert {x.doc_id: x.text for x in kept[0].collect()} == {i: t for i, t in texts.items() if judged[i]}
+    kept.append(corpus_pipeline.written(corpus_pipeline.STAGES[1][1](spark, kept[0], SF), folder, "t1"))
+    sets = {x.doc_id: {tuple(w[i : i + 5]) for i in range(len(w) - 4)} or {tuple(w)} for x in kept[0].collect() for w in [re.split(r"[ \t-\r]+", x.text.translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")).strip(" \t\n\x0b\x0c\r"))]}
+    root = {i: i for i in sets}
+    linked = {i: [j for j, b in sets.items() if 100 * len(a & b) >= 80 * len(a | b)] for i, a in sets.items()}
+    while (new := {i: min(root[j] for j in linked[i]) for i in sets}) != root:
+        root = new
+    assert {x.doc_id for x in kept[1].collect()} == {i for i in sets if root[i] == i}
+    kept.append(corpus_pipeline.written(corpus_pipeline.STAGES[2][1](spark, kept[1], SF), folder, "t2"))
+    assert {x.doc_id for x in kept[2].collect()} == {x.doc_id for x in kept[1].collect()} and not any(list(pii.emails(x.text)) for x in kept[2].collect())
+    kept.append(corpus_pipeline.written(corpus_pipeline.STAGES[3][1](spark, kept[2], SF), folder, "t3"))
+    taken, whole = {x.doc_id: x.taken for x in mixing.mix(kept[2]).collect()}, {x.doc_id: x.text.split() for x in kept[2].collect()}
+    sums = dict.fromkeys(taken, 0)
+    for x in kept[3].collect():
+        sums[x.doc_id] += len(x.text.split())
+        rest = iter(whole[x.doc_id])
+        assert all(w in rest for w in x.text.split())  # words of the document, in order
+    assert sums == taken
+    ids = tokens.Encoder(tokens.vocabulary())
+    want = sorted((x.doc_id, len(ids.ids(x.text)) // 4 + 1) for x in kept[3].collect())
+    pieces = corpus_pipeline.run(spark, SF).collect()
+    assert sum(x.length for x in pieces) == sum(n for _, n in want) and sorted((x.doc_id, x.doc_tokens) for x in pieces if x.start == 0) == want
