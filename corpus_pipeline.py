@@ -11,8 +11,7 @@ from sparkrekey.llm.tokens import vocabulary
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the ordinal classifier, fitted on the labelled ones among them, doesn't reject."""
-    model = quality_classifier.fit(docs, quality_classifier.graded(read(spark, sf_dir, "labels")))
-    return quality_classifier.score(docs, model).filter("_kept").select(*docs.columns)
+    return quality_classifier.keep_good(docs, read(spark, sf_dir, "labels"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,7 +35,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [("quality_classifier", quality), ("near_dedup", near_duplicates), ("pii", personal_data), ("mixing", mix), ("packing", pack)]
-#: No stage's model or draw can be put in SQL. Tests compare the near duplicates and the redaction with brute force; of the quality stage and of run() they look at columns and counts at most.
+#: No stage's model or draw can be put in SQL; tests compare each stage, on what the one before has kept, with plain Python.
 ORACLE_SQL = None
 
 
