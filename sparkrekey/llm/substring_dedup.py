@@ -9,11 +9,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import flat_text, folded, list_array, only, pieces, read, span_hashes, word_spans, work_folder, written
+from .common import flat_text, folded, list_array, mixed, only, pieces, read, release, span_hashes, word_spans, work_folder, written
 
 #: Words of a seed. A seed counts if the least hash of its words is its first's or its last's (a closed syncmer): that depends on its words alone, so documents that share it
 #: agree, some 2 / SEED of all count, and among any SEED - 1 that follow each other one does; so equal runs of 2 * SEED - 2 = 14 words share a seed.
 SEED = 8
+#: A seed at which a whole passage of words that repeat with one of these periods begins has a hash of its own, lest it meets a shorter run only.
+PERIODS = (1, 2, 3)
 #: Words of the shortest passage reported, and of the shortest part of one.
 PASSAGE, PART = 50, 20
 #: What a word skipped on either side costs a chain, which gains WORTH for each seed.
@@ -37,7 +39,15 @@ def sampled_seeds(words: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np
     least = np.lib.stride_tricks.sliding_window_view(words, SEED).min(axis=1)[at]
     some = (words[at] == least) | (words[at + SEED - 1] == least)
     owner, at = owner[some], at[some]
-    return owner, folded(words, SEED)[at], at - counts[owner]
+    found = folded(words, SEED)[at]
+    for period in PERIODS:
+        # how many words from a place on repeat with the period, which no seed alone can tell
+        here = np.arange(len(words) - period)
+        stop = np.where((words[:-period] == words[period:]) & (np.searchsorted(counts, here, "right") == np.searchsorted(counts, here + period, "right")), len(words), here)
+        stop = np.append(np.minimum.accumulate(stop[::-1])[::-1], np.arange(len(words) - period, len(words)))
+        long = np.minimum(stop, len(words) - period)[at] + period - at >= PASSAGE
+        found[long] ^= mixed(np.uint64(period))
+    return owner, found, at - counts[owner]
 
 
 def word_lists(column: pa.Array) -> Iterator[np.ndarray]:
@@ -110,9 +120,17 @@ def chains(p: np.ndarray, q: np.ndarray) -> list[list[int]]:
     return out
 
 
-def _chained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From a document's matches, its chains: doc_id, version, partner, partner_version, p, q (the matches)."""
+def _sliced(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The batches a few rows at a time, as each row has lists."""
     for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+    release()
+
+
+def _chained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From a document's matches, its chains with each partner, best first: doc_id, version, partner, partner_version, p, q (the chains' matches, one after the other), sizes (matches in each)."""
+    for b in _sliced(batches):
         rows = []
         for doc, version, found in zip(b.column("doc_id").to_pylist(), b.column("version").to_pylist(), b.column("found")):
             flat = found.values
@@ -122,11 +140,11 @@ def _chained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             order = order[np.append(True, (key[1:] != key[:-1]).any(axis=1))]  # rows that repeat a document bring each match again
             turns = np.flatnonzero((np.diff(partner[order]) != 0) | (np.diff(other[order]) != 0)) + 1
             for part in np.split(order, turns):
-                for chain in chains(p[part], q[part]):
-                    at = part[chain]
-                    rows.append((doc, version, int(partner[at[0]]), int(other[at[0]]), p[at], q[at]))
-        types = [pa.int64()] * 4 + [pa.list_(pa.int64())] * 2
-        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], ["doc_id", "version", "partner", "partner_version", "p", "q"])
+                every = chains(p[part], q[part])
+                at = part[np.concatenate(every)]
+                rows.append((doc, version, int(partner[at[0]]), int(other[at[0]]), p[at], q[at], [len(c) for c in every]))
+        types = [pa.int64()] * 4 + [pa.list_(pa.int64())] * 3
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], ["doc_id", "version", "partner", "partner_version", "p", "q", "sizes"])
 
 
 def equal_in_gap(x: np.ndarray, y: np.ndarray) -> int:
@@ -203,6 +221,8 @@ def _diagonal(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 def alike_parts(steps: np.ndarray) -> list[tuple[int, int]]:
     """Ranges of the steps (words of x, words of y, equal words) with at least ALIKE of the words of either side equal: all of them if they are, or else the longest, then the longest left and right of it, and so on."""
     at = np.concatenate([np.zeros((1, 3), np.int64), np.cumsum(steps, axis=0)])
+    if at[-1, 2] >= ALIKE * at[-1, :2].max() - 1e-9:
+        return [(0, len(steps))] if at[-1, 0] >= PART else []
     over = at[:, 2:] - ALIKE * at[:, :2]
     full = (steps[:, 0] == steps[:, 2]) & (steps[:, 1] == steps[:, 2])
     # parts begin where equal words begin and end where they end
@@ -261,6 +281,8 @@ def align(x: np.ndarray, y: np.ndarray, p: np.ndarray, q: np.ndarray) -> list[tu
     at = np.concatenate([[[x0, y0, 0]], np.cumsum(steps, axis=0) + [x0, y0, 0]])
     out, (c, d) = [], (0, 0)
     found = alike_parts(steps)
+    if found == [(0, len(steps))]:
+        return [(int(x0), int(at[-1, 0]), int(y0), int(at[-1, 1]), int(at[-1, 2]))]
     for k, (i, j) in enumerate(found):
         (a, b, _), (e, f, _) = at[i], at[j]
         u, v = at[found[k + 1][0], :2] if k + 1 < len(found) else (len(x), len(y))
@@ -276,11 +298,32 @@ def align(x: np.ndarray, y: np.ndarray, p: np.ndarray, q: np.ndarray) -> list[tu
     return out
 
 
+def align_pair(x: np.ndarray, y: np.ndarray, p: np.ndarray, q: np.ndarray, sizes: np.ndarray, low: tuple[bool, bool], high: tuple[bool, bool]) -> tuple[list[tuple[int, int, int, int, int]], bool]:
+    """The alike parts around the chains of two documents, best chains first, and whether one came to an edge of x or y though both texts go on there (low, high: whether each does).
+
+    A chain that lies in a stretch of x which is aligned already adds nothing and is passed over, so a text that repeats itself costs in proportion to its length."""
+    out, edge, covered, at = [], False, np.zeros(len(x), bool), 0
+    for size in sizes.tolist():
+        u, v = p[at : at + size], q[at : at + size]
+        at += size
+        if covered[u[0] : u[-1] + SEED].all():
+            continue
+        for a, e, c, f, same in align(x, y, u, v):
+            edge |= (a == 0 and low[0] and (c > 0 or low[1])) or (c == 0 and low[1] and (a > 0 or low[0]))
+            edge |= (e == len(x) and high[0] and (f < len(y) or high[1])) or (f == len(y) and high[1] and (e < len(x) or high[0]))
+            if e - a >= PART:
+                covered[a:e] = True
+                out.append((a, e, c, f, same))
+    return out, edge
+
+
 def _aligned_once(slim: DataFrame, found: DataFrame, margin: int | None, folder: str, name: str) -> DataFrame:
-    """The aligned parts of the chains, and a row with a null start_word for each chain whose alignment came to the edge of what it saw."""
+    """The aligned parts of each pair of documents, and a row with a null start_word for a pair of which an alignment came to the edge of what it saw.
+
+    A pair sees what its chains span and `margin` words on both sides (None: the whole texts)."""
     ids = written(found.select(F.explode(F.array("doc_id", "partner")).alias("id")).distinct(), folder, f"{name}-ids")
-    ends = lambda c: (F.greatest(F.lit(0), F.get(c, F.lit(0)) - margin).alias("low"), (F.element_at(c, -1) + SEED + margin).alias("high")) if margin is not None else (F.lit(0).cast("long").alias("low"), F.lit((1 << 31) - 1).cast("long").alias("high"))
-    sides = found.select("chain", F.lit(0).alias("side"), "doc_id", "version", *ends("p")).unionByName(found.select("chain", F.lit(1).alias("side"), F.col("partner").alias("doc_id"), F.col("partner_version").alias("version"), *ends("q")))
+    ends = lambda c: (F.greatest(F.lit(0), F.array_min(c) - margin).alias("low"), (F.array_max(c) + SEED + margin).alias("high")) if margin is not None else (F.lit(0).cast("long").alias("low"), F.lit((1 << 31) - 1).cast("long").alias("high"))
+    sides = found.select("pair", F.lit(0).alias("side"), "doc_id", "version", *ends("p")).unionByName(found.select("pair", F.lit(1).alias("side"), F.col("partner").alias("doc_id"), F.col("partner_version").alias("version"), *ends("q")))
 
     def listed(batches):
         for b in pieces(batches, "_text"):
@@ -291,36 +334,32 @@ def _aligned_once(slim: DataFrame, found: DataFrame, margin: int | None, folder:
     words = only(slim, "_id", ids).mapInArrow(listed, "doc_id long, version long, words array<int>")
     size = F.size("words").cast("long")
     cut = F.slice("words", F.col("low").cast("int") + 1, F.greatest(F.lit(0), F.least(F.col("high"), size) - F.col("low")).cast("int"))
-    views = sides.join(words.hint("merge"), ["doc_id", "version"]).select("chain", "side", F.col("low"), size.alias("size"), cut.alias("view"))
+    views = sides.join(words.hint("merge"), ["doc_id", "version"]).select("pair", "side", F.col("low"), size.alias("size"), cut.alias("view"))
     pick = lambda side, c: F.max(F.when(F.col("side") == side, F.struct("low", "size", "view")))[c].alias(f"{c}{side}")
-    both = views.groupBy("chain").agg(*(pick(side, c) for side in (0, 1) for c in ("low", "size", "view"))).join(found, "chain")
+    both = views.groupBy("pair").agg(*(pick(side, c) for side in (0, 1) for c in ("low", "size", "view"))).join(found, "pair")
 
     def aligned(batches):
-        for b in batches:
+        for b in _sliced(batches):
             rows = []
-            keys = zip(*(b.column(n).to_pylist() for n in ("chain", "doc_id", "version", "partner", "partner_version", "low0", "size0", "low1", "size1")))
-            view0, view1, p, q = (_lists(b.column(n)) for n in ("view0", "view1", "p", "q"))
-            for k, (chain, doc, version, partner, other, x0, n0, y0, n1) in enumerate(keys):
-                x, y = view0(k), view1(k)
-                parts = align(x, y, p(k) - x0, q(k) - y0)
-                # at an edge of the view, though both texts go on
-                left = any((a == 0 or c == 0) and a + x0 > 0 and c + y0 > 0 for a, _, c, _, _ in parts)
-                right = any((e == len(x) or f == len(y)) and e + x0 < n0 and f + y0 < n1 for _, e, _, f, _ in parts)
-                if left or right:
-                    rows.append((chain, doc, version, None, None, partner, None, None, None))
+            keys = zip(*(b.column(n).to_pylist() for n in ("pair", "doc_id", "version", "partner", "low0", "size0", "low1", "size1")))
+            view0, view1, p, q, sizes = (_lists(b.column(n)) for n in ("view0", "view1", "p", "q", "sizes"))
+            for k, (pair, doc, version, partner, x0, n0, y0, n1) in enumerate(keys):
+                parts, edge = align_pair(view0(k), view1(k), p(k) - x0, q(k) - y0, sizes(k), (x0 > 0, y0 > 0), (x0 + len(view0(k)) < n0, y0 + len(view1(k)) < n1))
+                if edge:
+                    rows.append((pair, doc, version, None, None, partner, None, None, None))
                 else:
-                    rows += [(chain, doc, version, a + x0, e + x0, partner, c + y0, f + y0, same) for a, e, c, f, same in parts if e - a >= PART]
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(9)], ["chain", "doc_id", "version", *_FIELDS])
+                    rows += [(pair, doc, version, a + x0, e + x0, partner, c + y0, f + y0, same) for a, e, c, f, same in parts]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(9)], ["pair", "doc_id", "version", *_FIELDS])
 
-    out = both.select("chain", "doc_id", "version", "partner", "partner_version", "p", "q", "low0", "size0", "view0", "low1", "size1", "view1")
-    return written(out.mapInArrow(aligned, ", ".join(f"{c} long" for c in ["chain", "doc_id", "version", *_FIELDS])), folder, f"{name}-parts")
+    out = both.select("pair", "doc_id", "version", "partner", "p", "q", "sizes", "low0", "size0", "view0", "low1", "size1", "view1")
+    return written(out.mapInArrow(aligned, ", ".join(f"{c} long" for c in ["pair", "doc_id", "version", *_FIELDS])), folder, f"{name}-parts")
 
 
 _FIELDS = ["start_word", "end_word", "partner_id", "partner_start", "partner_end", "equal_words"]
 
 
 def _passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in _sliced(batches):
         rows = []
         for doc, parts in zip(b.column("doc_id").to_pylist(), b.column("parts").to_pylist()):
             group, end = [], -1
@@ -343,7 +382,7 @@ def repeated_passages(docs: DataFrame, within: bool = False) -> DataFrame:
     first document only, so the rows grow with the corpus whatever the number of copies; a third document with the same passage
     has a row of its own. Words are lower-cased in A-Z. Null, short and wordless texts, and null ids, have no rows, nor has an empty table; rows that repeat a doc_id with the same text are one
     document, with other texts each a document of its own; a document's repeated seed counts at each of its places, each met with the first place in the partner, so later copies of a passage are found too;
-    of equal chains any comes first, which changes no part; other columns are not looked at."""
+    a stretch is aligned with the same partner once, by the best of its chains; other columns are not looked at."""
     folder = work_folder(docs.sparkSession)
     slim = _slim(docs)
     every = seeds(slim)
@@ -353,17 +392,17 @@ def repeated_passages(docs: DataFrame, within: bool = False) -> DataFrame:
     other = "(doc_id <> partner OR version <> partner_version)"
     matches = every.join(anchors, "seed").filter(f"{other} OR place > q" if within else other)
     lists = matches.groupBy("doc_id", "version").agg(F.collect_list(F.struct("partner", "partner_version", "q", F.col("place").alias("p"))).alias("found"))  # at most a document's own seeds
-    found = lists.mapInArrow(_chained, "doc_id long, version long, partner long, partner_version long, p array<long>, q array<long>")
-    found = written(found.withColumn("chain", F.monotonically_increasing_id()), folder, "chains")
+    found = lists.mapInArrow(_chained, "doc_id long, version long, partner long, partner_version long, p array<long>, q array<long>, sizes array<long>")
+    found = written(found.withColumn("pair", F.monotonically_increasing_id()), folder, "chains")
 
     parts = None
     for k, margin in enumerate(MARGINS):
         now = _aligned_once(slim, found, margin, folder, f"{k}")
         parts = now.filter("start_word IS NOT NULL") if parts is None else parts.unionByName(now.filter("start_word IS NOT NULL"))
-        open_ = now.filter("start_word IS NULL").select("chain")
+        open_ = now.filter("start_word IS NULL").select("pair")
         if open_.isEmpty():
             break
-        found = written(found.join(open_, "chain", "left_semi"), folder, f"{k}-open")
+        found = written(found.join(open_, "pair", "left_semi"), folder, f"{k}-open")
     lists = parts.groupBy("doc_id", "version").agg(F.sort_array(F.collect_list(F.struct(*_FIELDS))).alias("parts"))  # at most a document's own chains
     return lists.mapInArrow(_passages, ", ".join(f"{c} long" for c in ["doc_id", *_FIELDS, "passage_start", "passage_end"]))
 
