@@ -109,24 +109,27 @@ def shared_counts(sets: list[np.ndarray]) -> np.ndarray:
     return both.astype(np.int64)
 
 
-def block_links(sets: list[np.ndarray], others: list[np.ndarray], sides: np.ndarray, percent: int) -> list[tuple[int, int]]:
-    """Indices (i, j) of a spanning forest of the links among documents, counted exactly in both lanes; sides: 0 or 1, and only 0-1 pairs count if there are both."""
+def block_links(sets: list[np.ndarray], others: list[np.ndarray], sides: np.ndarray, roots: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Indices (i, j) of exact links, counted in both lanes, that join documents of different roots: as few as join what all links would. sides: 0 or 1, and only 0-1 pairs count if there are both."""
     sizes = np.maximum([len(s) for s in sets], [len(s) for s in others])
     shared = np.minimum(shared_counts(sets), shared_counts(others))
-    linked = 100 * shared >= percent * (sizes[:, None] + sizes[None, :] - shared)
+    linked = np.triu(100 * shared >= percent * (sizes[:, None] + sizes[None, :] - shared), 1)
     if sides.any() and not sides.all():
         linked &= sides[:, None] != sides[None, :]
-    out, left = [], np.ones(len(sets), bool)
-    for i in range(len(sets)):
-        if left[i]:
-            left[i] = False
-            front = [i]
-            while front:
-                at = front.pop()
-                more = np.flatnonzero(linked[at] & left)
-                left[more] = False
-                out += [(at, int(j)) for j in more]
-                front += more.tolist()
+    _, label = np.unique(roots, return_inverse=True)
+    linked &= label[:, None] != label[None, :]
+    out, top = [], list(range(len(label)))
+
+    def find(x):
+        while top[x] != x:
+            top[x] = x = top[top[x]]
+        return x
+
+    for i, j in zip(*(x.tolist() for x in np.nonzero(linked))):
+        one, two = find(label[i]), find(label[j])
+        if one != two:
+            top[one] = two
+            out.append((i, j))
     return out
 
 
@@ -153,13 +156,14 @@ def crowd_links(docs: DataFrame, crowd: DataFrame, links: DataFrame, width: int,
 
     def rooted(step):
         roots = written(components(links, folder, f"roots-{step}"), folder, f"roots-{step}")
-        root = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root")).hint("merge")
-        known = crowd.join(root("doc_id"), "doc_id", "left").withColumn("doc_id_root", F.coalesce("doc_id_root", "doc_id"))
-        return known.join(root("hub"), "hub", "left").withColumn("hub_root", F.coalesce("hub_root", "hub"))
+        known = crowd.join(roots.withColumnRenamed("node", "doc_id").hint("merge"), "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
+        return written(known, folder, f"members-{step}")
 
-    apart = rooted("nearest").filter("doc_id_root <> hub_root").select(F.col("hub").alias("a"), F.col("doc_id").alias("b"))
+    members = rooted("nearest")
+    hubs = members.filter("doc_id = hub").groupBy("key").agg(F.min("root").alias("hub_root"))
+    apart = members.join(hubs.hint("merge"), "key").filter("root <> hub_root").select(F.col("hub").alias("a"), F.col("doc_id").alias("b"))
     links = links.unionByName(linked_pairs(docs, apart, width, percent, folder, "hubs"))
-    members = written(rooted("hubs").select("key", "doc_id", "n", F.col("doc_id_root").alias("root")), folder, "members")
+    members = rooted("hubs").select("key", "doc_id", "n", "root")
     shares = members.groupBy("key", "root").agg(F.count(F.lit(1)).alias("m"), F.sum(F.col("n") + PER).alias("weight"))
     state = shares.groupBy("key").agg(F.count(F.lit(1)).alias("roots"), F.max_by("root", F.struct("m", "root")).alias("main"), (F.sum("m") - F.max("m")).alias("others"), F.sum("weight").alias("weight"))
     state = written(state.filter("roots > 1"), folder, "open")
@@ -170,11 +174,11 @@ def crowd_links(docs: DataFrame, crowd: DataFrame, links: DataFrame, width: int,
     links = links.unionByName(linked_pairs(docs, pairs, width, percent, folder, "minor"))
 
     many = rows.filter(f"others > {CROWD}").withColumn("chunks", F.ceil(F.col("weight") / CHUNK).cast("int"))
-    many = written(many.select("key", "doc_id", "chunks"), folder, "many")
+    many = written(many.select("key", "doc_id", "root", "chunks"), folder, "many")
     dealt = sets_of(docs, many.select("doc_id"), width).join(many.hint("merge"), "doc_id")
     dealt = dealt.withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("chunks")).cast("int"))
     block = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda j: F.struct(F.least(F.col("own"), j).alias("i"), F.greatest(F.col("own"), j).alias("j")))
-    dealt = dealt.select("key", "doc_id", "set", "other", "own", F.explode(block).alias("block")).select("key", "doc_id", "set", "other", "own", "block.i", "block.j")
+    dealt = dealt.select("key", "doc_id", "root", "set", "other", "own", F.explode(block).alias("block")).select("key", "doc_id", "root", "set", "other", "own", "block.i", "block.j")
 
     def compare(table: pa.Table) -> pa.Table:
         ids, own = table.column("doc_id").to_numpy(), table.column("own").to_numpy()
@@ -183,7 +187,7 @@ def crowd_links(docs: DataFrame, crowd: DataFrame, links: DataFrame, width: int,
             column = table.column(name).combine_chunks()
             flat, off = column.values.to_numpy().view(np.uint64), column.offsets.to_numpy()
             lanes.append([flat[off[i] : off[i + 1]] for i in range(len(ids))])
-        forest = block_links(*lanes, (own != own.min()).astype(np.int8), percent)
+        forest = block_links(*lanes, (own != own.min()).astype(np.int8), table.column("root").to_numpy(), percent)
         return pa.table({"a": pa.array([ids[i] for i, _ in forest], pa.int64()), "b": pa.array([ids[j] for _, j in forest], pa.int64())})
 
     return links.unionByName(dealt.groupBy("key", "i", "j").applyInArrow(compare, "a long, b long"))

@@ -232,16 +232,17 @@ def test_block_links_against_brute_force():
         plain = [set(r.sample(base, r.randint(48, 60))) for _ in range(40)]
         lane = [np.array(sorted(s), np.uint64) for s in plain]
         pairs = {(i, j) for i in range(40) for j in range(40) if i != j and (not sides.any() or sides[i] != sides[j]) and 100 * len(plain[i] & plain[j]) >= 80 * len(plain[i] | plain[j])}
-        got = near_dedup.block_links(lane, [x * np.uint64(7) for x in lane], sides, 80)
+        roots = np.array([i // 3 for i in range(40)])
+        got = near_dedup.block_links(lane, [x * np.uint64(7) for x in lane], sides, roots, 80)
 
         def reach(links):
-            root = list(range(40))
-            for _ in range(40):
+            top = list(range(14))
+            for _ in range(14):
                 for i, j in links:
-                    root[i] = root[j] = min(root[i], root[j])
-            return root
+                    top[i // 3] = top[j // 3] = min(top[i // 3], top[j // 3])
+            return top
 
-        assert set(got) <= pairs and reach(got) == reach(pairs)
+        assert set(got) <= pairs and reach(got) == reach(pairs) and len(got) == 14 - len(set(reach(pairs)))
 
 
 def test_base_patterns_against_the_regular_expressions():
