@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-
-
 ARCHETYPES = ("SCD1", "SCD2", "HUB_SCD2")
 CLASSIFICATIONS = ("LEGACY_KEYED", "RELOADED", "MIXED")
 MAP_STATUSES = ("MATCHED", "ORPHAN_OLD", "ORPHAN_NEW", "AMBIGUOUS")
 REPAIR_STATUSES = ("DISCOVERED", "SELECTED", "VERIFIED", "FIXED", "SKIPPED", "EXCLUDED", "NOT_APPLICABLE")
 ACTIVE = ("SELECTED", "VERIFIED")
+CLONE_STATUSES = ("ACTIVE", "PROMOTED", "SUPERSEDED")
+#: What a key-map says of how versions meet: the name of its property, and its value by archetype or path.
+MATCH_PROPERTY = "ri_repair.version_match"
+MATCHES = {"SCD1": "none-scd1", "A": "A-exact", "B": "B-event-date"}
 #: Defaults of thresholds.
 PATH_A_SHARE, SUGGEST_SHARE, TOLERANCE, ORPHAN_WARNING = 0.99, 0.95, 0.01, 0.01
 
@@ -70,8 +72,7 @@ class ConsumerRole:
         return f"{self.fk_col}_nk_hash", f"{self.fk_col}_ver_hash"
 
 
-
-KEYMAP = "natural_key STRING, nk_hash BIGINT, effectiveStartDate TIMESTAMP_NTZ, effectiveEndDate TIMESTAMP_NTZ, ver_hash BIGINT, old_sk BIGINT, new_sk BIGINT, map_status STRING, created_at TIMESTAMP"
+CLONES = "run_id STRING, logical_table STRING, table_kind STRING, wip_table_name STRING, clone_status STRING, row_key_cols ARRAY<STRING>, cloned_at TIMESTAMP, promoted_at TIMESTAMP, promote_mode STRING, notes STRING"
 AUDIT = {
     "gate_results": "run_id STRING, table_name STRING, gate STRING, violations BIGINT, passed BOOLEAN, run_at TIMESTAMP",
     "version_diagnostics": "run_id STRING, provider_table STRING, status STRING, version_rows BIGINT, matched_pct DOUBLE, suggested_path STRING, run_at TIMESTAMP",

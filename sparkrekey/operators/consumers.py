@@ -28,11 +28,11 @@ def discover_consumers(columns: DataFrame, providers: DataFrame, registered: Dat
 def discover_edge_cases(columns: DataFrame, providers: DataFrame, registered: DataFrame) -> DataFrame:
     """Columns whose names only resemble a provider's key (its stem of four letters or more, and a key marker). A catalogue is small, so the pairing by name parts may be a nested loop."""
     p = providers.select("provider_table", "sk_col", sk_stem(F.col("sk_col")).alias("_stem")).filter("length(_stem) >= 4")
-    own = (F.lower("table_name") == F.lower("provider_table")) & (F.lower("column_name") == F.lower("sk_col"))
-    found = columns.join(p, fk_like(F.col("column_name"), F.col("_stem")) & (F.lower("column_name") != F.lower("sk_col")) & ~own)
+    found = columns.join(p, fk_like(F.col("column_name"), F.col("_stem")) & (F.lower("column_name") != F.lower("sk_col")) & (F.lower("table_name") != F.lower("provider_table")))
     known = registered.select(F.lower("consumer_table").alias("_t"), F.lower("fk_col").alias("_c"))
     found = found.join(known, (F.lower("table_name") == F.col("_t")) & (F.lower("column_name") == F.col("_c")), "left_anti")
-    return found.select("provider_table", "sk_col", F.col("table_name").alias("candidate_table"), F.col("column_name").alias("candidate_column"))
+    reason = F.concat(F.lit("name holds '"), F.col("_stem"), F.lit("' and a key marker"))
+    return found.select("provider_table", "sk_col", F.col("table_name").alias("candidate_table"), F.col("column_name").alias("candidate_column"), reason.alias("reason"), F.lit("REVIEW").alias("status"))
 
 
 def detect_sk(df: DataFrame, nk_cols: list[str], override: str | None = None) -> str:
@@ -109,7 +109,7 @@ def member_ri(df: DataFrame, hashed: str, provider: DataFrame, key: str = "nk_ha
 def version_ri_b(df: DataFrame, hashed: str, event: str, provider: DataFrame) -> DataFrame:
     """Rows whose event no window of their member holds."""
     hits = asof_hits(df.filter(F.col(hashed).isNotNull() & F.col(event).isNotNull()), provider, (hashed, "nk_hash"), event, "s", "e", ["new_sk"])
-    return check("version_ri_pathB", _count(hits.filter(F.coalesce(F.size("_hits") <= 0, F.lit(True)))))
+    return check("version_ri_pathB_window", _count(hits.filter(F.coalesce(F.size("_hits") <= 0, F.lit(True)))))
 
 
 def exactly_one_window(df: DataFrame, hashed: str, event: str, provider: DataFrame) -> DataFrame:
@@ -196,7 +196,7 @@ def promote_merge(prod: DataFrame, wip: DataFrame, row_key: list[str], columns:
 
 def asof_lookup(df: DataFrame, key: str, event: str, windows: DataFrame, value: str = "new_sk") -> DataFrame:
     """df with the value of the key's window that holds the event, null if none does."""
-    return asof_hits(df, windows, (key, "nk_hash"), event, "s", "e", [value]).withColumn(value, F.get("_hits", F.lit(0))[value]).drop("_hits")
+    return asof_hits(df, windows, (key, "nk_hash"), event, "s", "e", [value]).withColumn(value, F.get("_hits", F.lit(0))["v"][value]).drop("_hits")
 
 
 def overlap_lookup(left: DataFrame, right: DataFrame) -> DataFrame:

@@ -5,6 +5,9 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass, replace
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
 from sparkrekey.model import ACTIVE, CLASSIFICATIONS, REPAIR_STATUSES, ConsumerRole, ProviderSpec
 
 #: Setting names and defaults.
@@ -19,12 +22,18 @@ DEFAULTS = {
 CHOICES = {"repair_target_mode": ("wip_clone", "in_place"), "repair_mode": ("opt_in", "opt_out"), "mode": ("classify", "populate"), "promote_mode": ("merge_columns", "swap_table", "repoint_view"), "validation_target": ("auto", "wip", "prod")}
 #: Stages in order, and what each profile leaves out.
 STAGES = ("discover", "triage", "snapshot", "clone", "provider_hash", "classify", "populate", "validate", "sweep", "promote")
-PROFILES = {"full": (), "scd1_dim_fact": (), "scd2_dim_fact": (), "hub_scd2": (), "fact_consumer": ("snapshot", "provider_hash")}
+PROFILES = {"full": (), "scd1_dim_fact": (), "scd2_dim_fact": (), "hub_scd2_wave": (), "fact_consumer": ("snapshot", "provider_hash")}
+#: What a profile sets where nothing is given.
+PROFILE_DEFAULTS = {
+    "scd1_dim_fact": {"auto_set_path": "false", "mode": "classify"}, "scd2_dim_fact": {"mode": "classify"}, "hub_scd2_wave": {"mode": "classify"},
+    "fact_consumer": {"provider_filter": "*", "refresh_snapshots": "false", "build_keymaps": "false", "mode": "classify"},
+}
 
 
 def settings(given: dict[str, str] | None = None) -> dict[str, str]:
-    """The defaults with what is given; unknown names and values are errors."""
-    out = {**DEFAULTS, **(given or {})}
+    """The defaults, the profile's, and what is given (an empty text counts as not given); unknown names and values are errors."""
+    given = {k: v for k, v in (given or {}).items() if v is not None and v.strip()}
+    out = {**DEFAULTS, **PROFILE_DEFAULTS.get(given.get("setup_profile", DEFAULTS["setup_profile"]), {}), **given}
     if unknown := set(out) - set(DEFAULTS):
         raise ValueError(f"unknown settings: {sorted(unknown)}")
     if out["setup_profile"] not in PROFILES:
@@ -41,6 +50,29 @@ def stages(profile: str) -> list[str]:
     return [s for s in STAGES if s not in PROFILES[profile]]
 
 
+def activate(store, given: dict[str, str]) -> None:
+    """Makes the settings the store's only active ones, in one move of the table's pointer; earlier rows stay, inactive."""
+    row = store.spark.createDataFrame([(json.dumps(settings(given)), True)], "settings string, active boolean")
+    if store.exists("config", "package_settings"):
+        row = store.read("config", "package_settings").withColumn("active", F.lit(False)).unionByName(row)
+    store.write("config", "package_settings", row)
+
+
+def active(store) -> dict[str, str]:
+    """The store's active settings; anything but exactly one active row is an error."""
+    rows = store.read("config", "package_settings").filter("active").limit(2).collect() if store.exists("config", "package_settings") else []
+    if len(rows) != 1:
+        raise ValueError(f"{len(rows)} active settings rows where there must be one" if len(rows) < 2 else "several active settings rows where there must be one")
+    return settings(json.loads(rows[0]["settings"]))
+
+
+def review(roles: DataFrame, providers: DataFrame) -> DataFrame:
+    """The registered roles with their provider's archetype, in the order of display."""
+    kinds = providers.select(F.lower("provider_table").alias("_p"), "archetype").distinct()
+    out = roles.join(kinds, F.lower("provider_table") == F.col("_p"), "left").drop("_p")
+    return out.orderBy("repair_status", "provider_table", "consumer_table", "fk_col")
+
+
 def documents(text: str) -> list[dict]:
     """A JSON array of objects; nothing is an empty one."""
     out = json.loads(text) if text and text.strip() else []

@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+import contextlib
 import json
 import re
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-KINDS = ("prod", "wip", "source", "staging", "keymap", "config")
+KINDS = ("prod", "wip", "source", "staging", "keymap", "config", "view")
+#: How often and how long (seconds) a writer waits for another one's lock.
+TRIES, WAIT = 100, 0.1
 
 
 class TableStore:
-    """root/kind/table.json points at a generation folder. Writers make a new generation, then move the pointer; readers never see half a write.
+    """root/kind/table.json points at a generation: a list of folders. Writers make a new folder, then move the pointer under a lock, so that none is lost; readers never see half a write.
 
     Files and pointers go through Hadoop's file system, so the root may be in any store that Spark reads."""
 
@@ -49,30 +53,62 @@ class TableStore:
         array[0] = options.OVERWRITE
         context.rename(self._fs.makeQualified(new), self._fs.makeQualified(to), array)
 
+    @contextlib.contextmanager
+    def _locked(self, kind: str, table: str):
+        """Holds the pointer's lock file, which only one writer can create."""
+        lock = self._path(self._pointer(kind, table) + ".lock")
+        for _ in range(TRIES):
+            if self._fs.createNewFile(lock):
+                break
+            time.sleep(WAIT)
+        else:
+            raise TimeoutError(f"another writer holds {lock.toString()}; delete it if that one has died")
+        try:
+            yield
+        finally:
+            self._fs.delete(lock, False)
+
     def exists(self, kind: str, table: str) -> bool:
         return self._state(kind, table) is not None
 
     def read(self, kind: str, table: str, back: int = 0) -> DataFrame:
-        """The table, or the generation `back` writes before."""
+        """The table, or the generation `back` writes before; a view reads the table that it points at now."""
         state = self._state(kind, table)
         if state is None:
             raise FileNotFoundError(f"{kind}.{table}")
-        return self.spark.read.schema(T.StructType.fromJson(json.loads(state["schemas"][-1 - back]))).parquet(state["generations"][-1 - back])
+        if "alias" in state:
+            return self.read(*state["alias"], back)
+        return self.spark.read.schema(T.StructType.fromJson(json.loads(state["schemas"][-1 - back]))).parquet(*state["generations"][-1 - back])
 
-    def write(self, kind: str, table: str, df: DataFrame, properties: dict | None = None) -> DataFrame:
-        """A new generation, even of a table that df reads."""
+    def _written(self, table: str, df: DataFrame) -> str:
         folder = f"{self.root}/data/{table.lower()}-{uuid.uuid4().hex}"
         df.write.parquet(folder)
-        state = self._state(kind, table) or {"generations": [], "schemas": [], "properties": {}}
-        state["generations"].append(folder)
-        state["schemas"].append(df.schema.json())
-        state["properties"] |= properties or {}
-        self._move(kind, table, state)
+        return folder
+
+    def write(self, kind: str, table: str, df: DataFrame, properties: dict | None = None) -> DataFrame:
+        """A new generation, even of a table that df reads."""
+        folder = self._written(table, df)
+        with self._locked(kind, table):
+            state = self._state(kind, table) or {"generations": [], "schemas": [], "properties": {}}
+            state["generations"].append([folder])
+            state["schemas"].append(df.schema.json())
+            state["properties"] |= properties or {}
+            self._move(kind, table, state)
         return self.read(kind, table)
 
     def append(self, kind: str, table: str, rows: DataFrame) -> DataFrame:
-        old = self.read(kind, table).unionByName(rows, allowMissingColumns=True) if self.exists(kind, table) else rows
-        return self.write(kind, table, old)
+        """A new generation with the rows' folder beside those of the one before, which aren't rewritten; new columns are null in older rows. Without rows nothing changes, unless the table is new."""
+        if self.exists(kind, table) and rows.isEmpty():
+            return self.read(kind, table)
+        folder = self._written(table, rows)
+        with self._locked(kind, table):
+            state = self._state(kind, table) or {"generations": [], "schemas": [], "properties": {}}
+            old = T.StructType.fromJson(json.loads(state["schemas"][-1])) if state["schemas"] else T.StructType()
+            schema = T.StructType([*old.fields, *(f for f in rows.schema.fields if f.name.lower() not in {x.lower() for x in old.names})])
+            state["generations"].append([*(state["generations"][-1] if state["generations"] else []), folder])
+            state["schemas"].append(schema.json())
+            self._move(kind, table, state)
+        return self.read(kind, table)
 
     def properties(self, kind: str, table: str) -> dict:
         return (self._state(kind, table) or {"properties": {}})["properties"]
@@ -98,8 +134,10 @@ class TableStore:
         self._move(kind, table, {**state, "generations": state["generations"][:-1], "schemas": state["schemas"][:-1]})
 
     def view(self, kind: str, table: str, name: str) -> None:
-        """A temporary view on the table's present generation."""
+        """A view that points at the table, for read("view", name) in any session, and a temporary view of this session's on its present generation."""
         self.read(kind, table).createOrReplaceTempView(name)
+        with self._locked("view", name):
+            self._move("view", name, {"alias": [kind, table]})
 
     def columns(self) -> DataFrame:
         """table_name, column_name of the production tables: the catalogue that discovery reads."""
