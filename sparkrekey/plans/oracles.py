@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sparkrekey.plans.fixtures import cte
+from sparkrekey.plans.fixtures import cte, values
 
 _EOT = "TIMESTAMP '9999-12-31'"
 _LC = "lc AS (SELECT old_sk, upper(trim(nk, ' ')) AS k FROM legacy_customer)"
@@ -28,6 +28,10 @@ _OVERLAP = "SELECT '{name}' AS gate, count(DISTINCT a.nk)::BIGINT AS violations,
 _SWEPT = "CASE WHEN k IS NOT NULL AND fk <> new_sk THEN new_sk ELSE fk END"
 
 
+def _rows(body: str, *names: str) -> str:
+    return "WITH " + ", ".join(values(n) for n in names) + "\n" + body
+
+
 def _sql(body: str, *parts: str) -> str:
     return ",\n".join([cte(), *parts]) + "\n" + body
 
@@ -36,8 +40,8 @@ ORACLES = {
     "normalize_nk": _sql(f"SELECT up, o_custkey::VARCHAR || '||' || {_FMT.format(c='s', t='')} || '||' || coalesce({_FMT.format(c='e', t=' %H:%M:%S')}, '~NULL~') AS natural_key FROM versions"),
     "normalize_nk_lenient": _sql("SELECT new_sk, upper(trim(nk, ' ')) || '||' || upper(trim(coalesce(status, ''), ' ')) AS natural_key FROM target_customer"),
     "status_class": _sql("SELECT new_sk, CASE WHEN upper(trim(status, ' ')) IN ('D', 'DEL', 'DELETED', 'LOGICALLY_DELETED') THEN 'DELETED' ELSE 'ACTIVE' END AS status_class FROM target_customer"),
-    "provider_hash": _sql("SELECT new_sk, new_sk % 2 <> 0 AS fresh FROM target_customer"),
-    "gate_collision": _sql("SELECT 'hash_collision' AS gate, 0::BIGINT AS violations, true AS passed"),
+    "provider_hash": _sql("SELECT t.new_sk, l.old_sk FROM tc t LEFT JOIN lc l ON t.new_sk % 2 <> 0 AND l.k = t.k", _LC, _TC),
+    "gate_collision": _sql(" UNION ALL ".join(f"SELECT '{n}' AS table_name, 'hash_collision' AS gate, count(*)::BIGINT AS violations, count(*) = 0 AS passed FROM (SELECT 1 FROM {t} GROUP BY {h} HAVING count(DISTINCT k) > 1)" for n, t, h in (("legacy", "lc", "k"), ("target", "tc", "k"), ("planted", "tc", "regexp_replace(k, '[0-9]$', '')"))), _LC, _TC),
     "snapshot_scd1": _sql("SELECT old_sk, k AS natural_key FROM lc", _LC),
     "snapshot_scd2": _sql("SELECT old_sk, nk AS natural_key, s, e, 'ACTIVE' AS status_class FROM legacy_a"),
     "keymap_scd1": _sql("SELECT coalesce(t.k, l.k) AS natural_key, l.old_sk, t.new_sk, " + _STATUS.format(l="l.k", t="t.k") + " AS map_status FROM lc l FULL JOIN tc t ON l.k = t.k", _LC, _TC),
@@ -56,8 +60,8 @@ ORACLES = {
     "gate_nk_start_status": _sql(_GATE.format(name="nk_start_status_unique", table="fact_orders", keys="fk, event, o_orderkey % 2")),
     "gate_ver_unique": _sql(_GATE.format(name="ver_hash_unique", table="target_a", keys="nk, s")),
     "overlap_gate": _sql(_OVERLAP.format(name="window_overlap", t="late") + " UNION ALL " + _OVERLAP.format(name="window_overlap_plain", t="target_b"), "late AS (SELECT new_sk, nk, s, CASE WHEN nk::BIGINT % 7 = 0 THEN e + INTERVAL 400 DAY ELSE e END AS e FROM target_b)"),
-    "discover_consumers": "SELECT * FROM (VALUES ('fact_line', 'SK_CUSTOMER', 'dim_customer', NULL), ('fact_line', 'sk_part', 'dim_part', NULL), ('hub_order', 'sk_customer', 'dim_customer', 'o_orderdate')) t(consumer_table, fk_col, provider_table, event_date_col)",
-    "discover_edge_cases": "SELECT * FROM (VALUES ('dim_customer', 'sk_customer', 'fact_line', 'sk_customer_roleB'), ('hub_order', 'sk_order', 'fact_orders', 'o_orderkey'), ('hub_order', 'sk_order', 'fact_reloaded', 'o_orderkey'), ('hub_order', 'sk_order', 'fact_b', 'o_orderkey')) t(provider_table, sk_col, candidate_table, candidate_column)",
+    "discover_consumers": _rows("SELECT c.table_name AS consumer_table, c.column_name AS fk_col, p.provider_table, h.effective_start_col AS event_date_col FROM catalogue c JOIN providers p ON lower(c.column_name) = lower(p.sk_col) AND lower(c.table_name) <> lower(p.provider_table) LEFT JOIN providers h ON h.archetype = 'HUB_SCD2' AND lower(h.provider_table) = lower(c.table_name) WHERE NOT EXISTS (SELECT 1 FROM registered r WHERE lower(r.consumer_table) = lower(c.table_name) AND lower(r.fk_col) = lower(c.column_name))", "catalogue", "providers", "registered"),
+    "discover_edge_cases": _rows("SELECT p.provider_table, p.sk_col, c.table_name AS candidate_table, c.column_name AS candidate_column, 'REVIEW' AS status FROM catalogue c JOIN (SELECT *, regexp_replace(regexp_replace(lower(sk_col), '^(key|sk|id)_?', ''), '_?(key|sk|id)$', '') AS stem FROM providers) p ON length(stem) >= 4 AND contains(lower(c.column_name), stem) AND regexp_matches(lower(c.column_name), '(^|_)(key|sk|id)|(key|sk|id)$') AND lower(c.column_name) <> lower(p.sk_col) AND lower(c.table_name) <> lower(p.provider_table) WHERE NOT EXISTS (SELECT 1 FROM registered r WHERE lower(r.consumer_table) = lower(c.table_name) AND lower(r.fk_col) = lower(c.column_name))", "catalogue", "providers", "registered"),
     "detect_sk": _sql("SELECT count(new_sk)::BIGINT AS keys, max(new_sk) AS largest FROM target_customer"),
     "classify_evidence": _sql(
         "SELECT consumer_table, map_status, cnt, CASE WHEN 1 - o >= 0.95 THEN 'LEGACY_KEYED?' WHEN o >= 0.95 THEN 'RELOADED?' ELSE 'MIXED?' END AS suggested FROM (SELECT *, coalesce(sum(cnt) FILTER (map_status = 'NOT_IN_LEGACY_DIM') OVER (PARTITION BY consumer_table), 0) / sum(cnt) OVER (PARTITION BY consumer_table) AS o FROM n)",
@@ -71,13 +75,13 @@ ORACLES = {
     "validate_member_ri": _sql(_VERDICT.format(name="member_ri") + " FROM f WHERE new_sk % 100 = 5", _FILLED),
     "validate_version_ri_a": _sql(_VERDICT.format(name="version_ri_pathA") + " FROM fa WHERE new_sk % 100 = 5", _FILLED_A),
     "validate_ver_coverage": _sql(_VERDICT.format(name="ver_hash_coverage") + " FROM fa WHERE k IS NOT NULL AND version IS NULL", _FILLED_A),
-    "validate_version_ri_b": _sql(_VERDICT.format(name="version_ri_pathB") + " FROM hb WHERE k IS NOT NULL AND n = 0", _FILLED_B, _HITS_B),
+    "validate_version_ri_b": _sql(_VERDICT.format(name="version_ri_pathB_window") + " FROM hb WHERE k IS NOT NULL AND n = 0", _FILLED_B, _HITS_B),
     "validate_event_nulls": _sql(_VERDICT.format(name="event_date_nulls") + " FROM fb WHERE k IS NOT NULL AND o_orderkey % 10 = 0", _FILLED_B),
     "validate_exactly_one_window": _sql("SELECT CASE n WHEN 0 THEN 'none' WHEN 1 THEN 'one' ELSE 'several' END AS windows, count(*)::BIGINT AS cnt FROM hb WHERE k IS NOT NULL GROUP BY 1", _FILLED_B, _HITS_B),
     "measure_recon": _sql(_VERDICT.format(name="measure_reconciliation") + " FROM (SELECT 1 FROM f WHERE k IS NOT NULL GROUP BY k HAVING count(*) FILTER (o_orderkey % 997 = 0) > 0)", _FILLED),
     "hub_consistency": _sql("SELECT count(*) FILTER (k IS NULL OR o_orderkey % 3 = 0)::BIGINT AS unresolved, count(*) FILTER ((k IS NULL) <> (o_orderkey % 3 = 0))::BIGINT AS partly FROM f", _FILLED),
-    "sweep_order": "SELECT * FROM (VALUES (1::BIGINT, 'hub_z', 'sk_a', 1::BIGINT), (2, 'hub_a', 'sk_a', 2), (3, 'hub_a', 'sk_b', 2), (4, 'fact_a', 'fk', 1000000), (5, 'fact_b', 'fk', 1000000)) t(position, consumer_table, fk_col, level)",
-    "sweep_gate": "SELECT * FROM (VALUES ('failed', 1::BIGINT), ('not validated', 1)) t(reason, cnt)",
+    "sweep_order": _rows("SELECT row_number() OVER (ORDER BY level, consumer_table, fk_col) AS position, * FROM (SELECT consumer_table, fk_col, coalesce(topo_level, 1000000)::BIGINT AS level FROM roles LEFT JOIN hubs h ON lower(h.provider_table) = lower(consumer_table))", "roles", "hubs"),
+    "sweep_gate": _rows("SELECT reason, count(*) AS cnt FROM (SELECT 'failed' AS reason FROM last JOIN roles USING (consumer_table, fk_col) WHERE verdict = 'FAIL' UNION ALL SELECT 'not validated' FROM roles ANTI JOIN last USING (consumer_table, fk_col)) GROUP BY 1", "results", "roles").replace("\nSELECT", ", last AS (SELECT * FROM results WHERE run_id = (SELECT arg_max(run_id, run_at) FROM results))\nSELECT", 1),
     "sweep_scd1": _sql(f"SELECT o_orderkey, {_SWEPT} AS fk FROM f", _FILLED),
     "sweep_path_a": _sql(f"SELECT o_orderkey, {_SWEPT} AS fk FROM fa", _FILLED_A),
     "sweep_path_b": _sql("SELECT o_orderkey, l_linenumber, CASE WHEN n = 1 AND k IS NOT NULL THEN new_sk ELSE fk END AS fk FROM hb", _FILLED_B, _HITS_B),
@@ -92,4 +96,26 @@ ORACLES = {
     "promote_view": _sql(f"SELECT o_orderkey, {_SWEPT} AS fk FROM f", _FILLED),
     "asof_lookup": _sql(f"SELECT o_orderkey, new_sk FROM fact_orders o LEFT JOIN target_b t ON t.nk = (o.fk - 1)::VARCHAR AND o.event >= t.s AND o.event < coalesce(t.e, {_EOT})"),
     "overlap_lookup": _sql(f"SELECT l.old_sk, t.new_sk FROM legacy_b l JOIN target_b t ON l.nk = t.nk AND {_HIT}"),
+    "registry_review": _rows("SELECT r.*, p.archetype FROM roles r LEFT JOIN providers p ON lower(p.provider_table) = lower(r.provider_table)", "roles", "providers"),
+    "keymap_policy": _sql(
+        "SELECT 'customer' AS provider_table, 'none-scd1' AS version_match, map_status, count(*) AS cnt FROM (SELECT " + _STATUS.format(l="l.k", t="t.k") + " AS map_status FROM lc l FULL JOIN tc t ON l.k = t.k) GROUP BY map_status UNION ALL SELECT 'version', 'B-event-date', map_status, count(*) FROM mb GROUP BY map_status",
+        _LC, _TC, _MAP_B,
+    ),
+    "validate_battery": _sql(
+        "SELECT 'r1' AS run_id, c.*, CASE WHEN check_name = 'coverage_null_hash' THEN 'INFO' WHEN violations = 0 THEN 'PASS' ELSE 'FAIL' END AS verdict FROM checks c",
+        _FILLED, _FILLED_B, _HITS_B,
+        """checks AS (SELECT 'fact' AS consumer_table, 'new_sk' AS fk_col, 'coverage_null_hash' AS check_name, count(*) FILTER (k IS NULL) AS violations FROM f
+  UNION ALL SELECT 'fact', 'new_sk', 'member_ri', count(*) FILTER (k IS NOT NULL AND new_sk IS NULL) FROM f
+  UNION ALL SELECT 'fact', 'new_sk', 'measure_reconciliation', count(*) FROM (SELECT l.k FROM fact_orders o JOIN lc l ON l.old_sk = o.fk JOIN tc USING (k) GROUP BY 1 HAVING abs(sum(price) - (SELECT sum(price) FROM f WHERE f.k = l.k)) > 0.01)
+  UNION ALL SELECT 'fact_b', 'new_sk2', 'coverage_null_hash', count(*) FILTER (k IS NULL) FROM fb
+  UNION ALL SELECT 'fact_b', 'new_sk2', 'member_ri', count(*) FILTER (k IS NOT NULL AND k NOT IN (SELECT nk FROM target_b)) FROM fb
+  UNION ALL SELECT 'fact_b', 'new_sk2', 'version_ri_pathB_window', count(*) FILTER (k IS NOT NULL AND n = 0) FROM hb
+  UNION ALL SELECT 'fact_b', 'new_sk2', 'event_date_nulls', count(*) FILTER (k IS NOT NULL AND event IS NULL) FROM fb)""",
+    ),
+    "sweep_results": _sql(
+        """SELECT 'r1' AS run_id, 'fact' AS consumer_table, 'new_sk' AS fk_col, 'SWEPT' AS action, count(*) FILTER (k IS NOT NULL AND fk <> new_sk) AS rows_updated, count(*) FILTER (k IS NOT NULL AND coalesce(new_sk, fk) NOT IN (SELECT new_sk FROM target_customer)) AS post_check_violations FROM f
+  UNION ALL SELECT 'r1', 'fact_b', 'new_sk2', 'SWEPT', count(*) FILTER (k IS NOT NULL AND n = 1 AND fk <> new_sk), count(*) FILTER (k IS NOT NULL AND CASE WHEN n = 1 THEN new_sk ELSE fk END NOT IN (SELECT new_sk FROM target_b)) FROM hb""",
+        _FILLED, _FILLED_B, _HITS_B,
+    ),
+    "promoted_fact": _sql("SELECT o_orderkey, CASE WHEN k IS NULL THEN -1 ELSE new_sk END AS new_sk FROM f", _FILLED),
 }

@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from sparkrekey.functions import keys
 from sparkrekey.model import ConsumerRole, ProviderSpec
 from sparkrekey.operators import consumers as C
 from sparkrekey.operators import keymap as K
-from sparkrekey.plans.fixtures import fixture
+from sparkrekey.plans import driver
+from sparkrekey.plans import registry as R
+from sparkrekey.plans.fixtures import fixture, rows, shared_folder
+from sparkrekey.sources.store import TableStore
 
 CUSTOMER = ProviderSpec("dim_customer", "SCD1", "old_sk", ("nk",))
 VERSION = ProviderSpec("dim_version", "SCD2", "old_sk", ("nk",), effective_start_col="s", effective_end_col="e")
@@ -53,15 +58,18 @@ def status_class(spark, d):
 
 @query
 def provider_hash(spark, d):
-    """Hashes filled where they are null: whether a filled one equals the snapshot's."""
+    """Hashes filled where they are null, and the old member that each then meets; those that had another value keep it and meet none."""
     t = _named(spark, d, "target_customer").withColumn("nk_hash", F.when(F.col("new_sk") % 2 == 0, F.lit(0).cast("long")))
     done = C.null_guard(t, "nk_hash", keys.nk_hash(keys.nk_string(["nk"])))
-    return done.select("new_sk", (F.col("nk_hash") == keys.nk_hash(F.upper(F.trim("nk")))).alias("fresh"))
+    return done.join(_snap(spark, d, "legacy_customer").select("nk_hash", "old_sk"), "nk_hash", "left").select("new_sk", "old_sk")
 
 
 @query
 def gate_collision(spark, d):
-    return K.collision_gate(_snap(spark, d, "legacy_customer").select("natural_key", "nk_hash").unionByName(_snap(spark, d, "target_customer").select("natural_key", "nk_hash")))
+    """The gate on either generation, and on one whose hashes leave out the key's last digit."""
+    planted = _snap(spark, d, "target_customer").withColumn("nk_hash", F.xxhash64(F.regexp_replace("natural_key", "[0-9]$", "")))
+    sides = [("legacy", _snap(spark, d, "legacy_customer")), ("target", _snap(spark, d, "target_customer")), ("planted", planted)]
+    return reduce(DataFrame.unionByName, [K.collision_gate(df).withColumn("table_name", F.lit(name)) for name, df in sides])
 
 
 # ---------------------------------------------------------------- maps
@@ -147,24 +155,19 @@ def overlap_gate(spark, d):
 
 
 # ---------------------------------------------------------------- consumers
-def _catalogue(spark, d):
-    rows = [(n, c) for n in ("fact_orders", "fact_reloaded", "fact_b", "legacy_customer") for c in _named(spark, d, n).columns]
-    rows += [("fact_line", c) for c in ("SK_CUSTOMER", "sk_customer_roleB", "sk_part", "l_quantity", "customer_note")] + [("dim_customer", "sk_customer"), ("dim_part", "sk_part"), ("hub_order", "sk_customer"), ("fact_old", "sk_part")]
-    providers = [("dim_customer", "sk_customer", "SCD1", None), ("dim_part", "sk_part", "SCD1", None), ("hub_order", "sk_order", "HUB_SCD2", "o_orderdate")]
-    return (
-        spark.createDataFrame(rows, "table_name string, column_name string"), spark.createDataFrame(providers, "provider_table string, sk_col string, archetype string, effective_start_col string"),
-        spark.createDataFrame([("FACT_OLD", "sk_part")], "consumer_table string, fk_col string"),
-    )
-
-
 @query
 def discover_consumers(spark, d):
-    return C.discover_consumers(*_catalogue(spark, d))
+    return C.discover_consumers(rows(spark, "catalogue"), rows(spark, "providers"), rows(spark, "registered"))
 
 
 @query
 def discover_edge_cases(spark, d):
-    return C.discover_edge_cases(*_catalogue(spark, d))
+    return C.discover_edge_cases(rows(spark, "catalogue"), rows(spark, "providers"), rows(spark, "registered")).drop("reason")
+
+
+@query
+def registry_review(spark, d):
+    return R.review(rows(spark, "roles"), rows(spark, "providers"))
 
 
 @query
@@ -282,15 +285,12 @@ def hub_consistency(spark, d):
 # ---------------------------------------------------------------- sweep
 @query
 def sweep_order(spark, d):
-    roles = spark.createDataFrame([("fact_b", "fk"), ("hub_z", "sk_a"), ("hub_a", "sk_b"), ("fact_a", "fk"), ("hub_a", "sk_a")], "consumer_table string, fk_col string")
-    return C.sweep_order(roles, spark.createDataFrame([("HUB_A", 2), ("hub_z", 1)], "provider_table string, topo_level int"))
+    return C.sweep_order(rows(spark, "roles"), rows(spark, "hubs"))
 
 
 @query
 def sweep_gate(spark, d):
-    rows = [("r1", 1, "fact_a", "fk", "FAIL"), ("r2", 2, "fact_a", "fk", "PASS"), ("r2", 2, "fact_b", "fk", "FAIL"), ("r2", 2, "fact_b", "fk", "INFO")]
-    roles = spark.createDataFrame([("fact_a", "fk"), ("fact_b", "fk"), ("fact_c", "fk")], "consumer_table string, fk_col string")
-    return C.sweep_gate(spark.createDataFrame(rows, "run_id string, run_at long, consumer_table string, fk_col string, verdict string"), roles)
+    return C.sweep_gate(rows(spark, "results"), rows(spark, "roles").select("consumer_table", "fk_col"))
 
 
 def _swept(spark, d):
@@ -331,9 +331,10 @@ def sweep_idempotent(spark, d):
 
 @query
 def sweep_metrics(spark, d):
-    """Rows that a sweep updates and leaves, as the observed metrics count them."""
-    before, after = _filled(spark, d).select("o_orderkey", F.col("fk").alias("old")), _swept(spark, d).select("o_orderkey", "fk")
-    return before.join(after, "o_orderkey").agg(F.count_if(F.col("old") != F.col("fk")).alias("rows_updated"), F.count(F.lit(1)).alias("rows"))
+    """Rows that a sweep updates, and all rows, as observed while the sweep is written."""
+    metrics = Observation()
+    C.sweep_equi(_filled(spark, d), "fk", NK, _dim(spark, d), metrics=metrics).write.format("noop").mode("overwrite").save()
+    return spark.createDataFrame([(metrics.get["rows_updated"], metrics.get["rows"])], "rows_updated long, rows long")
 
 
 @query
@@ -361,12 +362,7 @@ def promote_drift(spark, d):
 
 
 def _promoted(spark, d, how):
-    import tempfile
-
-    from sparkrekey.sources.store import TableStore
-
-    top = spark.sparkContext.getConf().get("spark.checkpoint.dir", "") or "file://" + tempfile.mkdtemp(prefix="store-")
-    store = TableStore(spark, f"{top.rstrip('/')}/store-{how}-{spark.sparkContext.applicationId}-{abs(hash(d))}")
+    store = TableStore(spark, f"{shared_folder(spark)}/store-{uuid.uuid4().hex}")
     store.write("prod", "fact_orders", _named(spark, d, "fact_orders").select("o_orderkey", "fk"))
     store.clone("prod", "fact_orders", "wip", "fact_orders__r1")
     store.write("wip", "fact_orders__r1", _swept(spark, d).select("o_orderkey", "fk"))
@@ -375,7 +371,7 @@ def _promoted(spark, d, how):
         old = store.read("prod", "fact_orders", back=1).withColumnRenamed("fk", "old")
         return store.read("prod", "fact_orders").join(old, "o_orderkey")
     store.view("wip", "fact_orders__r1", "v_fact_orders")
-    return spark.table("v_fact_orders")
+    return store.read("view", "v_fact_orders")
 
 
 @query
@@ -388,6 +384,57 @@ def promote_view(spark, d):
     return _promoted(spark, d, "view")
 
 
+# ---------------------------------------------------------------- a whole run
+GIVEN = {
+    "setup_profile": "full", "repair_mode": "opt_out", "apply_orphan_sk": "true", "repair_target_mode": "wip_clone", "require_validation": "false",
+    "providers_json": '[{"provider_table": "customer", "archetype": "SCD1", "sk_col": "new_sk", "nk_cols": ["nk"]}, {"provider_table": "version", "archetype": "SCD2", "sk_col": "new_sk2", "nk_cols": ["nk"], "effective_start_col": "s", "effective_end_col": "e"}]',
+    "consumer_overrides_json": '[{"consumer_table": "fact", "fk_col": "new_sk", "measure_cols": ["price"]}, {"consumer_table": "fact_b", "fk_col": "new_sk2", "event_date_col": "event"}]',
+    "classifications_json": '[{"consumer_table": "fact", "fk_col": "new_sk", "classification": "LEGACY_KEYED"}, {"consumer_table": "fact_b", "fk_col": "new_sk2", "classification": "LEGACY_KEYED"}]',
+    "wip_row_keys_json": '[{"table": "fact", "row_key_cols": ["o_orderkey"]}, {"table": "fact_b", "row_key_cols": ["o_orderkey", "l_linenumber"]}]',
+}
+_runs: dict = {}
+
+
+def _run(spark, d) -> driver.Repair:
+    """A run from discovery to promotion on the fixtures, once in a session."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _runs:
+        store = TableStore(spark, f"{shared_folder(spark)}/store-{uuid.uuid4().hex}")
+        for kind, side, sk, one in (("source", "legacy", "old_sk", 1), ("prod", "target", "new_sk", 0)):
+            store.write(kind, "customer", _named(spark, d, f"{side}_customer").select(F.col(sk).alias("new_sk"), "nk"))
+            store.write(kind, "version", _named(spark, d, f"{side}_b").select(F.col(sk).alias("new_sk2"), "nk", "s", "e"))
+            store.write(kind, "fact", _named(spark, d, "fact_orders").select("o_orderkey", F.col("fk").alias("new_sk"), "price"))
+            store.write(kind, "fact_b", _named(spark, d, "fact_b").withColumnRenamed("fk", "new_sk2"))
+        run = driver.Repair(spark, store, GIVEN, run_id="r1", now=dt.datetime(2024, 1, 1))
+        run.run()
+        _runs[key] = run
+    return _runs[key]
+
+
+@query
+def keymap_policy(spark, d):
+    """How the run's key-maps say that versions meet, and their rows by status."""
+    run = _run(spark, d)
+    policy = [(t, run.store.properties("keymap", t)["ri_repair.version_match"]) for t in ("customer", "version")]
+    counts = run.store.read("config", "keymap_audit").select("provider_table", "map_status", "cnt")
+    return counts.join(spark.createDataFrame(policy, "provider_table string, version_match string"), "provider_table")
+
+
+@query
+def validate_battery(spark, d):
+    return _run(spark, d).store.read("config", "validation_results").select("run_id", "consumer_table", "fk_col", "check_name", "violations", "verdict")
+
+
+@query
+def sweep_results(spark, d):
+    return _run(spark, d).store.read("config", "sweep_results").select("run_id", "consumer_table", "fk_col", "action", "rows_updated", "post_check_violations")
+
+
+@query
+def promoted_fact(spark, d):
+    return _run(spark, d).store.read("prod", "fact").select("o_orderkey", "new_sk")
+
+
 # ---------------------------------------------------------------- generic lookups
 @query
 def asof_lookup(spark, d):

@@ -288,3 +288,14 @@ def test_battery_without_provider_or_hash(spark):
     assert battery(t, role, None, None).first()["check_name"] == "provider_configured"
     assert battery(t, role, ProviderSpec("d", "SCD1", "sk", ("nk",)), None).first()["check_name"] == "hash_column_present"
     assert R.review(spark.createDataFrame([("f", "fk", "D", "SELECTED")], "consumer_table string, fk_col string, provider_table string, repair_status string"), spark.createDataFrame([("d", "SCD1")], "provider_table string, archetype string")).first()["archetype"] == "SCD1"
+
+
+def test_lookup_stream(spark, tmp_path):
+    from sparkrekey.streaming.stamp import lookup
+
+    spark.createDataFrame([(1,), (2,), (None,)], "fk long").write.parquet(str(tmp_path / "in"))
+    km = spark.createDataFrame([(1, 10, "MATCHED"), (2, 20, "AMBIGUOUS")], "old_sk long, new_sk long, map_status string")
+    q = lookup(spark.readStream.schema("fk long").parquet(str(tmp_path / "in")), km, "fk").writeStream.format("memory").queryName("looked_up").option("checkpointLocation", str(tmp_path / "c")).start()
+    q.processAllAvailable()
+    q.stop()
+    assert {(r.fk, r.new_sk) for r in spark.table("looked_up").collect()} == {(1, 10), (2, None), (None, None)}
