@@ -149,8 +149,8 @@ def crowd_links(docs: DataFrame, crowd: DataFrame, links: DataFrame, width: int,
     """links, and links among the members (key, doc_id, n, hub) of crowded buckets, so that all exact links inside a bucket lie within one component.
 
     First each document is checked with the least of its buckets' hubs, then with the hubs of another component: a few pairs for each document. A bucket whose members are
-    in one component is done. In the others, members outside the bucket's largest component are few as a rule: up to CROWD of them are checked with every member of another
-    component. Only buckets with more are compared in blocks of two chunks of bounded size, each bucket on its own; that is exact, and quadratic in the chunks of such a bucket."""
+    in one component is done. The others are open: those with the same largest component make a unit, in which the documents outside that component are compared with all, in blocks of
+    two chunks of bounded size; a document counts once for a unit, in however many of its buckets it is. That is exact, and quadratic only in the chunks of the documents that no hub is like."""
     nearest = crowd.filter("hub < doc_id").groupBy("doc_id").agg(F.min("hub").alias("a")).select("a", F.col("doc_id").alias("b"))
     links = links.unionByName(linked_pairs(docs, nearest, width, percent, folder, "nearest"))
 
@@ -163,34 +163,31 @@ def crowd_links(docs: DataFrame, crowd: DataFrame, links: DataFrame, width: int,
     hubs = members.filter("doc_id = hub").groupBy("key").agg(F.min("root").alias("hub_root"))
     apart = members.join(hubs.hint("merge"), "key").filter("root <> hub_root").select(F.col("hub").alias("a"), F.col("doc_id").alias("b"))
     links = links.unionByName(linked_pairs(docs, apart, width, percent, folder, "hubs"))
-    members = rooted("hubs").select("key", "doc_id", "n", "root")
-    shares = members.groupBy("key", "root").agg(F.count(F.lit(1)).alias("m"), F.sum(F.col("n") + PER).alias("weight"))
-    state = shares.groupBy("key").agg(F.count(F.lit(1)).alias("roots"), F.max_by("root", F.struct("m", "root")).alias("main"), (F.sum("m") - F.max("m")).alias("others"), F.sum("weight").alias("weight"))
-    state = written(state.filter("roots > 1"), folder, "open")
-    rows = members.join(state.hint("merge"), "key")
-    minor = rows.filter(f"others <= {CROWD} AND root <> main").groupBy("key").agg(F.collect_list(F.struct("doc_id", "root")).alias("minor"))  # at most CROWD
-    each = rows.filter(f"others <= {CROWD}").select("key", "doc_id", "root", "n").join(minor.hint("merge"), "key").select("doc_id", "root", F.explode("minor").alias("x"))
-    pairs = each.filter("root <> x.root").select(F.least("doc_id", "x.doc_id").alias("a"), F.greatest("doc_id", "x.doc_id").alias("b"))
-    links = links.unionByName(linked_pairs(docs, pairs, width, percent, folder, "minor"))
-
-    many = rows.filter(f"others > {CROWD}").withColumn("chunks", F.ceil(F.col("weight") / CHUNK).cast("int"))
-    many = written(many.select("key", "doc_id", "root", "chunks"), folder, "many")
-    dealt = sets_of(docs, many.select("doc_id"), width).join(many.hint("merge"), "doc_id")
-    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("chunks")).cast("int"))
-    block = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda j: F.struct(F.least(F.col("own"), j).alias("i"), F.greatest(F.col("own"), j).alias("j")))
-    dealt = dealt.select("key", "doc_id", "root", "set", "other", "own", F.explode(block).alias("block")).select("key", "doc_id", "root", "set", "other", "own", "block.i", "block.j")
+    members = rooted("hubs")
+    shares = members.groupBy("key", "root").agg(F.count(F.lit(1)).alias("m"))
+    state = shares.groupBy("key").agg(F.count(F.lit(1)).alias("roots"), F.max_by("root", F.struct("m", "root")).alias("unit")).filter("roots > 1").select("key", "unit")
+    unit = written(members.join(state.hint("merge"), "key").select("unit", "doc_id", "n", "root").distinct(), folder, "units")
+    weight = F.col("n") + PER
+    chunks = lambda w: F.ceil(F.sum(w) / CHUNK).cast("int")
+    sizes = unit.groupBy("unit").agg(chunks(weight).alias("all"), chunks(F.when(F.col("root") != F.col("unit"), weight)).alias("few"))
+    dealt = sets_of(docs, unit.select("doc_id"), width).join(unit.join(sizes.hint("merge"), "unit").hint("merge"), "doc_id")
+    own = lambda c: F.pmod(F.xxhash64("doc_id"), F.col(c)).cast("int")
+    asks = F.transform(F.sequence(F.lit(0), F.col("all") - 1), lambda j: F.struct(F.lit(0).alias("side"), own("few").alias("i"), j.alias("j")))
+    answers = F.transform(F.sequence(F.lit(0), F.col("few") - 1), lambda i: F.struct(F.lit(1).alias("side"), i.alias("i"), own("all").alias("j")))
+    block = F.explode(F.when(F.col("root") != F.col("unit"), F.concat(asks, answers)).otherwise(answers)).alias("block")
+    dealt = dealt.select("unit", "doc_id", "root", "set", "other", block).select("unit", "doc_id", "root", "set", "other", "block.*")
 
     def compare(table: pa.Table) -> pa.Table:
-        ids, own = table.column("doc_id").to_numpy(), table.column("own").to_numpy()
+        ids = table.column("doc_id").to_numpy()
         lanes = []
         for name in ("set", "other"):
             column = table.column(name).combine_chunks()
             flat, off = column.values.to_numpy().view(np.uint64), column.offsets.to_numpy()
             lanes.append([flat[off[i] : off[i + 1]] for i in range(len(ids))])
-        forest = block_links(*lanes, (own != own.min()).astype(np.int8), table.column("root").to_numpy(), percent)
+        forest = block_links(*lanes, table.column("side").to_numpy(), table.column("root").to_numpy(), percent)
         return pa.table({"a": pa.array([ids[i] for i, _ in forest], pa.int64()), "b": pa.array([ids[j] for _, j in forest], pa.int64())})
 
-    return links.unionByName(dealt.groupBy("key", "i", "j").applyInArrow(compare, "a long, b long"))
+    return links.unionByName(dealt.groupBy("unit", "i", "j").applyInArrow(compare, "a long, b long"))
 
 
 def near_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
