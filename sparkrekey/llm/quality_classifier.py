@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import flat_text, mixed, pieces, read, span_hashes, word_spans
+from .common import flat_text, mixed, pieces, read, release, span_hashes, word_spans
 
 #: log2 of the number of weights; most labelled documents that the fit reads (those with the least hash of doc_id).
 BITS, SAMPLE = 18, 8192
@@ -145,12 +145,15 @@ def fit(docs: DataFrame, ratings: DataFrame, sample: int = SAMPLE) -> OrdinalMod
             lists = np.split(bucket.astype(np.int32), np.searchsorted(doc, np.arange(1, len(n))))
             yield pa.RecordBatch.from_pydict({"id": b.column("_id"), "grade": b.column("grade"), "buckets": pa.array(lists, pa.list_(pa.int32()))})
 
-    got = rows.mapInArrow(work, "id long, grade int, buckets array<int>").toArrow()
-    order = sorted(range(got.num_rows), key=got.column("id").to_pylist().__getitem__)
-    got = got.take(pa.array(order, pa.int64())).combine_chunks()
-    lists = got.column("buckets").to_pylist()
-    doc = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
-    return OrdinalModel.fit(doc, np.array([b for x in lists for b in x], np.int64), got.column("grade").to_numpy().astype(np.int64))
+    got = rows.mapInArrow(work, "id long, grade int, buckets array<int>").toArrow().sort_by("id").combine_chunks()
+    lists = got.column("buckets").chunk(0) if got.num_rows else pa.array([], pa.list_(pa.int32()))
+    doc, bucket = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy())), lists.flatten().to_numpy().astype(np.int64)
+    grade = got.column("grade").to_numpy().astype(np.int64)
+    del got, lists
+    model = OrdinalModel.fit(doc, bucket, grade)
+    del doc, bucket
+    release()
+    return model
 
 
 def score(docs: DataFrame, model: OrdinalModel, text_col: str = "text") -> DataFrame:
