@@ -259,5 +259,18 @@ def only(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
     return rows.join(wanted, F.col(column) == F.col(name), "left_semi")
 
 
+#: Places that a salted join deals the rows of a key to.
+SALTS = 16
+
+
+def salted(rows: DataFrame, few: DataFrame, key: str, by: str) -> DataFrame:
+    """rows joined with few (a row for each key). The rows of a key are dealt to SALTS places by the hash of `by`, and few's row is repeated in each, so a hot key
+    spans many tasks; both sides come right from a shuffle, so adaptive execution can cut them further."""
+    (salt,) = fresh(rows, "_salt")
+    dealt = rows.withColumn(salt, F.pmod(F.xxhash64(by), F.lit(SALTS)).cast("int"))
+    every = few.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return dealt.join(every.hint("merge"), [key, salt]).drop(salt)
+
+
 def list_array(values: np.ndarray, before: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(before.astype(np.int32)), pa.array(values))

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import FEW, components, flat_text, fresh, list_array, mixed, only, pieces, read, span_hashes, windows, word_spans, work_folder, written
+from .common import FEW, components, flat_text, fresh, list_array, mixed, only, pieces, read, salted, span_hashes, windows, word_spans, work_folder, written
 
 #: Rows of a band and bands: a pair with Jaccard 0.8 shares no band with a probability of (1 - 0.8^6)^48 = 4.6e-7.
 ROWS, BANDS = 6, 48
@@ -161,12 +161,12 @@ def crowd_links(docs: DataFrame, crowd: DataFrame, links: DataFrame, width: int,
 
     members = rooted("nearest")
     hubs = members.filter("doc_id = hub").groupBy("key").agg(F.min("root").alias("hub_root"))
-    apart = members.join(hubs.hint("merge"), "key").filter("root <> hub_root").select(F.col("hub").alias("a"), F.col("doc_id").alias("b"))
+    apart = salted(members, hubs, "key", "doc_id").filter("root <> hub_root").select(F.col("hub").alias("a"), F.col("doc_id").alias("b"))
     links = links.unionByName(linked_pairs(docs, apart, width, percent, folder, "hubs"))
     members = rooted("hubs")
     shares = members.groupBy("key", "root").agg(F.count(F.lit(1)).alias("m"))
     state = shares.groupBy("key").agg(F.count(F.lit(1)).alias("roots"), F.max_by("root", F.struct("m", "root")).alias("unit")).filter("roots > 1").select("key", "unit")
-    unit = written(members.join(state.hint("merge"), "key").select("unit", "doc_id", "n", "root").distinct(), folder, "units")
+    unit = written(salted(members, state, "key", "doc_id").select("unit", "doc_id", "n", "root").distinct(), folder, "units")
     weight = F.col("n") + PER
     chunks = lambda w: F.ceil(F.sum(w) / CHUNK).cast("int")
     sizes = unit.groupBy("unit").agg(chunks(weight).alias("all"), chunks(F.when(F.col("root") != F.col("unit"), weight)).alias("few"))
@@ -210,7 +210,7 @@ def near_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame
     one = live.join(classes.select(F.col("rep").alias("doc_id"), *name), ["doc_id", *name])
     entries = one.select("doc_id", "n", F.explode("bands").alias("key"))
     full = entries.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.min("doc_id").alias("hub")).filter("members > 1")
-    met = written(entries.join(full.hint("merge"), "key"), folder, "buckets")
+    met = written(salted(entries, full, "key", "doc_id"), folder, "buckets")
 
     few = met.filter(F.col("members") <= CROWD)
     a, b = (few.select("key", F.col("doc_id").alias(c), F.col("n").alias(f"n{c}")) for c in "ab")
