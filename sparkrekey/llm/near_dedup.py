@@ -170,7 +170,7 @@ def crowd_links(docs: DataFrame, crowd: DataFrame, links: DataFrame, width: int,
     weight = F.col("n") + PER
     chunks = lambda w: F.ceil(F.sum(w) / CHUNK).cast("int")
     sizes = unit.groupBy("unit").agg(chunks(weight).alias("all"), chunks(F.when(F.col("root") != F.col("unit"), weight)).alias("few"))
-    dealt = sets_of(docs, unit.select("doc_id"), width).join(unit.join(sizes.hint("merge"), "unit").hint("merge"), "doc_id")
+    dealt = sets_of(docs, unit.select("doc_id"), width).join(salted(unit, sizes, "unit", "doc_id").hint("merge"), "doc_id")
     own = lambda c: F.pmod(F.xxhash64("doc_id"), F.col(c)).cast("int")
     asks = F.transform(F.sequence(F.lit(0), F.col("all") - 1), lambda j: F.struct(F.lit(0).alias("side"), own("few").alias("i"), j.alias("j")))
     answers = F.transform(F.sequence(F.lit(0), F.col("few") - 1), lambda i: F.struct(F.lit(1).alias("side"), i.alias("i"), own("all").alias("j")))
