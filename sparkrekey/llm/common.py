@@ -60,6 +60,18 @@ def written(df: DataFrame, folder: str, name: str, **options) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(f"{folder}/{name}")
 
 
+#: Most bytes of an Arrow batch between an executor and its workers. Spark's default is 64 MB, and a batch costs an executor several times its size outside the heap.
+BATCH = 4 << 20
+
+
+def bounded(df: DataFrame) -> DataFrame:
+    """df; its session's Arrow batches hold at most about BATCH bytes from now on (a longer row comes alone), unless the session has a setting of its own."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if name not in conf.getAll:
+        conf.set(name, str(BATCH))
+    return df
+
+
 def let(value, body):
     """body(value) with value evaluated once for each row, whatever the optimizer makes of the projection."""
     return F.transform(F.array(value), body)[0]

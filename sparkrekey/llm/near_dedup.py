@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import FEW, components, flat_text, fresh, list_array, mixed, only, pieces, read, salted, span_hashes, windows, word_spans, work_folder, written
+from .common import FEW, bounded, components, flat_text, fresh, list_array, mixed, only, pieces, read, salted, span_hashes, windows, word_spans, work_folder, written
 
 #: Rows of a band and bands: a pair with Jaccard 0.8 shares no band with a probability of (1 - 0.8^6)^48 = 4.6e-7.
 ROWS, BANDS = 6, 48
@@ -76,7 +76,7 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
 
 
 def _slim(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("_text"))
+    return bounded(docs).select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("_text"))
 
 
 def sets_of(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:

@@ -9,7 +9,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import pieces, read
+from .common import bounded, pieces, read
 from .tokens import encoder, vocabulary
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -118,7 +118,7 @@ def pack(docs: DataFrame, path: str, capacity: int = 1024, separator: int = 0, i
         place(packer.end())
         yield out()
 
-    slim = docs.select(docs[id_col].cast("long").alias("_id"), docs[text_col].cast("string").alias("_text"))
+    slim = bounded(docs).select(docs[id_col].cast("long").alias("_id"), docs[text_col].cast("string").alias("_text"))
     return slim.mapInArrow(work, SCHEMA + ", ids binary" * with_ids)
 
 

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import pieces, read
+from .common import bounded, pieces, read
 
 KINDS = ["email", "ip", "card", "phone"]
 
@@ -406,7 +406,7 @@ def find_pii(docs: DataFrame) -> DataFrame:
             types = [pa.int64()] * 5 + [pa.string()] * 2 + [pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
 
-    return docs.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("_text")).mapInArrow(work, SCHEMA)
+    return bounded(docs).select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("_text")).mapInArrow(work, SCHEMA)
 
 
 def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -433,7 +433,7 @@ def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
                 out.append("".join([*done, text[at:]]))
             yield pd.Series(out, dtype=object)
 
-    made = docs.withColumn(text_col, clean(F.col(text_col).cast("string")))
+    made = bounded(docs).withColumn(text_col, clean(F.col(text_col).cast("string")))
     return made.withColumn("n_chars", F.length(text_col).cast("long")) if "n_chars" in docs.columns else made
 
 

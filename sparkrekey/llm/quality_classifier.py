@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import flat_text, mixed, pieces, read, release, span_hashes, word_spans
+from .common import bounded, flat_text, mixed, pieces, read, release, span_hashes, word_spans
 
 #: log2 of the number of weights; most labelled documents that the fit reads (those with the least hash of doc_id).
 BITS, SAMPLE = 18, 8192
@@ -136,7 +136,7 @@ def fit(docs: DataFrame, ratings: DataFrame, sample: int = SAMPLE) -> OrdinalMod
     """Fitted on at most `sample` rated documents, those with the least hash of doc_id; rows that repeat an id train once, with the text of the least hash. Only the
     documents' bucket numbers come to the driver: the distinct ones of each text, so at most 2^BITS of 4 bytes for a text of any length."""
     chosen = ratings.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    rows = docs.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("_text"))
+    rows = bounded(docs).select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("_text"))
     rows = rows.join(F.broadcast(chosen), F.col("_id") == F.col("doc_id")).groupBy("_id").agg(F.min("grade").alias("grade"), F.min_by("_text", F.xxhash64("_text")).alias("_text"))
 
     def work(batches):
@@ -173,7 +173,7 @@ def score(docs: DataFrame, model: OrdinalModel, text_col: str = "text") -> DataF
             grade, tail = np.concatenate(out, axis=1)
             yield pa.StructArray.from_arrays([pa.array(grade), pa.array(tail)], ["grade", "tail"])
 
-    judged = docs.select(F.struct(*docs.columns).alias("doc"), judge(F.col(text_col).cast("string")).alias("x"))
+    judged = bounded(docs).select(F.struct(*docs.columns).alias("doc"), judge(F.col(text_col).cast("string")).alias("x"))
     return judged.select("doc", "x.grade", "x.tail", (F.col("x.tail") >= CHANCE).alias("kept"))
 
 

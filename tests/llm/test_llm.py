@@ -769,3 +769,22 @@ def test_pipeline_against_its_stages(spark):
     want = sorted((x.doc_id, len(ids.ids(x.text)) // 4 + 1) for x in kept[3].collect())
     pieces = corpus_pipeline.run(spark, SF).collect()
     assert sum(x.length for x in pieces) == sum(n for _, n in want) and sorted((x.doc_id, x.doc_tokens) for x in pieces if x.start == 0) == want
+
+
+def test_batches_are_bounded_unless_the_session_says_otherwise(spark):
+    import pyarrow as pa
+
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    texts = spark.range(0, 200, 1, 1).select(F.expr("repeat('abcdefgh', 16384)").alias("text"))
+    sizes = lambda df: [r.size for r in df.mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"size": [b.nbytes]}) for b in batches), "size long").collect()]
+    own = name in spark.conf.getAll and spark.conf.get(name)
+    try:
+        spark.conf.unset(name)
+        found = sizes(common.bounded(texts))
+        assert sum(found) >= 200 << 17 and max(found) <= common.BATCH + (1 << 18)
+        spark.conf.set(name, str(1 << 30))
+        assert len(sizes(common.bounded(texts))) == 1
+    finally:
+        spark.conf.unset(name)
+        if own:
+            spark.conf.set(name, own)
